@@ -1 +1 @@
-"""DataFrame-to-DataFrame operators; none of them runs a job on its own."""
+"""DataFrame-to-DataFrame operators. Only the size check of `skew` runs a job while planning."""

@@ -115,13 +115,17 @@ def street_prices(
 
 
 def prices_by_energy_class(
-    matched_sales: DataFrame, certificates: DataFrame, hot_rows: int = HOT_ROWS
+    matched_sales: DataFrame,
+    certificates: DataFrame,
+    hot_rows: int = HOT_ROWS,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Observations and median price per m² by commune, dwelling type and energy class.
 
     `matched_sales` carries the certificate number in `dpe_numero`. Certificates are first counted by
     number and class, so a number that occurs often meets each sale once per class instead of
-    once per certificate; the count then weighs the sale.
+    once per certificate; the count then weighs the sale. A group has therefore no more rows than
+    there are sales of its commune and type, which sizes it without the join.
     """
     classes = (
         certificates.filter(
@@ -130,9 +134,9 @@ def prices_by_energy_class(
         .groupBy("numero_dpe", "classe_dpe")
         .agg(F.count(F.lit(1)).alias("poids"))
     )
-    sales = _priced(matched_sales).select(
-        F.col("code_commune").alias("code_insee"), "type_local", "dpe_numero", "prix_m2"
-    )
+    commune = F.col("code_commune").alias("code_insee")
+    sales = _priced(matched_sales).select(commune, "type_local", "dpe_numero", "prix_m2")
+    sized = sales if sizes_from is None else sizes_from.select(commune, "type_local")
     rows = sales.join(classes, F.col("dpe_numero") == F.col("numero_dpe")).select(
         "code_insee", "type_local", "classe_dpe", "prix_m2", "poids"
     )
@@ -143,5 +147,7 @@ def prices_by_energy_class(
         extras=[F.sum("poids").alias("nb_observations")],
         weight="poids",
         hot_rows=hot_rows,
+        sizes_from=sized,
+        sized_by=["code_insee", "type_local"],
     )
     return _rounded(table, "prix_m2_median")

@@ -12,7 +12,8 @@ from habispark.operators.skew import HOT_ROWS, hot_groups, hot_name, only_hot, s
 # Slices a hot group is cut into, searched in two steps of FAN comparisons.
 FAN = 32
 SLICES = FAN * FAN
-# Hot groups that are cut; any further ones are numbered in one task each, by a spilling sort.
+# Hot groups that are cut. A further one holds less than 1 / MAX_SLICED of all rows; it is numbered in
+# one task, by a sort that spills.
 MAX_SLICED = 1_000
 
 
@@ -30,8 +31,11 @@ def numbered(
     only says where a hot group may be cut into slices. Rows are numbered within their slice and
     the sizes of the earlier slices are added, so no task sees a whole hot group.
     """
+    hot = hot_groups(df, [key], hot_rows, MAX_SLICED)
+    if hot is None:
+        whole = Window.partitionBy(key).orderBy(*order)
+        return df.withColumn(name, (F.row_number().over(whole) - 1).cast("long"))
     placed = df.withColumn("position", position.cast("double"))
-    hot = hot_groups(placed.select(key), [key], hot_rows, MAX_SLICED)
     steps = [F.lit(i / SLICES) for i in range(1, SLICES)]
     edges = (
         only_hot(placed.select(key, "position"), hot, [key])

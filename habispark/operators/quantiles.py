@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from habispark.operators.skew import HOT_ROWS, hot_groups, only_hot, without_hot
+from habispark.operators.skew import HOT_ROWS, hot_groups, only_hot, without_hot, written
 
 SKETCH_ACCURACY = 10_000
 
@@ -32,17 +32,22 @@ def grouped_quantiles(
     weight: str | None = None,
     hot_rows: int = HOT_ROWS,
     sizes_from: DataFrame | None = None,
+    sized_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """`keys`, the aliased aggregates `extras`, then one double per entry of `quantiles`.
 
     `quantiles` maps an output name to (value column, probability). `weight` names a column that says
-    how many times a row counts. `sizes_from` is a cheaper frame to size the groups with; it must
-    hold at least the rows of `df`.
+    how many times a row counts. Group sizes may be bounded from above in a cheaper way: by the rows
+    of `sizes_from` instead of `df`, and by the columns `sized_by` out of `keys`.
     """
-    hot = hot_groups(df if sizes_from is None else sizes_from, keys, hot_rows)
-    ordinary = _buffered(without_hot(df, hot, keys), keys, quantiles, extras, weight)
-    large = _distributed(only_hot(df, hot, keys), keys, quantiles, extras, weight)
-    return ordinary.unionByName(large)
+    sized_by = list(sized_by or keys)
+    hot = hot_groups(df if sizes_from is None else sizes_from, sized_by, hot_rows)
+    if hot is None:
+        return _buffered(df, keys, quantiles, extras, weight)
+    ordinary = _buffered(without_hot(df, hot, sized_by), keys, quantiles, extras, weight)
+    # Read four times below, so written once.
+    spread = written(only_hot(df, hot, sized_by), "hot-groups")
+    return ordinary.unionByName(_distributed(spread, keys, quantiles, extras, weight))
 
 
 def _buffered(df, keys, quantiles, extras, weight) -> DataFrame:

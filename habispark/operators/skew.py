@@ -8,11 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from habispark.session import scratch_dir
+
 # A group with more rows than this is spread over tasks.
 HOT_ROWS = 1_000_000
-# Longest list of such groups. The list is cut with orderBy + limit, so Spark knows its size when it
-# plans and broadcasts it; groups beyond the cut (each smaller than every listed one) take the
-# ordinary grouped path, which is exact as well.
+# Longest list of such groups. A group beyond the cut is smaller than every listed one, so it holds
+# less than 1 / MAX_HOT of all rows; it takes the ordinary grouped path, which is exact as well.
 MAX_HOT = 10_000
 
 
@@ -22,16 +23,22 @@ def hot_name(key: str) -> str:
 
 def hot_groups(
     df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT
-) -> DataFrame:
-    """Keys (prefixed `hot_`) of the largest groups above `hot_rows` rows."""
-    return (
+) -> DataFrame | None:
+    """Keys (prefixed `hot_`) of the largest groups above `hot_rows` rows, None if there are none.
+
+    Counts the groups in a job of its own. Knowing the answer while planning keeps the usual case, in
+    which no group is hot, at a plain grouped plan. At most `max_hot` key tuples reach the driver.
+    """
+    largest = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("hot_size"))
         .filter(F.col("hot_size") > hot_rows)
         .orderBy(F.col("hot_size").desc(), *keys)
         .limit(max_hot)
         .select(*[F.col(k).alias(hot_name(k)) for k in keys])
+        .toArrow()
     )
+    return df.sparkSession.createDataFrame(largest) if largest.num_rows else None
 
 
 def same_group(keys: Sequence[str]) -> Column:
@@ -42,8 +49,15 @@ def same_group(keys: Sequence[str]) -> Column:
 
 
 def without_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(hot, same_group(keys), "left_anti")
+    return df.join(F.broadcast(hot), same_group(keys), "left_anti")
 
 
 def only_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(hot, same_group(keys), "left_semi")
+    return df.join(F.broadcast(hot), same_group(keys), "left_semi")
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a Parquet table in the shared scratch folder, for rows that are read repeatedly."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -64,6 +64,11 @@ def _clean(spark, d):
     return sales.clean_sales(given.sales(spark, d))
 
 
+def _usable_and_clean(spark, d):
+    usable = _usable(spark, d)
+    return usable, sales.single_parcel_sales(usable)
+
+
 # --- sources -------------------------------------------------------------------------------------
 
 
@@ -361,7 +366,8 @@ def check_retention_band(spark, d):
 
 @query
 def agg_commune_immo(spark, d):
-    return aggregates.commune_prices(_clean(spark, d), sizes_from=_usable(spark, d))
+    usable, clean = _usable_and_clean(spark, d)
+    return aggregates.commune_prices(clean, sizes_from=usable)
 
 
 @query
@@ -371,12 +377,14 @@ def agg_commune_dpe(spark, d):
 
 @query
 def agg_street(spark, d):
-    return aggregates.street_prices(_clean(spark, d), sizes_from=_usable(spark, d))
+    usable, clean = _usable_and_clean(spark, d)
+    return aggregates.street_prices(clean, sizes_from=usable)
 
 
 @query
 def price_by_energy_class(spark, d):
-    return aggregates.prices_by_energy_class(_clean(spark, d), given.certificates(spark, d))
+    usable, clean = _usable_and_clean(spark, d)
+    return aggregates.prices_by_energy_class(clean, given.certificates(spark, d), sizes_from=usable)
 
 
 @query
