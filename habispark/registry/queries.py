@@ -262,7 +262,7 @@ def int_round_(spark, d):
 @query
 def dim_lookup(spark, d):
     rows = given.table(spark, d, "customer").select(
-        "c_custkey", given.department_of(given.commune_code("c_custkey")).alias("code_departement")
+        "c_custkey", given.department_of("c_custkey").alias("code_departement")
     )
     return communes.lookup_name(rows, DEPARTMENT_NAMES, "code_departement", "nom_departement")
 
