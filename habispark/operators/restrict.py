@@ -43,15 +43,17 @@ def latest_years(
     years_from: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of the `n` latest years present; `years_from` may be a cheaper frame to list them."""
-    source = sales if years_from is None else years_from
-    # limit bounds the list, so Spark broadcasts it by itself and prunes a partitioned table.
-    years = (
-        source.select(F.col(column).alias("year")).distinct()
-        .orderBy(F.col("year").desc_nulls_last()).limit(n)
-    )
+    # The limit bounds the list, so Spark broadcasts it by itself.
+    years = latest_values(sales if years_from is None else years_from, n, column)
     return sales.join(years, F.col(column) == F.col("year"), "left_semi")
 
 
+def latest_values(df: DataFrame, n: int, column: str = "annee_fichier") -> DataFrame:
+    """The `n` largest values of a column, as column `year`."""
+    values = df.select(F.col(column).alias("year")).distinct()
+    return values.orderBy(F.col("year").desc_nulls_last()).limit(n)
+
+
 def missing_years(sales: DataFrame, requested: Iterable[int], column: str = "annee_fichier") -> DataFrame:
     """Requested years that the table does not hold, as column `annee`."""
     years = F.explode(F.array(*[F.lit(int(y)) for y in requested])).alias("annee")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from habispark.constants import DWELLING_TYPES, MIN_SURFACE_M2, RETENTION_BAND, SALE_NATURE
-from habispark.functions import lenient_number, missing_to_null, parse_decimal_comma
+from habispark.functions import lenient_number, parse_decimal_comma
 
 FUNNEL_COUNTS = (
     "lignes_brutes",
@@ -24,11 +24,11 @@ FUNNEL_COUNTS = (
 
 
 def with_numbers(df: DataFrame) -> DataFrame:
-    """Price and surface as doubles; text is parsed leniently, numbers only lose NaN."""
+    """Price and surface as doubles; text is parsed leniently, numbers stay as they are."""
 
     def number(name: str, parse) -> Column:
         is_text = isinstance(df.schema[name].dataType, T.StringType)
-        return parse(F.col(name)) if is_text else missing_to_null(F.col(name).cast("double"))
+        return parse(F.col(name)) if is_text else F.col(name).cast("double")
 
     return df.withColumns(
         {
@@ -39,11 +39,17 @@ def with_numbers(df: DataFrame) -> DataFrame:
 
 
 def _conditions() -> tuple[Column, Column, Column, Column]:
+    """The four conditions, plain comparisons that Parquet scans can take over.
+
+    Spark orders NaN above infinity, so the upper bound excludes both.
+    """
+    infinity = F.lit(float("inf"))
+    price, surface = F.col("valeur_fonciere"), F.col("surface_reelle_bati")
     return (
         F.col("nature_mutation") == SALE_NATURE,
         F.col("type_local").isin(*DWELLING_TYPES),
-        F.col("valeur_fonciere") > 0,
-        F.col("surface_reelle_bati") > MIN_SURFACE_M2,
+        (price > 0) & (price < infinity),
+        (surface > MIN_SURFACE_M2) & (surface < infinity),
     )
 
 
@@ -73,14 +79,13 @@ def single_parcel_sales(usable: DataFrame, scope: Sequence[str] = ()) -> DataFra
     """Usable sales without the deeds of several parcels; rows without a deed id stay.
 
     The second join key repeats the deed id as a hash. Rows without an id match nothing, so theirs is
-    a hash of the row and spreads them over all tasks. The extra key also makes Spark shuffle both
-    sides for this join, the shape in which adaptive execution splits a deed that is very frequent.
+    a hash of columns read anyway and spreads them over all tasks. The extra key also makes Spark
+    shuffle both sides for this join, the shape in which adaptive execution splits a deed that is
+    very frequent.
     """
     deed = [*scope, "id_mutation"]
-    spread = F.coalesce(
-        F.when(F.col("id_mutation").isNotNull(), F.xxhash64("id_mutation")),
-        F.xxhash64(*[F.col(f"`{c}`") for c in usable.columns]),
-    )
+    of_row = F.xxhash64("valeur_fonciere", "surface_reelle_bati", "id_parcelle")
+    spread = F.when(F.col("id_mutation").isNull(), of_row).otherwise(F.xxhash64("id_mutation"))
     several = multi_parcel_deeds(usable, scope).withColumn("spread", F.xxhash64("id_mutation"))
     return usable.withColumn("spread", spread).join(several, [*deed, "spread"], "left_anti").drop("spread")
 

@@ -14,7 +14,7 @@ from habispark.session import scratch_dir
 HOT_ROWS = 1_000_000
 # Longest list of such groups. A group beyond the cut is smaller than every listed one, so it holds
 # less than 1 / MAX_HOT of all rows; it takes the ordinary grouped path, which is exact as well.
-MAX_HOT = 10_000
+MAX_HOT = 50_000
 
 
 def hot_name(key: str) -> str:

@@ -9,13 +9,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from habispark.constants import MIN_CERTIFICATES, MIN_SALES, PRICE_M2_BOUNDS, SAMPLE_ROWS
+from habispark.constants import DEFAULT_YEARS, MIN_CERTIFICATES, MIN_SALES, PRICE_M2_BOUNDS, SAMPLE_ROWS
 from habispark.operators import aggregates, certificates, communes, coverage, restrict, sales
 from habispark.operators.quality import QualityError, violations
+from habispark.operators.skew import written
 from habispark.session import scratch_dir
 from habispark.sinks import publish, stage, write_certificates, write_communes, write_sales
 from habispark.sources import (
     SchemaError,
+    landed_years,
     missing_certificate_fields,
     read_certificates,
     read_cog,
@@ -39,19 +41,22 @@ def ingest_sales(
     department: str | None = None,
 ) -> DataFrame:
     """Cleans landed sales into the sales table; returns the funnel by file year and in total."""
-    raw = read_sales(spark, landing)
-    if department is not None:
-        raw = raw.filter(F.col("departement") == department)
+    listed = landed_years(spark, landing)
     if years:
-        absent = [r.annee for r in restrict.missing_years(raw, years).collect()]
+        absent = sorted(r.annee for r in restrict.missing_years(listed, years).collect())
         if absent:
-            log.warning("requested years that are absent: %s", sorted(absent))
-        raw = restrict.sales_of_years(raw, years)
+            log.warning("requested years that are absent: %s", absent)
     else:
-        raw = restrict.latest_years(raw)
-    scope = [c for c in FILE_COLUMNS if c in raw.columns]
-    write_sales(sales.clean_sales(raw, scope), target)
-    funnel = sales.sales_funnel_total(sales.sales_funnel(raw, ["annee_fichier"]), "annee_fichier")
+        years = [r.year for r in restrict.latest_values(listed, DEFAULT_YEARS).collect()]
+    # Plain values, so that only the folders of these years are read.
+    raw = restrict.sales_of_years(read_sales(spark, landing), years)
+    if department is not None:
+        raw = raw.filter(F.col("departement") == department)
+    # Compressed text is slow to read and not splittable: it is converted once, for three passes.
+    rows = written(sales.with_numbers(raw), "sales")
+    scope = [c for c in FILE_COLUMNS if c in rows.columns]
+    write_sales(sales.clean_sales(rows, scope), target)
+    funnel = sales.sales_funnel_total(sales.sales_funnel(rows, ["annee_fichier"]), "annee_fichier")
     return funnel.withColumn("statut", sales.retention_status())
 
 

@@ -2,6 +2,7 @@
 
 from habispark.sources.files import (
     SchemaError,
+    landed_years,
     missing_certificate_fields,
     read_certificates,
     read_cog,
@@ -14,6 +15,7 @@ from habispark.sources.snapshots import latest_snapshot
 
 __all__ = [
     "SchemaError",
+    "landed_years",
     "latest_snapshot",
     "missing_certificate_fields",
     "read_certificates",

@@ -46,6 +46,12 @@ def read_sales(spark: SparkSession, path: str) -> DataFrame:
     return normalize_null_tokens(require_columns(raw, SALES_COLUMNS, "sales")).hint("rebalance")
 
 
+def landed_years(spark: SparkSession, path: str) -> DataFrame:
+    """The years landed below `path`, as column `annee_fichier`, from file names alone."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv*").load(path)
+    return files.select(F.col("annee_fichier").cast("int").alias("annee_fichier")).distinct()
+
+
 def read_cog(spark: SparkSession, path: str) -> DataFrame:
     """The official commune list, missing markers as NULL."""
     return normalize_null_tokens(require_columns(_read_text_csv(spark, path, {}), COG_COLUMNS, "communes"))

@@ -54,6 +54,14 @@ def test_sales_keep_text_and_partition_columns(spark, tmp_path):
     assert rows[0].adresse_numero is None and rows[1].type_local is None
 
 
+def test_landed_years_need_no_file_content(spark, tmp_path):
+    for year in (2021, 2023):
+        folder = tmp_path / f"annee_fichier={year}"
+        folder.mkdir()
+        (folder / "x.csv.gz").write_bytes(b"not a gzip file")
+    assert sorted(r.annee_fichier for r in sources.landed_years(spark, str(tmp_path)).collect()) == [2021, 2023]
+
+
 def test_sales_without_a_column_are_refused(spark, tmp_path):
     write_sales(tmp_path / "annee_fichier=2023", {}, columns=[c for c in SALES_COLUMNS if c != "id_parcelle"])
     with pytest.raises(sources.SchemaError, match="id_parcelle"):
