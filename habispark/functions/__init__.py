@@ -4,7 +4,6 @@ from habispark.functions.measures import int_round, price_per_m2, sale_year
 from habispark.functions.parsing import (
     lenient_integer,
     lenient_number,
-    missing_to_null,
     normalize_null_tokens,
     parse_decimal_comma,
 )
@@ -14,7 +13,6 @@ __all__ = [
     "int_round",
     "lenient_integer",
     "lenient_number",
-    "missing_to_null",
     "normalize_null_tokens",
     "parse_decimal_comma",
     "price_per_m2",

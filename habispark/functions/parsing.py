@@ -15,15 +15,11 @@ from habispark.constants import NULL_TOKENS
 _DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-def missing_to_null(number: Column) -> Column:
-    """NaN and infinities become NULL, because Spark orders NaN above every number."""
-    finite = ~F.isnan(number) & (F.abs(number) != F.lit(float("inf")))
-    return F.when(finite, number)
-
-
 def lenient_number(text: Column) -> Column:
     """Double value of a text cell, NULL where the text is not a finite decimal number."""
-    return missing_to_null(F.when(text.rlike(_DECIMAL), text.try_cast("double")))
+    number = F.when(text.rlike(_DECIMAL), text.try_cast("double"))
+    # Too large an exponent gives an infinity. nullif evaluates its argument once.
+    return F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def lenient_integer(text: Column) -> Column:

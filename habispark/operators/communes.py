@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ def communes_and_districts(cog: DataFrame) -> DataFrame:
 def lookup_name(df: DataFrame, names: Mapping[str, str], code: str, name: str) -> DataFrame:
     """Adds the name of a code from a fixed dictionary, '' where the code is unknown or NULL."""
     pairs = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    table = df.sparkSession.range(1).select(F.explode(pairs).alias("known_code", "known_name"))
+    table = df.sparkSession.range(0, 1, 1, 1).select(F.explode(pairs).alias("known_code", "known_name"))
     # One row per dictionary entry, about a hundred at most.
     joined = df.join(F.broadcast(table), F.col(code) == F.col("known_code"), "left")
     return joined.withColumn(name, F.coalesce("known_name", F.lit(""))).drop("known_code", "known_name")
@@ -63,11 +63,21 @@ def build_communes(cog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     ).select(*COMMUNE_COLUMNS)
 
 
-def first_non_null(df: DataFrame, key: str, values: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Per key, the first value that is present in each column, which may come from different rows."""
-    rank = F.struct(*order)
+def first_non_null(
+    df: DataFrame,
+    key: str,
+    values: Sequence[str],
+    order: Sequence[str],
+    convert: Callable[[Column], Column] = lambda value: value,
+) -> DataFrame:
+    """Per key, the first value that is present in each column, which may come from different rows.
+
+    `convert` is applied to every value, without changing which one is the first: a present value may
+    convert to NULL. Numbers ordered by a number aggregate by hash, where text needs a sort.
+    """
+    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     return df.groupBy(key).agg(
-        *[F.min_by(F.col(v), F.when(F.col(v).isNotNull(), rank)).alias(v) for v in values]
+        *[F.min_by(convert(F.col(v)), F.when(F.col(v).isNotNull(), rank)).alias(v) for v in values]
     )
 
 
@@ -78,12 +88,16 @@ def add_coordinates(communes: DataFrame, geocoded: DataFrame, order: Sequence[st
     """
     if not {"result_citycode", "latitude"} <= set(geocoded.columns):
         return communes
-    first = first_non_null(geocoded, "code_insee", ["latitude", "longitude"], order).select(
+
+    def number(text: Column) -> Column:
+        return lenient_number(text.cast("string"))
+
+    first = first_non_null(geocoded, "code_insee", ["latitude", "longitude"], order, number)
+    joined = communes.join(
+        first.withColumnsRenamed({"latitude": "found_latitude", "longitude": "found_longitude"}),
         "code_insee",
-        lenient_number(F.col("latitude").cast("string")).alias("found_latitude"),
-        lenient_number(F.col("longitude").cast("string")).alias("found_longitude"),
-    )
-    joined = communes.join(first, "code_insee", "left").withColumns(
+        "left",
+    ).withColumns(
         {
             "latitude": F.coalesce("found_latitude", "latitude"),
             "longitude": F.coalesce("found_longitude", "longitude"),

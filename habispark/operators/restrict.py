@@ -43,9 +43,9 @@ def latest_years(
     years_from: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of the `n` latest years present; `years_from` may be a cheaper frame to list them."""
-    # The limit bounds the list, so Spark broadcasts it by itself.
     years = latest_values(sales if years_from is None else years_from, n, column)
-    return sales.join(years, F.col(column) == F.col("year"), "left_semi")
+    # At most n rows.
+    return sales.join(F.broadcast(years), F.col(column) == F.col("year"), "left_semi")
 
 
 def latest_values(df: DataFrame, n: int, column: str = "annee_fichier") -> DataFrame:
@@ -57,6 +57,6 @@ def latest_values(df: DataFrame, n: int, column: str = "annee_fichier") -> DataF
 def missing_years(sales: DataFrame, requested: Iterable[int], column: str = "annee_fichier") -> DataFrame:
     """Requested years that the table does not hold, as column `annee`."""
     years = F.explode(F.array(*[F.lit(int(y)) for y in requested])).alias("annee")
-    wanted = sales.sparkSession.range(1).select(years)
+    wanted = sales.sparkSession.range(0, 1, 1, 1).select(years)
     present = sales.select(F.col(column).alias("present")).distinct()
     return wanted.join(present, F.col("annee") == F.col("present"), "left_anti")
