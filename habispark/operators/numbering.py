@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from habispark.operators.skew import HOT_ROWS, hot_groups, hot_name, only_hot, same_group
+from habispark.operators.skew import HOT_ROWS, hot_groups, hot_name, only_hot, same_group, written
 
-# Slices a hot group is cut into, searched in two steps of FAN comparisons.
-FAN = 32
-SLICES = FAN * FAN
+# Slices a hot group is cut into: a power of two, for the binary search.
+SLICES = 1024
 # Hot groups that are cut. A further one holds less than 1 / MAX_SLICED of all rows; it is numbered in
 # one task, by a sort that spills.
 MAX_SLICED = 1_000
@@ -37,11 +36,13 @@ def numbered(
         return df.withColumn(name, (F.row_number().over(whole) - 1).cast("long"))
     placed = df.withColumn("position", position.cast("double"))
     steps = [F.lit(i / SLICES) for i in range(1, SLICES)]
-    edges = (
+    # Written, because a sketch depends on the order of its input and is used twice below.
+    edges = written(
         only_hot(placed.select(key, "position"), hot, [key])
         .groupBy(key)
         .agg(F.percentile_approx("position", F.array(*steps), SLICES * 10).alias("edges"))
-        .select(F.col(key).alias(hot_name(key)), "edges")
+        .select(F.col(key).alias(hot_name(key)), "edges"),
+        "slice-edges",
     )
     # MAX_SLICED rows of SLICES doubles: at most 8 MB.
     cut = (
@@ -72,11 +73,14 @@ def numbered(
 
 
 def _slice_of(edges: str, value: str) -> Column:
-    """How many edges lie below the value: first among every FAN-th edge, then inside that stretch."""
-    below = lambda array: F.size(F.filter(array, lambda e: e < F.col(value)))
-    coarse = F.transform(F.sequence(F.lit(FAN), F.lit(SLICES - 1), F.lit(FAN)), lambda i: F.col(edges)[i - 1])
-    first = below(coarse) * FAN
-    return F.when(F.col(edges).isNotNull(), first + below(F.slice(F.col(edges), first + 1, FAN - 1)))
+    """How many of the sorted edges lie below the value, by binary search."""
+    widths = F.array(*[F.lit(SLICES >> i) for i in range(1, SLICES.bit_length())])
+
+    def step(found: Column, width: Column) -> Column:
+        below = F.col(edges)[found + width - 1] < F.col(value)
+        return F.when(below, found + width).otherwise(found)
+
+    return F.when(F.col(edges).isNotNull(), F.aggregate(widths, F.lit(0), step))
 
 
 def deduplicate_slugs(

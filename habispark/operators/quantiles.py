@@ -95,8 +95,12 @@ def _distributed(df, keys, quantiles, extras, weight) -> DataFrame:
             for side in (-margin, margin)
         }
     )
-    edges = values.groupBy(*series).agg(
-        F.percentile_approx("v", F.array(*[F.lit(c) for c in cuts]), SKETCH_ACCURACY).alias("edges")
+    # Written, because a sketch depends on the order of its input and is used twice below.
+    edges = written(
+        values.groupBy(*series).agg(
+            F.percentile_approx("v", F.array(*[F.lit(c) for c in cuts]), SKETCH_ACCURACY).alias("edges")
+        ),
+        "quantile-edges",
     )
     # At most MAX_HOT groups times the few value columns: bounded, so it may be broadcast.
     located = _attach(values, edges, series).withColumn(

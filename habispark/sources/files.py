@@ -99,6 +99,15 @@ def missing_certificate_fields(spark: SparkSession, path: str, multiline: bool =
     return expected.join(present, F.col("champ") == F.col("present"), "left_anti")
 
 
+# Folder names of the written tables that are codes; Spark would read "01" as a number.
+CODE_PARTITIONS = ("code_departement", "perimetre")
+
+
 def read_table(spark: SparkSession, path: str, required: Iterable[str] = ()) -> DataFrame:
-    """A Parquet folder whose files may differ in extra columns."""
-    return require_columns(spark.read.option("mergeSchema", True).parquet(path), required, path)
+    """A Parquet folder whose files may differ in extra columns; partition codes stay text."""
+    merged = require_columns(spark.read.option("mergeSchema", True).parquet(path), required, path)
+    fields = [
+        T.StructField(f.name, T.StringType() if f.name in CODE_PARTITIONS else f.dataType)
+        for f in merged.schema.fields
+    ]
+    return spark.read.schema(T.StructType(fields)).parquet(path)

@@ -147,6 +147,14 @@ def test_rewriting_one_department_keeps_the_others(spark, tmp_path):
     assert sorted(r.id_mutation for r in sources.read_table(spark, out).collect()) == ["1", "3"]
 
 
+def test_partition_codes_keep_leading_zeros(spark, tmp_path):
+    df = spark.createDataFrame([("1", 2023, "01"), ("2", 2023, None)], "id_mutation string, annee_fichier int, code_departement string")
+    sinks.write_sales(df, str(tmp_path))
+    table = sources.read_table(spark, str(tmp_path))
+    assert dict(table.dtypes) == {"id_mutation": "string", "annee_fichier": "int", "code_departement": "string"}
+    assert {r.code_departement for r in table.collect()} == {"01", None}
+
+
 def test_parquet_files_may_have_more_columns(spark, tmp_path):
     spark.range(2).write.parquet(f"{tmp_path}/k=1")
     spark.range(3).withColumn("more", F.lit("m")).write.parquet(f"{tmp_path}/k=2")
@@ -221,6 +229,9 @@ def test_whole_flow(spark, landed):
     assert (prices.nb_ventes, prices.prix_median, prices.prix_m2_median) == (4, 100002, 2000)
     assert spark.read.parquet(at("out/communes")).filter("slug = 'l-ete' and latitude = 45.5").count() == 1
 
+    report = plans.publish_results(spark, at("t_sales"), at("t_certificates"), at("t_communes"), at("out01"), "01")
+    counts = {r.mesure: r.lignes for r in report.collect()}
+    assert (counts["lignes_dvf_retenues"], counts["lignes_dpe_retenues"]) == (20, 3)
     report = plans.publish_results(spark, at("t_sales"), at("t_certificates"), at("t_communes"), at("out69"), "69")
     counts = {r.mesure: r.lignes for r in report.collect()}
     assert (counts["lignes_dvf"], counts["lignes_dvf_retenues"]) == (40, 20)
