@@ -6,10 +6,10 @@ import logging
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from habispark.constants import DEFAULT_YEARS, MIN_CERTIFICATES, MIN_SALES, PRICE_M2_BOUNDS, SAMPLE_ROWS
+from habispark.constants import CERTIFICATE_FIELDS, DEFAULT_YEARS, MIN_CERTIFICATES, MIN_SALES, PRICE_M2_BOUNDS, SAMPLE_ROWS
 from habispark.operators import aggregates, certificates, communes, coverage, restrict, sales
 from habispark.operators.quality import QualityError, violations
 from habispark.operators.skew import written
@@ -18,8 +18,9 @@ from habispark.sinks import publish, stage, write_certificates, write_communes,
 from habispark.sources import (
     SchemaError,
     landed_years,
-    missing_certificate_fields,
-    read_certificates,
+    certificate_columns,
+    field_counts,
+    read_certificate_maps,
     read_cog,
     read_geocoded,
     read_sales,
@@ -70,11 +71,17 @@ def ingest_certificates(
 ) -> None:
     """Cleans landed certificate pages of one scope into the certificates table."""
     scope = scope_name(postcode, everything)
-    # At most one row per expected field.
-    absent = [r.champ for r in missing_certificate_fields(spark, landing, multiline).collect()]
+    # One pass over the pages: fields are counted while the rows are converted.
+    counts = Observation()
+    maps = read_certificate_maps(spark, landing, multiline).observe(counts, *field_counts())
+    rows = written(certificates.clean_certificates(certificate_columns(maps)), "certificates")
+    found = counts.get
+    if not found["rows"]:
+        log.warning("no certificates below %s", landing)
+        return
+    absent = [field for field, name in CERTIFICATE_FIELDS.items() if not found[name]]
     if absent:
         raise SchemaError(f"certificates: missing fields {sorted(absent)}")
-    rows = certificates.clean_certificates(read_certificates(spark, landing, multiline))
     if postcode:
         rows = restrict.certificates_of_postcode(rows, postcode)
     write_certificates(rows, target, scope)

@@ -2,8 +2,10 @@
 
 from habispark.sources.files import (
     SchemaError,
+    certificate_columns,
+    field_counts,
     landed_years,
-    missing_certificate_fields,
+    read_certificate_maps,
     read_certificates,
     read_cog,
     read_geocoded,
@@ -15,9 +17,11 @@ from habispark.sources.snapshots import latest_snapshot
 
 __all__ = [
     "SchemaError",
+    "certificate_columns",
+    "field_counts",
     "landed_years",
     "latest_snapshot",
-    "missing_certificate_fields",
+    "read_certificate_maps",
     "read_certificates",
     "read_cog",
     "read_geocoded",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,19 +84,28 @@ def read_certificates(spark: SparkSession, path: str, multiline: bool = False) -
     return page_rows(pages)
 
 
-def missing_certificate_fields(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Expected fields, as column `champ`, that no landed row carries, not even with a null value."""
+def read_certificate_maps(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Certificates as one map per row (`row`), which still tells an absent key from a null value."""
     pages = (
         spark.read.schema("results array<map<string,string>>").option("multiLine", multiline).json(path)
     )
-    present = (
-        pages.select(F.explode("results").alias("row"))
-        .select(F.explode(F.map_keys("row")).alias("present"))
-        .distinct()
-    )
-    names = F.explode(F.array(*[F.lit(f) for f in CERTIFICATE_FIELDS])).alias("champ")
-    expected = spark.range(0, 1, 1, 1).select(names)
-    return expected.join(present, F.col("champ") == F.col("present"), "left_anti")
+    return pages.select(F.explode("results").alias("row"))
+
+
+def certificate_columns(maps: DataFrame) -> DataFrame:
+    """The expected fields of `row` as columns."""
+    return maps.select(*[F.try_element_at("row", F.lit(f)).alias(f) for f in CERTIFICATE_FIELDS])
+
+
+def field_counts() -> list[Column]:
+    """Aggregates: the number of rows (`rows`), and of rows with each field, named like its column."""
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        *[
+            F.count_if(F.map_contains_key("row", F.lit(field))).alias(name)
+            for field, name in CERTIFICATE_FIELDS.items()
+        ],
+    ]
 
 
 # Folder names of the written tables that are codes; Spark would read "01" as a number.

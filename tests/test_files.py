@@ -86,7 +86,8 @@ def test_certificate_pages(spark, tmp_path):
     rows = {r.numero_dpe: r for r in df.collect()}
     assert set(rows) == {"a", "b", "c"}
     assert (rows["a"].conso_energie, rows["c"].conso_energie, rows["b"].classe_ges) == (120.5, None, None)
-    assert sources.missing_certificate_fields(spark, str(tmp_path)).count() == 0
+    maps = sources.certificate_columns(sources.read_certificate_maps(spark, str(tmp_path)))
+    assert sorted(certificates.clean_certificates(maps).collect()) == sorted(df.collect())
 
 
 def test_indented_pages(spark, tmp_path):
@@ -95,12 +96,23 @@ def test_indented_pages(spark, tmp_path):
 
 
 def test_certificate_field_that_no_row_has(spark, tmp_path):
+    landing, out = tmp_path / "in", str(tmp_path / "out")
+    landing.mkdir()
     rows = [certificate("a", Etiquette_GES=None), certificate("b", Etiquette_GES=None)]
-    (tmp_path / "p1.json").write_text(json.dumps(page(*rows)))
-    missing = [r.champ for r in sources.missing_certificate_fields(spark, str(tmp_path)).collect()]
-    assert missing == ["Etiquette_GES"]
-    with pytest.raises(sources.SchemaError, match="Etiquette_GES"):
-        plans.ingest_certificates(spark, str(tmp_path), str(tmp_path / "out"), everything=True)
+    (landing / "p1.json").write_text(json.dumps(page(*rows)))
+    with pytest.raises(sources.SchemaError, match=r"\['Etiquette_GES'\]"):
+        plans.ingest_certificates(spark, str(landing), out, everything=True)
+    # A null value counts as present.
+    rows[1]["Etiquette_GES"] = None
+    (landing / "p1.json").write_text(json.dumps(page(*rows)))
+    plans.ingest_certificates(spark, str(landing), out, everything=True)
+    assert sources.read_table(spark, out).count() == 2
+
+
+def test_no_certificates(spark, tmp_path, caplog):
+    (tmp_path / "p1.json").write_text(json.dumps({"total": 0, "results": []}))
+    plans.ingest_certificates(spark, str(tmp_path), str(tmp_path / "out"), everything=True)
+    assert "no certificates" in caplog.text and not (tmp_path / "out").exists()
 
 
 def test_certificates_by_scope(spark, tmp_path):
