@@ -29,6 +29,7 @@ from habispark.operators import (
     restrict,
     sales,
 )
+from habispark.operators.skew import written
 from habispark.plans import build_and_publish, coverage_report
 from habispark.registry import standins as given
 from habispark.session import scratch_dir
@@ -470,9 +471,10 @@ def orphan_communes(spark, d):
 
 @query
 def quality_report(spark, d):
-    return quality.quality_report(
-        quality.violations(agg_commune_immo(spark, d), agg_commune_dpe(spark, d), given.communes(spark, d))
-    )
+    # Several checks read each table, so it is computed once.
+    prices = written(agg_commune_immo(spark, d), "prices")
+    energy = written(agg_commune_dpe(spark, d), "energy")
+    return quality.quality_report(quality.violations(prices, energy, given.communes(spark, d)))
 
 
 # A trailing underscore only keeps a query apart from the function it calls.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from habispark import plans, sinks, sources
 from habispark.constants import CERTIFICATE_FIELDS, COG_COLUMNS, SALES_COLUMNS
-from habispark.operators import certificates
+from habispark.operators import certificates, restrict
 from habispark.operators.quality import QualityError
 from habispark.session import scratch_dir
 from habispark.streaming import ingest_new_certificates
@@ -54,6 +54,15 @@ def test_sales_keep_text_and_partition_columns(spark, tmp_path):
     assert rows[0].adresse_numero is None and rows[1].type_local is None
 
 
+def test_only_the_folders_of_the_years_are_read(spark, tmp_path):
+    for year in (2021, 2023):
+        write_sales(tmp_path / f"annee_fichier={year}", {})
+    df = restrict.sales_of_years(sources.read_sales(spark, str(tmp_path)), [2023])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters: [") :]
+    assert "annee_fichier" in filters[: filters.index("]")] and df.count() == 1
+
+
 def test_landed_years_need_no_file_content(spark, tmp_path):
     for year in (2021, 2023):
         folder = tmp_path / f"annee_fichier={year}"
