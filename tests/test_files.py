@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -158,6 +159,28 @@ def test_stream_reads_each_page_once(spark, tmp_path):
         ingest_new_certificates(spark, str(landing), target, state)
 
 
+def test_stream_goes_on_after_a_failure(spark, tmp_path):
+    landing, target, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    landing.mkdir()
+
+    def land(name, *rows, age):
+        (landing / name).write_text(json.dumps(page(*rows)))
+        os.utime(landing / name, (age, age))
+
+    def run():
+        ingest_new_certificates(spark, str(landing), target, state, everything=True, files_per_batch=1)
+
+    land("p1.json", certificate("a"), age=1_700_000_000)
+    land("p2.json", certificate("b", **{"Année_construction": 1975.5}), age=1_700_000_100)
+    land("p3.json", certificate("c"), age=1_700_000_200)
+    with pytest.raises(Exception, match="not a whole number"):
+        run()
+    assert [r.numero_dpe for r in spark.read.parquet(f"{target}/full").collect()] == ["a"]
+    land("p2.json", certificate("b"), age=1_700_000_100)
+    run()
+    assert sorted(r.numero_dpe for r in spark.read.parquet(f"{target}/full").collect()) == ["a", "b", "c"]
+
+
 def test_rewriting_one_department_keeps_the_others(spark, tmp_path):
     def frame(*rows):
         return spark.createDataFrame(rows, "id_mutation string, annee_fichier int, code_departement string")

@@ -140,3 +140,22 @@ def test_prices_by_energy_class_with_repeated_certificates(spark):
         rows = aggregates.prices_by_energy_class(sold, certified, hot_rows).collect()
         found = {(r.code_insee, r.type_local, r.classe_dpe): (r.nb_observations, r.prix_m2_median) for r in rows}
         assert found == right
+
+
+def test_frequent_certificate_is_split_by_the_join(spark, small_skew_limits):
+    hot = F.col("id") % 3 == 0
+    sold = spark.range(0, 120_000, 1, 16).select(
+        F.concat(F.lit("c"), F.col("id") % 50).alias("code_commune"),
+        F.lit("Maison").alias("type_local"),
+        (F.rand(2) * 1000 + 1).alias("valeur_fonciere"),
+        F.lit(10.0).alias("surface_reelle_bati"),
+        F.when(hot, -1).otherwise(F.col("id")).alias("dpe_numero"),
+    )
+    # The frequent certificate is repeated as often as it is used: 40,000 times 40,000 pairs.
+    certified = spark.range(0, 120_000, 1, 16).select(
+        F.when(hot, -1).otherwise(F.col("id")).alias("numero_dpe"), F.lit("A").alias("classe_dpe")
+    )
+    table = aggregates.prices_by_energy_class(sold, certified)
+    rows = table.collect()
+    assert sum(r.nb_observations for r in rows) == 40_000 * 40_000 + 80_000
+    assert "skew=true" in table._jdf.queryExecution().executedPlan().toString()
