@@ -52,7 +52,8 @@ def ingest_sales(
     # Plain values, so that only the folders of these years are read.
     raw = restrict.sales_of_years(read_sales(spark, landing), years)
     if department is not None:
-        raw = raw.filter(F.col("departement") == department)
+        folder = "departement" if "departement" in raw.columns else "code_departement"
+        raw = raw.filter(F.col(folder) == department)
     # Compressed text is slow to read and not splittable: it is converted once, for three passes.
     rows = written(sales.with_numbers(raw), "sales")
     scope = [c for c in FILE_COLUMNS if c in rows.columns]
@@ -94,19 +95,18 @@ def ingest_communes(
     geocoded_path: str | None = None,
     department: str | None = None,
 ) -> DataFrame:
-    """Builds the communes table, checks that slugs are unique, and returns its profile."""
-    table = communes.build_communes(read_cog(spark, cog_path))
+    """Builds the communes table and returns its profile; raises before writing if slugs are not unique."""
+    table = written(communes.build_communes(read_cog(spark, cog_path)), "communes")
+    doubles = communes.duplicate_slugs(table).limit(SAMPLE_ROWS).collect()
+    if doubles:
+        raise QualityError(f"slugs that occur more than once: {[r.slug for r in doubles]}")
     if department is not None:
         table = restrict.communes_of_department(table, department)
     if geocoded_path is not None:
         answers = read_geocoded(spark, geocoded_path)
         table = communes.add_coordinates(table, answers, ["fichier", "latitude", "longitude"])
     write_communes(table, target)
-    written = read_table(spark, target)
-    doubles = communes.duplicate_slugs(written).limit(SAMPLE_ROWS).collect()
-    if doubles:
-        raise QualityError(f"slugs that occur more than once: {[r.slug for r in doubles]}")
-    return communes.communes_profile(written)
+    return communes.communes_profile(read_table(spark, target))
 
 
 def build_and_publish(

@@ -13,7 +13,7 @@ from habispark.sources.files import (
     read_table,
     require_columns,
 )
-from habispark.sources.snapshots import latest_snapshot
+from habispark.sources.snapshots import latest_snapshot, latest_snapshot_url
 
 __all__ = [
     "SchemaError",
@@ -21,6 +21,7 @@ __all__ = [
     "field_counts",
     "landed_years",
     "latest_snapshot",
+    "latest_snapshot_url",
     "read_certificate_maps",
     "read_certificates",
     "read_cog",

@@ -29,3 +29,11 @@ def latest_snapshot(manifest: DataFrame) -> DataFrame:
         .orderBy(F.col("title").desc(), F.col("url").desc())
         .limit(1)
     )
+
+
+def latest_snapshot_url(manifest: DataFrame) -> str:
+    """The address of the latest commune list, or an error if the manifest names none."""
+    found = latest_snapshot(manifest).first()
+    if found is None:
+        raise LookupError("the manifest names no yearly commune list")
+    return found.url

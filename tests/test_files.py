@@ -220,7 +220,9 @@ def test_latest_snapshot(spark):
     ]
     df = spark.createDataFrame(rows, "title string, url string")
     assert [r.url for r in sources.latest_snapshot(df).collect()] == ["https://x/2024.zip"]
-    assert sources.latest_snapshot(df.filter("title like '%cantons%'")).count() == 0
+    assert sources.latest_snapshot_url(df) == "https://x/2024.zip"
+    with pytest.raises(LookupError):
+        sources.latest_snapshot_url(df.filter("title like '%cantons%'"))
 
 
 @pytest.fixture
@@ -306,7 +308,22 @@ def test_duplicate_slugs_stop_the_commune_job(spark, tmp_path):
     lines = [",".join(COG_COLUMNS), "COM,1,84,01,a,x,", "COM,2,84,01,a,x,", "COM,3,84,01,a 1,x,"]
     (tmp_path / "cog.csv").write_text("\n".join(lines) + "\n")
     with pytest.raises(QualityError, match="a-1"):
-        plans.ingest_communes(spark, str(tmp_path / "cog.csv"), str(tmp_path / "out"))
+        plans.ingest_communes(spark, str(tmp_path / "cog.csv"), str(tmp_path / "out"), department="69")
+    assert not (tmp_path / "out").exists()
+
+
+def test_communes_of_one_department_keep_their_numbers(spark, tmp_path):
+    lines = [",".join(COG_COLUMNS), "COM,1,84,01,a,x,", "COM,2,84,69,a,x,", "COM,3,84,69,b,x,"]
+    (tmp_path / "cog.csv").write_text("\n".join(lines) + "\n")
+    profile = plans.ingest_communes(spark, str(tmp_path / "cog.csv"), str(tmp_path / "out"), department="69")
+    assert tuple(profile.first()) == (2, 2, 0)
+    assert sorted(r.slug for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a-1", "b"]
+
+
+def test_department_of_a_country_file(spark, tmp_path):
+    write_sales(tmp_path / "in" / "annee_fichier=2023", {}, {"id_mutation": "2", "code_departement": "01"})
+    report = plans.ingest_sales(spark, str(tmp_path / "in"), str(tmp_path / "out"), department="01").collect()
+    assert {r.annee_fichier: r.lignes_brutes for r in report} == {2023: 1, None: 1}
 
 
 def test_scratch_folder_is_the_shared_one(spark):
