@@ -6,6 +6,7 @@ import logging
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,8 +104,13 @@ def ingest_communes(
     if department is not None:
         table = restrict.communes_of_department(table, department)
     if geocoded_path is not None:
-        answers = read_geocoded(spark, geocoded_path)
-        table = communes.add_coordinates(table, answers, ["fichier", "latitude", "longitude"])
+        try:
+            answers = read_geocoded(spark, geocoded_path)
+        except AnalysisException as error:
+            # No batch came back: communes are published without coordinates.
+            log.warning("no geocoder answers below %s: %s", geocoded_path, error.getCondition())
+        else:
+            table = communes.add_coordinates(table, answers, ["fichier", "latitude", "longitude"])
     write_communes(table, target)
     return communes.communes_profile(read_table(spark, target))
 

@@ -320,6 +320,14 @@ def test_communes_of_one_department_keep_their_numbers(spark, tmp_path):
     assert sorted(r.slug for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a-1", "b"]
 
 
+def test_communes_without_geocoder_answers(spark, landed, caplog):
+    (landed / "none").mkdir()
+    for folder in ("none", "absent"):
+        profile = plans.ingest_communes(spark, str(landed / "cog"), str(landed / "out"), str(landed / folder))
+        assert tuple(profile.first()) == (2, 2, 0)
+        assert folder in caplog.text
+
+
 def test_department_of_a_country_file(spark, tmp_path):
     write_sales(tmp_path / "in" / "annee_fichier=2023", {}, {"id_mutation": "2", "code_departement": "01"})
     report = plans.ingest_sales(spark, str(tmp_path / "in"), str(tmp_path / "out"), department="01").collect()
