@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from habispark.operators.skew import HOT_ROWS, hot_groups, hot_name, only_hot, same_group, written
+from habispark.operators.skew import HOT_ROWS, hot_groups, hot_name, only_hot, same_group, slot_of, written
 
-# Slices a hot group is cut into: a power of two, for the binary search.
+# Slices a hot group is cut into: a power of two.
 SLICES = 1024
 # Hot groups that are cut. A further one holds less than 1 / MAX_SLICED of all rows; it is numbered in
 # one task, by a sort that spills.
@@ -48,7 +48,7 @@ def numbered(
     cut = (
         placed.join(F.broadcast(edges), same_group([key]), "left")
         .drop(hot_name(key))
-        .withColumn("slice", F.coalesce(_slice_of("edges", "position"), F.lit(0)))
+        .withColumn("slice", F.coalesce(slot_of("edges", "position", SLICES), F.lit(0)))
     )
     sizes = (
         cut.filter(F.col("edges").isNotNull())
@@ -72,17 +72,6 @@ def numbered(
     )
 
 
-def _slice_of(edges: str, value: str) -> Column:
-    """How many of the sorted edges lie below the value, by binary search."""
-    widths = F.array(*[F.lit(SLICES >> i) for i in range(1, SLICES.bit_length())])
-
-    def step(found: Column, width: Column) -> Column:
-        below = F.col(edges)[found + width - 1] < F.col(value)
-        return F.when(below, found + width).otherwise(found)
-
-    return F.when(F.col(edges).isNotNull(), F.aggregate(widths, F.lit(0), step))
-
-
 def deduplicate_slugs(
     df: DataFrame,
     order: Sequence[Column],

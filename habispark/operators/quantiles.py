@@ -3,13 +3,14 @@
 Ordinary groups use the built-in `percentile`. It keeps every distinct value of a group in one
 buffer, so groups above `hot_rows` rows are answered in three distributed steps instead:
 
-1. an approximate-quantile sketch per group (bounded, combined map-side) gives a narrow bracket
-   around each wanted quantile, which cuts the values of the group into segments;
+1. an approximate-quantile sketch per group (bounded, combined map-side) cuts the values of the
+   group into segments: a narrow one around each wanted quantile, even ones elsewhere;
 2. exact row counts per segment tell which segment holds each wanted rank;
 3. only the values of those segments are counted by value and ranked.
 
-The sketch decides how much work step 3 has, never the result: the counts are exact, so a poor
-bracket means a larger segment and not a wrong value.
+The sketch decides how much work step 3 has, never the result: the counts are exact, so a poor cut
+means a larger segment and not a wrong value. It does not know weights, so the rank of a weighted
+quantile may lie in one of the even segments.
 """
 
 from __future__ import annotations
@@ -19,9 +20,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from habispark.operators.skew import HOT_ROWS, hot_groups, only_hot, without_hot, written
+from habispark.operators.skew import HOT_ROWS, hot_groups, only_hot, slot_of, without_hot, written
 
 SKETCH_ACCURACY = 10_000
+# Segments of a large group: a power of two.
+SEGMENTS = 64
 
 
 def grouped_quantiles(
@@ -38,7 +41,8 @@ def grouped_quantiles(
 
     `quantiles` maps an output name to (value column, probability). `weight` names a column that says
     how many times a row counts. Group sizes may be bounded from above in a cheaper way: by the rows
-    of `sizes_from` instead of `df`, and by the columns `sized_by` out of `keys`.
+    of `sizes_from` instead of `df`, and by the columns `sized_by` out of `keys`, provided that the
+    other keys take few values.
     """
     sized_by = list(sized_by or keys)
     hot = hot_groups(df if sizes_from is None else sizes_from, sized_by, hot_rows)
@@ -86,15 +90,13 @@ def _distributed(df, keys, quantiles, extras, weight) -> DataFrame:
     )
     series = [*keys, "measure"]
 
-    # 1. Brackets. Two sketch errors on each side of the wanted rank.
+    # 1. Cuts. The narrow segments reach two sketch errors to each side of the wanted rank.
     margin = 2.0 / SKETCH_ACCURACY
-    cuts = sorted(
-        {
-            min(max(p + side, 0.0), 1.0)
-            for _, p in quantiles.values()
-            for side in (-margin, margin)
-        }
-    )
+    narrow = {
+        min(max(p + side, 0.0), 1.0) for _, p in quantiles.values() for side in (-margin, margin)
+    }
+    even = SEGMENTS - len(narrow)
+    cuts = sorted([*narrow, *[i / even for i in range(1, even)]])
     # Written, because a sketch depends on the order of its input and is used twice below.
     edges = written(
         values.groupBy(*series).agg(
@@ -103,12 +105,10 @@ def _distributed(df, keys, quantiles, extras, weight) -> DataFrame:
         "quantile-edges",
     )
     # At most MAX_HOT groups times the few value columns: bounded, so it may be broadcast.
-    located = _attach(values, edges, series).withColumn(
-        "segment", F.size(F.filter("edges", lambda e: e < F.col("v")))
-    )
+    located = _attach(values, edges, series).withColumn("segment", slot_of("edges", "v", SEGMENTS))
     segment = [*series, "segment"]
 
-    # 2. Ranks. A group has at most len(cuts) + 1 segments here.
+    # 2. Ranks. A group has at most SEGMENTS rows here.
     before = Window.partitionBy(*series).orderBy("segment")
     whole = Window.partitionBy(*series)
     counted = (

@@ -14,7 +14,7 @@ from habispark.session import scratch_dir
 HOT_ROWS = 1_000_000
 # Longest list of such groups. A group beyond the cut is smaller than every listed one, so it holds
 # less than 1 / MAX_HOT of all rows; it takes the ordinary grouped path, which is exact as well.
-MAX_HOT = 50_000
+MAX_HOT = 20_000
 
 
 def hot_name(key: str) -> str:
@@ -56,6 +56,20 @@ def only_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(F.broadcast(hot), same_group(keys), "left_semi")
 
 
+def slot_of(edges: str, value: str, slots: int) -> Column:
+    """How many of the `slots - 1` sorted edges lie below the value, by binary search.
+
+    `slots` must be a power of two; NULL edges give NULL.
+    """
+    widths = F.array(*[F.lit(slots >> i) for i in range(1, slots.bit_length())])
+
+    def step(found: Column, width: Column) -> Column:
+        below = F.col(edges)[found + width - 1] < F.col(value)
+        return F.when(below, found + width).otherwise(found)
+
+    return F.when(F.col(edges).isNotNull(), F.aggregate(widths, F.lit(0), step))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The frame as a Parquet table in the shared scratch folder, for rows that are read repeatedly."""
     path = scratch_dir(df.sparkSession, label)

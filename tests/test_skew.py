@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from habispark.operators import aggregates, numbering
 from habispark.operators.quantiles import grouped_quantiles
-from habispark.operators.skew import hot_groups
+from habispark.operators.skew import hot_groups, slot_of
 
 
 def skewed_rows(seed=7, n=4000):
@@ -159,3 +159,13 @@ def test_frequent_certificate_is_split_by_the_join(spark, small_skew_limits):
     rows = table.collect()
     assert sum(r.nb_observations for r in rows) == 40_000 * 40_000 + 80_000
     assert "skew=true" in table._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("slots", [2, 8, 64])
+def test_slots_by_binary_search(spark, slots):
+    rng = random.Random(slots)
+    edges = sorted(float(rng.randint(0, 40)) for _ in range(slots - 1))
+    values = [float(v) for v in range(-2, 44)]
+    df = spark.createDataFrame([(edges, v) for v in values], "edges array<double>, v double")
+    found = [r.s for r in df.select(slot_of("edges", "v", slots).alias("s")).collect()]
+    assert found == [int(x) for x in np.searchsorted(edges, values, side="left")]
