@@ -10,7 +10,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from habispark.constants import CERTIFICATE_FIELDS, DEFAULT_YEARS, MIN_CERTIFICATES, MIN_SALES, PRICE_M2_BOUNDS, SAMPLE_ROWS
+from habispark.constants import (
+    CERTIFICATE_FIELDS,
+    DEFAULT_YEARS,
+    MIN_CERTIFICATES,
+    MIN_SALES,
+    PRICE_M2_BOUNDS,
+    SAMPLE_ROWS,
+)
 from habispark.operators import aggregates, certificates, communes, coverage, restrict, sales
 from habispark.operators.quality import QualityError, violations
 from habispark.operators.skew import written
@@ -18,9 +25,9 @@ from habispark.session import scratch_dir
 from habispark.sinks import publish, stage, write_certificates, write_communes, write_sales
 from habispark.sources import (
     SchemaError,
-    landed_years,
     certificate_columns,
     field_counts,
+    landed_years,
     read_certificate_maps,
     read_cog,
     read_geocoded,
