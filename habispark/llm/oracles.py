@@ -5,6 +5,25 @@ from __future__ import annotations
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES = {
+    "op5_minhash_dedup": f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all({_LOWER}, '[^ \\t-\\r]+') AS ws FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                ELSE list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        common AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+            GROUP BY ALL
+        ), link AS (
+            SELECT a, b FROM common JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+            WHERE 100 * c >= 85 * (p.n + q.n - c)
+        ), reach(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents UNION SELECT doc_id, b FROM reach JOIN link ON other = a
+        ), component AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM component LEFT JOIN n USING (doc_id)
+    """,
     "op7_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from habispark.llm import exact_dedup
+from habispark.llm import exact_dedup, minhash
 from habispark.llm.tables import read_table
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose shingle sets agree to 85 %."""
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the largest id stays."""
     return exact_dedup.duplicate_groups(read_table(spark, sf_dir, "documents", "doc_id", "text"), largest=True)
 
 
-QUERIES = {"op7_exact_dedup": op7_exact_dedup}
+QUERIES = {"op5_minhash_dedup": op5_minhash_dedup, "op7_exact_dedup": op7_exact_dedup}
