@@ -10,7 +10,7 @@ ORACLES = {
             SELECT doc_id, regexp_extract_all({_LOWER}, '[^ \\t-\\r]+') AS ws FROM documents
         ), s AS (
             SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-                ELSE list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w
+                ELSE [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)] END) AS g FROM w
         ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
         common AS (
             SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id

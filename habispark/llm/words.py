@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Texts are worked through in slices of about this many bytes, one text at least.
 SLICE_BYTES = 1 << 20
@@ -123,7 +124,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     """The batch in pieces of about `limit` bytes of text, so that memory follows the longest text."""
     if not batch.num_rows:
         return
-    lengths = np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0))
+    lengths = np.asarray(pc.binary_length(batch.column(column)).fill_null(0))
     part = (np.cumsum(lengths) - lengths) // limit
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
