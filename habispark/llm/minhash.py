@@ -122,6 +122,26 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(check, "a long, b long")
 
 
+def _own_shingles(texts: DataFrame) -> DataFrame:
+    """doc_id, own: how many shingles of a text occur in no other one of `texts`; no row for none."""
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                hashes, first = shingle_sets(read_texts(part.column("text"), lower=True))
+                ids = np.repeat(part.column("doc_id").to_numpy(zero_copy_only=False), np.diff(first))
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(hashes.view(np.int64))], ["doc_id", "shingle"])
+
+    return (
+        texts.mapInArrow(shingles, "doc_id long, shingle long")
+        .groupBy("shingle")
+        .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("holders"))
+        .filter(F.col("holders") == 1)
+        .groupBy("doc_id")
+        .agg(F.count(F.lit(1)).alias("own"))
+    )
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of `docs`.
 
@@ -133,8 +153,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Documents with equal sets are one class from the start and are never paired. In every band bucket all
     classes are compared with one leader, the class that shares most with others. Only classes that this
-    leaves outside the bucket's main component are compared with the rest of their bucket, so the pairs
-    of a large group of near copies are never written out, yet no pair that shares a bucket stays undecided
+    leaves outside the bucket's main component are compared with the rest of their bucket, and only where an
+    exact bound allows a link: shingles that no other class in question has cannot be in an intersection. So the
+    pairs of a large group of near copies are never written out, yet no pair that shares a bucket stays undecided
     unless both are in one component already.
     """
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -187,16 +208,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .filter(F.col("components") > 1)
         .select("band", F.col("top.component").alias("main"))
     )
-    split = placed.join(main, "band")
+    split = stored(placed.join(main, "band"), "split-buckets")
+    own = _own_shingles(texts.join(split.select(F.col("rep").alias("doc_id")).distinct(), "doc_id"))
+    # From here on n counts all shingles and `shareable` those that another class has too.
+    split = split.join(own.withColumnRenamed("doc_id", "rep"), "rep", "left").withColumn(
+        "shareable", F.col("n") - F.coalesce("own", F.lit(0))
+    )
     outside = split.filter(F.col("component") != F.col("main")).select(
         "band",
         F.col("rep").alias("other"),
         F.col("n").alias("other_n"),
+        F.col("shareable").alias("other_shareable"),
         F.col("component").alias("other_component"),
     )
+    most = F.least("shareable", "other_shareable")
+    possible = 100 * most >= threshold * (F.col("n") + F.col("other_n") - most)
     rest = (
         split.join(outside, "band")
-        .filter((F.col("component") != F.col("other_component")) & similar)
+        .filter((F.col("component") != F.col("other_component")) & possible)
         .select(*paired("rep", "other"))
         .distinct()
         .join(stars, ["a", "b"], "left_anti")
