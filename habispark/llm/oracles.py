@@ -30,4 +30,21 @@ ORACLES = {
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)
     """,
+    "op10_substring_dedup": """
+        WITH w AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+') AS ws FROM documents
+        ), p AS (
+            SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w
+        ), g AS (
+            SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS t FROM p
+        ), hit AS (
+            SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY t) AS m FROM g) WHERE m < doc_id
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM hit
+        ), gs AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id)
+        SELECT doc_id, len(ws) AS n_words, coalesce(len(gone), 0) AS n_removed,
+               sha256(array_to_string(CASE WHEN gone IS NULL THEN ws
+                   ELSE [ws[i] FOR i IN range(1, len(ws) + 1) IF NOT list_contains(gone, i)] END, ' ')) AS kept_sha256
+        FROM w LEFT JOIN gs USING (doc_id)
+    """,
 }

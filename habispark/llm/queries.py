@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from habispark.llm import exact_dedup, minhash
+from habispark.llm import exact_dedup, line_crf, minhash, packing, substring
 from habispark.llm.tables import read_table
 
 
+def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document and the verdict of the rules and the line field."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return line_crf.ruled(docs, line_crf.train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose shingle sets agree to 85 %."""
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -18,4 +24,23 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(read_table(spark, sf_dir, "documents", "doc_id", "text"), largest=True)
 
 
-QUERIES = {"op5_minhash_dedup": op5_minhash_dedup, "op7_exact_dedup": op7_exact_dedup}
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in bins of four lengths."""
+    return packing.packed(packing.token_counts(read_table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words in windows of 50 that a document with a smaller id has too are removed."""
+    return substring.removed_words(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_line_rules,
+        op5_minhash_dedup,
+        op7_exact_dedup,
+        op9_best_fit_packing,
+        op10_substring_dedup,
+    )
+}

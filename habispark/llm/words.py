@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 SLICE_BYTES = 1 << 20
 
 _PRIME = 0x9E3779B97F4A7C15 | 1
-_WORD_PRIME = 0xD6E8FEB86659FD93 | 1
+WORD_PRIME = 0xD6E8FEB86659FD93 | 1
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -49,12 +49,12 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
-def _spans(values: np.ndarray, base: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def hash_slices(values: np.ndarray, base: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of values[start:end] for every pair, independent of where the span lies."""
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * powers(base, len(values)), out=sums[1:])
     inverse = powers(pow(base, -1, 1 << 64), len(values) + 1)
-    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64) * np.uint64(_WORD_PRIME))
+    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64) * np.uint64(WORD_PRIME))
 
 
 @dataclass
@@ -83,14 +83,14 @@ class Texts:
         return self.hash_spans(self.start, self.end)
 
     def hash_spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return _spans(_BYTE_VALUES[self.data], _PRIME, start, end)
+        return hash_slices(_BYTE_VALUES[self.data], _PRIME, start, end)
 
     def windows(self, hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """First word and hash of every run of `size` words inside one text."""
         at = np.arange(len(hashes))
         last = np.repeat(self.first[1:], self.counts)
         at = at[at + size <= last]
-        return at, _spans(hashes, _WORD_PRIME, at, at + size)
+        return at, hash_slices(hashes, WORD_PRIME, at, at + size)
 
     def word_bytes(self, i: int) -> bytes:
         return self.data[self.start[i] : self.end[i]].tobytes()
