@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from habispark.llm.tables import lower_ascii, partitions, stored
+from habispark.llm.tables import lower_ascii, partitions, stored, without_ids
 
 FAN_IN = 16
 # Entries a partition gathers before it closes a run: bounds the memory of a task.
@@ -158,5 +158,5 @@ def duplicate_groups(
 def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", largest: bool = False) -> DataFrame:
     """The rows of `docs` that `duplicate_groups` keeps, unchanged; of rows that are repeated whole,
     identifier included, all stay."""
-    dropped = duplicate_groups(docs, doc_id, text, largest).filter(~F.col("kept")).select(F.col("doc_id").alias("dropped_id"))
-    return docs.join(dropped.distinct(), F.col(doc_id).eqNullSafe(F.col("dropped_id")), "left_anti")
+    dropped = duplicate_groups(docs, doc_id, text, largest).filter(~F.col("kept"))
+    return without_ids(docs, doc_id, dropped.select("doc_id"))

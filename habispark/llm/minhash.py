@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from habispark.llm.components import connected_components
-from habispark.llm.tables import stored
+from habispark.llm.tables import stored, without_ids
 from habispark.llm.words import Texts, mix, read_texts, slices
 
 SHINGLE = 5
@@ -251,6 +251,4 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def without_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """The rows of `docs` whose identifier `near_duplicates` keeps, unchanged."""
     dropped = near_duplicates(docs, doc_id, text, threshold).filter(~F.col("kept") & F.col("doc_id").isNotNull())
-    return docs.join(
-        dropped.select(F.col("doc_id").alias("dropped_id")).distinct(), F.col(doc_id) == F.col("dropped_id"), "left_anti"
-    )
+    return without_ids(docs, doc_id, dropped.select("doc_id"))

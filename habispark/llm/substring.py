@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from habispark.llm.packed import pack, unpack
-from habispark.llm.tables import stored
+from habispark.llm.tables import stored, unused
 from habispark.llm.words import Texts, read_texts, slices
 
 WINDOW = 50
@@ -344,10 +344,9 @@ def _spaced(text):
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` with repeated passages taken out of `text`; other texts and all other columns stay as they are."""
     _, changed = repeats_cut(docs, doc_id, text)
-    cut = changed.select(
-        F.col("doc_id").alias("__changed_id"), F.col("text").alias("__old"), F.col("kept_text").alias("__new")
-    ).distinct()
-    same = (F.col(doc_id) == F.col("__changed_id")) & (F.col(text) == F.col("__old"))
+    key, old, new = (unused(name, docs.columns) for name in ("changed_id", "old_text", "new_text"))
+    cut = changed.select("doc_id", "text", "kept_text").distinct().toDF(key, old, new)
+    same = (F.col(doc_id) == F.col(key)) & (F.col(text) == F.col(old))
     return docs.join(cut, same, "left").select(
-        *[F.coalesce("__new", text).alias(text) if c == text else F.col(c) for c in docs.columns]
+        *[F.coalesce(new, text).alias(text) if c == text else F.col(c) for c in docs.columns]
     )

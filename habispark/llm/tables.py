@@ -31,6 +31,21 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A column name like `name` that is not among `columns`, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def without_ids(docs: DataFrame, doc_id: str, ids: DataFrame) -> DataFrame:
+    """The rows of `docs` whose identifier is not in the only column of `ids`; a NULL equals a NULL."""
+    name = unused("dropped_id", docs.columns)
+    dropped = ids.toDF(name).distinct()
+    return docs.join(dropped, F.col(doc_id).eqNullSafe(F.col(name)), "left_anti")
+
+
 def read_table(spark, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
