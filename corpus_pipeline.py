@@ -5,19 +5,46 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from habispark.llm import exact_dedup
-from habispark.llm.tables import stored
+from habispark.llm import exact_dedup, line_crf, minhash, packing, substring
+from habispark.llm.tables import read_table, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the line field reject go."""
+    return line_crf.passing(docs, line_crf.train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
-    return exact_dedup.without_copies(docs)
+    """Of equal texts the document with the largest id stays."""
+    return exact_dedup.without_copies(docs, largest=True)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near copies the document with the smallest id stays."""
+    return minhash.without_near_copies(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that a document with a smaller id has too are cut; n_chars follows the text."""
+    return substring.without_repeats(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in bins of the permitted lengths."""
+    return packing.packed(packing.token_counts(docs))
 
 
-STAGES: list[tuple[str, Stage]] = [("exact dedup", drop_copies)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", drop_boilerplate),
+    ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
+    ("substring dedup", cut_repeats),
+    ("packing", pack),
+]
 
 # The first stage is a trained sequence model, which SQL cannot express.
 ORACLE_SQL = None
