@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from habispark.llm.packed import pack, unpack
 from habispark.llm.tables import stored, unused
-from habispark.llm.words import Texts, read_texts, slices
+from habispark.llm.words import Texts, mix, read_texts, slices
 
 WINDOW = 50
 BLOCK = WINDOW // 2
@@ -192,23 +192,57 @@ def _received(group: pd.DataFrame, kind: type) -> tuple[np.ndarray, np.ndarray,
     )
 
 
-def _listed(ids: np.ndarray, places: np.ndarray) -> pd.DataFrame:
-    owners, lists = _spots(ids, places)
-    return pd.DataFrame({"doc_id": owners, "spots": lists.to_pandas()})
+def _routed(ids: np.ndarray, places: np.ndarray, buckets: int) -> pd.DataFrame:
+    """Findings packed for the task that gathers them by document."""
+    owner = (mix(ids.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+    order = np.lexsort((places, ids, owner))
+    owner, ids, places = owner[order], ids[order], places[order]
+    at = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, int)
+    ranges = list(zip(at, [*at[1:], len(owner)], strict=True))
+    return pd.DataFrame(
+        {
+            "owner": owner[at],
+            "ids": [pack(ids[a:b]) for a, b in ranges],
+            "places": [pack(places[a:b]) for a, b in ranges],
+        }
+    )
+
+
+def _anchors(buckets: int):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        keys, ids, places, ids_here, places_here = _received(group, np.uint32)
+        block = places % BLOCK == 0
+        beaten, _ = _decided(keys, ids, block)
+        anchor = beaten | (block & _member(keys, np.sort(keys[beaten])))
+        return _routed(np.concatenate([ids[anchor], ids_here]), np.concatenate([places[anchor], places_here]), buckets)
+
+    return run
+
+
+def _covers(buckets: int):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        keys, ids, places, ids_here, places_here = _received(group, np.uint64)
+        beaten, _ = _decided(keys, ids, np.ones(len(ids), bool))
+        return _routed(np.concatenate([ids[beaten], ids_here]), np.concatenate([places[beaten], places_here]), buckets)
+
+    return run
 
 
-def _anchors(group: pd.DataFrame) -> pd.DataFrame:
-    keys, ids, places, ids_here, places_here = _received(group, np.uint32)
-    block = places % BLOCK == 0
-    beaten, _ = _decided(keys, ids, block)
-    anchor = beaten | (block & _member(keys, np.sort(keys[beaten])))
-    return _listed(np.concatenate([ids[anchor], ids_here]), np.concatenate([places[anchor], places_here]))
+def _listed(group: pd.DataFrame) -> pd.DataFrame:
+    owners, lists = _spots(
+        np.concatenate([unpack(x) for x in group["ids"]]), np.concatenate([unpack(x) for x in group["places"]])
+    )
+    return pd.DataFrame({"doc_id": owners, "spots": lists.to_pandas()})
 
 
-def _covers(group: pd.DataFrame) -> pd.DataFrame:
-    keys, ids, places, ids_here, places_here = _received(group, np.uint64)
-    beaten, _ = _decided(keys, ids, np.ones(len(ids), bool))
-    return _listed(np.concatenate([ids[beaten], ids_here]), np.concatenate([places[beaten], places_here]))
+def _gathered_spots(sent: DataFrame, decide) -> DataFrame:
+    """doc_id and its spots: decided per bucket of window hashes, gathered per bucket of documents."""
+    return (
+        sent.groupBy("bucket")
+        .applyInPandas(decide, "owner int, ids binary, places binary")
+        .groupBy("owner")
+        .applyInPandas(_listed, _SPOTS)
+    )
 
 
 def _marked(texts: Texts, lists: pa.Array, before: int, after: int) -> np.ndarray:
@@ -259,10 +293,6 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _gathered_spots(spots: DataFrame) -> DataFrame:
-    return spots.groupBy("doc_id").agg(F.flatten(F.collect_list("spots")).alias("spots"))
-
-
 def _likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows whose id may be among `ids`: a filter of fixed size, exact on one side, so that the join that follows
     decides and this only spares it rows."""
@@ -301,14 +331,9 @@ def repeats_cut(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     words = summary.agg(F.sum("n_words")).first()[0] or 0
     buckets = max(1, words // GATHERED)
     named = plain.filter(F.col("doc_id").isNotNull())
-    anchors = stored(
-        _gathered_spots(named.mapInArrow(_probes(buckets), _SENT).groupBy("bucket").applyInPandas(_anchors, _SPOTS)),
-        "anchors",
-    )
+    anchors = stored(_gathered_spots(named.mapInArrow(_probes(buckets), _SENT), _anchors(buckets)), "anchors")
     anchored = stored(_likely(named, anchors).join(anchors, "doc_id"), "anchored")
-    covers = _gathered_spots(
-        anchored.mapInArrow(_windows(buckets), _SENT).groupBy("bucket").applyInPandas(_covers, _SPOTS)
-    )
+    covers = _gathered_spots(anchored.mapInArrow(_windows(buckets), _SENT), _covers(buckets))
     changed = anchored.drop("spots").join(covers, "doc_id").mapInArrow(
         _cut, "doc_id long, text string, n_removed long, kept_text string"
     )
