@@ -99,12 +99,19 @@ def _decided(keys: np.ndarray, ids: np.ndarray, source: np.ndarray) -> tuple[np.
     return beaten, best
 
 
+def _ranges(ordered: np.ndarray) -> list[tuple[int, int]]:
+    """Where each run of equal values begins and ends."""
+    if not len(ordered):
+        return []
+    cuts = [0, *(np.flatnonzero(ordered[1:] != ordered[:-1]) + 1).tolist(), len(ordered)]
+    return list(zip(cuts[:-1], cuts[1:], strict=True))
+
+
 def _send(keys: np.ndarray, ids: np.ndarray, places: np.ndarray, buckets: int, wide: bool) -> Iterator[pa.RecordBatch]:
     """Entries packed per bucket. Narrow keys keep the 32 bits that the bucket does not tell."""
     bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     bucket, keys, ids, places = bucket[order], keys[order], ids[order], places[order]
-    at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
     rows = [
         (
             int(bucket[a]),
@@ -113,7 +120,7 @@ def _send(keys: np.ndarray, ids: np.ndarray, places: np.ndarray, buckets: int, w
             pack(ids[a:b]),
             pack(places[a:b]),
         )
-        for a, b in zip(at, [*at[1:], len(bucket)], strict=True)
+        for a, b in _ranges(bucket)
     ]
     yield _sent(rows)
 
@@ -197,11 +204,10 @@ def _routed(ids: np.ndarray, places: np.ndarray, buckets: int) -> pd.DataFrame:
     owner = (mix(ids.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
     order = np.lexsort((places, ids, owner))
     owner, ids, places = owner[order], ids[order], places[order]
-    at = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, int)
-    ranges = list(zip(at, [*at[1:], len(owner)], strict=True))
+    ranges = _ranges(owner)
     return pd.DataFrame(
         {
-            "owner": owner[at],
+            "owner": owner[[a for a, _ in ranges]],
             "ids": [pack(ids[a:b]) for a, b in ranges],
             "places": [pack(places[a:b]) for a, b in ranges],
         }
