@@ -2,23 +2,43 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from habispark.llm import exact_dedup, line_crf, minhash, packing, substring
+from habispark.llm import bpe, exact_dedup, line_crf, minhash, packing, quality_qda, substring, toxicity_gru
 from habispark.llm.tables import read_table
 
 
+def op1_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by the quadratic discriminant."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return quality_qda.scored(docs, read_table(spark, sf_dir, "labels"))
+
+
 def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document and the verdict of the rules and the line field."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return line_crf.ruled(docs, line_crf.train(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op4_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by the recurrent network."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity_gru.scored(docs, read_table(spark, sf_dir, "labels"))
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose shingle sets agree to 85 %."""
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded with a public byte-level vocabulary and decoded again."""
+    return bpe.encoded(
+        read_table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the largest id stays."""
     return exact_dedup.duplicate_groups(read_table(spark, sf_dir, "documents", "doc_id", "text"), largest=True)
@@ -37,8 +57,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_quality_qda,
         op2_line_rules,
+        op4_toxicity_gru,
         op5_minhash_dedup,
+        op6_bpe_tree,
         op7_exact_dedup,
         op9_best_fit_packing,
         op10_substring_dedup,
