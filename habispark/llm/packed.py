@@ -20,3 +20,16 @@ def unpack(data: bytes) -> np.ndarray:
     planes = pa.decompress(data[8:], 8 * count, codec="zstd", asbytes=True)
     steps = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, count).T).view(np.int64).ravel()
     return np.cumsum((steps >> 1) ^ -(steps & 1))
+
+
+def pack_even(values: np.ndarray) -> bytes:
+    """An array of numbers in no order: byte planes, compressed, so that only the bytes in use take room."""
+    size = values.dtype.itemsize
+    planes = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, size).T).tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpack_even(data: bytes, kind: type) -> np.ndarray:
+    count, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = pa.decompress(data[8:], count * size, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, count).T).view(kind).ravel()

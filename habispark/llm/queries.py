@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from habispark.llm import bpe, exact_dedup, line_crf, minhash, packing, quality_qda, substring, toxicity_gru
+from habispark.llm import bpe, exact_dedup, line_crf, minhash, packing, pitman_yor, quality_qda, substring, toxicity_gru
 from habispark.llm.tables import read_table
 
 
@@ -44,6 +44,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(read_table(spark, sf_dir, "documents", "doc_id", "text"), largest=True)
 
 
+def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under the model of the training documents."""
+    return pitman_yor.scored(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in bins of four lengths."""
     return packing.packed(packing.token_counts(read_table(spark, sf_dir, "documents", "doc_id", "text")))
@@ -63,6 +68,7 @@ QUERIES = {
         op5_minhash_dedup,
         op6_bpe_tree,
         op7_exact_dedup,
+        op8_pitman_yor,
         op9_best_fit_packing,
         op10_substring_dedup,
     )
