@@ -5,7 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from habispark.llm import bpe, exact_dedup, line_crf, minhash, packing, pitman_yor, quality_qda, substring, toxicity_gru
+from habispark.llm import (
+    bpe,
+    exact_dedup,
+    line_crf,
+    link_trust,
+    minhash,
+    packing,
+    pitman_yor,
+    quality_qda,
+    substring,
+    toxicity_gru,
+)
 from habispark.llm.tables import read_table
 
 
@@ -21,6 +32,11 @@ def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.ruled(docs, line_crf.train(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op3_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules, and trust spread over host links, for every page."""
+    return link_trust.judged(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op4_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by the recurrent network."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -64,6 +80,7 @@ QUERIES = {
     for f in (
         op1_quality_qda,
         op2_line_rules,
+        op3_link_trust,
         op4_toxicity_gru,
         op5_minhash_dedup,
         op6_bpe_tree,
