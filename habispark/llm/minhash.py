@@ -148,7 +148,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Words are `[^\\x20\\x09-\\x0D]+` after A-Z is lower-cased. A text with fewer than five words is one
     shingle; a text without words (or NULL) has none and is linked with nothing, so it stays. The
     component is named after its smallest identifier. Rows with a NULL identifier are linked with
-    nothing and get a NULL component; rows that repeat an identifier share its component. An empty table gives an
+    nothing, get a NULL component and stay; rows that repeat an identifier share its component. An empty table gives an
     empty result; other columns may have any name.
 
     Documents with equal sets are one class from the start and are never paired. In every band bucket all
@@ -243,7 +243,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             "doc_id",
             "n_shingles",
             F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
-            F.col("doc_id").eqNullSafe(component).alias("kept"),
+            (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"),
         )
     )
 
