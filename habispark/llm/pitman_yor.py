@@ -27,8 +27,8 @@ from habispark.llm.packed import pack, pack_even, unpack, unpack_even
 from habispark.llm.tables import remainder, stored
 from habispark.llm.words import read_texts, slices
 
-CHUNK_TOKENS = 4_000_000
-BUCKET_TOKENS = 3_000_000
+CHUNK_TOKENS = 2_000_000
+BUCKET_TOKENS = 2_000_000
 STRENGTH = 1.0
 BURN_IN, SAMPLES = 2, 3
 # Customers of one word that are seated one by one; beyond, in doublings, by the expected rate.
