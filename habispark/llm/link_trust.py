@@ -26,7 +26,7 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 DAMPING = 0.85
-ITERATIONS = 20
+ITERATIONS = 15
 # Share of distrust in trust and distrust together from which a host is blocked.
 BLOCKED_FROM = 0.5
 _STORED_EVERY = 5
@@ -83,36 +83,26 @@ def spread(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """kind, host, score after ITERATIONS steps.
 
     `edges` has kind, source, target, links; `seeds` kind, host, weight (adding up to 1 per kind). What
-    reaches a host without onward links returns to the seeds.
+    reaches a host without onward links goes no further.
     """
     degree = edges.groupBy("kind", "source").agg(F.sum("links").alias("degree"))
-    steps = stored(
-        edges.join(degree, ["kind", "source"]).select("kind", "source", "target", (F.col("links") / F.col("degree")).alias("part")),
-        "host-steps",
-    )
+    part = (DAMPING * F.col("links") / F.col("degree")).alias("part")
+    steps = stored(edges.join(degree, ["kind", "source"]).select("kind", "source", "target", part), "host-steps")
     seeds = stored(seeds, "host-seeds")
-    scores = seeds.select("kind", "host", F.col("weight").alias("score"))
+    start = seeds.select("kind", "host", ((1 - DAMPING) * F.col("weight")).alias("score"))
+    scores = seeds.select("kind", F.col("host").alias("source"), F.col("weight").alias("score"))
     for i in range(1, ITERATIONS + 1):
-        arrived = (
-            scores.withColumnRenamed("host", "source")
-            .join(steps, ["kind", "source"])
-            .groupBy("kind", F.col("target").alias("host"))
-            .agg(F.sum(F.col("score") * F.col("part")).alias("arrived"))
-        )
-        # What has not moved on: the rest of 1 per kind, one row each.
-        rest = arrived.groupBy("kind").agg(F.sum("arrived").alias("moved"))
-        back = seeds.join(rest, "kind", "left").select(
-            "kind", "host", (F.col("weight") * (1 - DAMPING * F.coalesce("moved", F.lit(0.0)))).alias("score")
+        moved = scores.join(steps, ["kind", "source"]).select(
+            "kind", F.col("target").alias("host"), (F.col("score") * F.col("part")).alias("score")
         )
         scores = (
-            arrived.select("kind", "host", (DAMPING * F.col("arrived")).alias("score"))
-            .unionByName(back)
-            .groupBy("kind", "host")
+            moved.unionByName(start)
+            .groupBy("kind", F.col("host").alias("source"))
             .agg(F.sum("score").alias("score"))
         )
-        if i % _STORED_EVERY == 0 or i == ITERATIONS:
+        if i % _STORED_EVERY == 0:
             scores = stored(scores, "host-scores")
-    return scores
+    return scores.withColumnRenamed("source", "host")
 
 
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:

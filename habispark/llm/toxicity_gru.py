@@ -25,7 +25,7 @@ HIDDEN = 8
 WORD_BUCKETS, SLICE_BUCKETS = 1 << 16, 1 << 15
 SLICE = 4
 # Bounds of the training sample: documents of each class, and bytes of one of them.
-SAMPLE_DOCUMENTS = 1500
+SAMPLE_DOCUMENTS = 1200
 SAMPLE_BYTES = 1 << 15
 THRESHOLD = 0.3
 _EPOCHS, _BATCH, _RATE = 8, 256, 0.02
@@ -108,11 +108,12 @@ class Network:
         states = np.zeros((LENGTH, size, 2 * HIDDEN), np.float32)
         kept = {}
         for d, steps, part in (("f", range(LENGTH), slice(0, h3)), ("b", range(LENGTH - 1, -1, -1), slice(h3, 2 * h3))):
-            projected = x @ p[f"w{d}"] + p[f"c{d}"]
+            # Few windows need few of the words; many share theirs.
+            words = None if at.size < len(x) else x @ p[f"w{d}"] + p[f"c{d}"]
             h = np.zeros((size, HIDDEN), np.float32)
             trace = []
             for t in steps:
-                a = projected[at[:, t]]
+                a = x[at[:, t]] @ p[f"w{d}"] + p[f"c{d}"] if words is None else words[at[:, t]]
                 g = h @ p[f"u{d}"]
                 gates = _sigmoid(a[:, : 2 * h3] + g[:, : 2 * h3])
                 z, r = gates[:, :h3], gates[:, h3:]
@@ -172,29 +173,38 @@ class Toxicity:
         return 1 / (1 + np.exp(-np.clip(best, -500, 500))) * (texts.counts > 0)
 
 
-def _log_odds(buckets: np.ndarray, owner: np.ndarray, toxic: np.ndarray, size: int) -> np.ndarray:
-    """By bucket, from the number of training documents of each class that have it."""
+def _holders(buckets: np.ndarray, owner: np.ndarray, toxic: np.ndarray, size: int) -> np.ndarray:
+    """By class and bucket, the number of texts that have it."""
     pairs = np.unique(owner * size + buckets)
-    owner, buckets = pairs // size, pairs % size
-    has = [np.bincount(buckets[toxic[owner] == y], minlength=size) for y in (0, 1)]
-    total = [max((toxic == y).sum(), 1) for y in (0, 1)]
-    return np.log((has[1] + 2) / (total[1] + 4)) - np.log((has[0] + 2) / (total[0] + 4))
+    return np.stack([np.bincount(pairs[toxic[pairs // size] == y] % size, minlength=size) for y in (0, 1)])
 
 
 def fit(column: pa.Array, toxic: np.ndarray) -> Toxicity:
-    texts = read_texts(column, lower=True)
     rng = np.random.RandomState(11)
     words = rng.normal(0, 0.2, (WORD_BUCKETS, 5)).astype(np.float32)
     parts = rng.normal(0, 0.2, (SLICE_BUCKETS, 5)).astype(np.float32)
-    words[:, 0] = _log_odds(word_buckets(texts), texts.owner(), toxic, WORD_BUCKETS)
-    byte_owner = np.repeat(np.arange(texts.count), np.diff(texts.offsets))
-    parts[:, 0] = _log_odds(slice_buckets(texts), byte_owner, toxic, SLICE_BUCKETS)
     model = Toxicity(Tables(words, parts), Network())
     if len(set(toxic.tolist())) < 2:
         return model
+    # Slice by slice, so that only the inputs of all words are held at once.
+    sample = list(slices(pa.RecordBatch.from_arrays([column, pa.array(toxic)], ["text", "toxic"]), "text"))
+    holders = [np.zeros((2, WORD_BUCKETS)), np.zeros((2, SLICE_BUCKETS))]
+    for part in sample:
+        texts, y = read_texts(part.column("text"), lower=True), part.column("toxic").to_numpy()
+        holders[0] += _holders(word_buckets(texts), texts.owner(), y, WORD_BUCKETS)
+        byte_owner = np.repeat(np.arange(texts.count), np.diff(texts.offsets))
+        holders[1] += _holders(slice_buckets(texts), byte_owner, y, SLICE_BUCKETS)
+    total = [(toxic == y).sum() for y in (0, 1)]
+    for table, has in zip((words, parts), holders, strict=True):
+        table[:, 0] = np.log((has[1] + 2) / (total[1] + 4)) - np.log((has[0] + 2) / (total[0] + 4))
     network = model.network
-    x = inputs(texts, model.tables)
-    at, owner = windows(texts.first, len(x) - 1)
+    rows, counts = [], []
+    for part in sample:
+        texts = read_texts(part.column("text"), lower=True)
+        rows.append(inputs(texts, model.tables)[:-1])
+        counts.append(texts.counts)
+    x = np.concatenate([*rows, np.zeros((1, _INPUTS), np.float32)])
+    at, owner = windows(np.concatenate([[0], np.cumsum(np.concatenate(counts))]), len(x) - 1)
     lead = np.maximum(x[:, 0], x[:, 10])[at].max(axis=1)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.p.items()}
     step = 0

@@ -299,8 +299,7 @@ def test_ranks_equal_dense_iteration(spark):
         seed /= seed.sum()
         score = seed.copy()
         for _ in range(link_trust.ITERATIONS):
-            moved = score @ step
-            score = link_trust.DAMPING * moved + seed * (1 - link_trust.DAMPING * moved.sum())
+            score = link_trust.DAMPING * (score @ step) + (1 - link_trust.DAMPING) * seed
         for r in got:
             assert abs(r[column] - score[nodes.index(r.host)]) < 1e-9
     for r in got:
