@@ -195,14 +195,24 @@ def fit(column: pa.Array, toxic: np.ndarray) -> Toxicity:
         byte_owner = np.repeat(np.arange(texts.count), np.diff(texts.offsets))
         holders[1] += _holders(slice_buckets(texts), byte_owner, y, SLICE_BUCKETS)
     total = [(toxic == y).sum() for y in (0, 1)]
-    for table, has in zip((words, parts), holders, strict=True):
-        table[:, 0] = np.log((has[1] + 2) / (total[1] + 4)) - np.log((has[0] + 2) / (total[0] + 4))
+
+    def log_odds(has: np.ndarray, own: int | None) -> np.ndarray:
+        """With the text itself left out of the counts of its class `own`."""
+        has = [np.maximum(has[y] - (own == y), 0) for y in (0, 1)]
+        return np.log((has[1] + 2) / (total[1] + 4)) - np.log((has[0] + 2) / (total[0] + 4))
+
     network = model.network
-    rows, counts = [], []
-    for part in sample:
-        texts = read_texts(part.column("text"), lower=True)
-        rows.append(inputs(texts, model.tables)[:-1])
-        counts.append(texts.counts)
+    rows, counts, truth = [], [], []
+    for label in (0, 1):
+        words[:, 0], parts[:, 0] = (log_odds(has, label) for has in holders)
+        for part in sample:
+            own = part.column("text").filter(pa.array(part.column("toxic").to_numpy() == label))
+            texts = read_texts(own, lower=True)
+            rows.append(inputs(texts, model.tables)[:-1])
+            counts.append(texts.counts)
+            truth.append(np.full(len(own), label))
+    words[:, 0], parts[:, 0] = (log_odds(has, None) for has in holders)
+    toxic = np.concatenate(truth)
     x = np.concatenate([*rows, np.zeros((1, _INPUTS), np.float32)])
     at, owner = windows(np.concatenate([[0], np.cumsum(np.concatenate(counts))]), len(x) - 1)
     lead = np.maximum(x[:, 0], x[:, 10])[at].max(axis=1)
