@@ -26,6 +26,8 @@ THRESHOLD = 85
 # A pair at exactly 85 % shares no band with probability (1 - 0.85**7)**36, below 1e-6.
 BANDS, ROWS = 36, 7
 SLOTS = 1 << 20
+# Classes of shingles in the bound of the last comparison.
+COMMON_CLASSES, RARE_CLASSES, COMMON_FROM = 8, 24, 32
 _BLOCK = 4096
 _SIGNED = "doc_id long, n_shingles long, set_key binary, bands array<long>"
 
@@ -122,8 +124,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(check, "a long, b long")
 
 
-def _own_shingles(texts: DataFrame) -> DataFrame:
-    """doc_id, own: how many shingles of a text occur in no other one of `texts`; no row for none."""
+def _profiles(texts: DataFrame) -> DataFrame:
+    """doc_id, profile: how many shingles of a text that another of `texts` has as well fall into each class.
+
+    Classes are fixed by the shingle alone, by how many texts hold it and by its hash, so the sum of the smaller
+    counts of two texts over all classes is at least the size of their intersection.
+    """
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,13 +138,17 @@ def _own_shingles(texts: DataFrame) -> DataFrame:
                 ids = np.repeat(part.column("doc_id").to_numpy(zero_copy_only=False), np.diff(first))
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(hashes.view(np.int64))], ["doc_id", "shingle"])
 
+    rows = stored(texts.mapInArrow(shingles, "doc_id long, shingle long"), "split-shingles")
+    held = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).filter(F.col("holders") > 1)
+    common = F.pmod("shingle", F.lit(COMMON_CLASSES))
+    rare = COMMON_CLASSES + F.pmod("shingle", F.lit(RARE_CLASSES))
+    kind = F.when(F.col("holders") >= COMMON_FROM, common).otherwise(rare)
+    counts = [F.count_if(F.col("kind") == i).cast("int") for i in range(COMMON_CLASSES + RARE_CLASSES)]
     return (
-        texts.mapInArrow(shingles, "doc_id long, shingle long")
-        .groupBy("shingle")
-        .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("holders"))
-        .filter(F.col("holders") == 1)
+        rows.join(held, "shingle")
+        .select("doc_id", kind.alias("kind"))
         .groupBy("doc_id")
-        .agg(F.count(F.lit(1)).alias("own"))
+        .agg(F.array(*counts).alias("profile"))
     )
 
 
@@ -154,7 +164,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Documents with equal sets are one class from the start and are never paired. In every band bucket all
     classes are compared with one leader, the class that shares most with others. Only classes that this
     leaves outside the bucket's main component are compared with the rest of their bucket, and only where an
-    exact bound allows a link: shingles that no other class in question has cannot be in an intersection. So the
+    exact bound on the size of the intersection allows a link (`_profiles`). So the
     pairs of a large group of near copies are never written out, yet no pair that shares a bucket stays undecided
     unless both are in one component already.
     """
@@ -209,23 +219,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .select("band", F.col("top.component").alias("main"))
     )
     split = stored(placed.join(main, "band"), "split-buckets")
-    own = _own_shingles(texts.join(split.select(F.col("rep").alias("doc_id")).distinct(), "doc_id"))
-    # From here on n counts all shingles and `shareable` those that another class has too.
-    split = split.join(own.withColumnRenamed("doc_id", "rep"), "rep", "left").withColumn(
-        "shareable", F.col("n") - F.coalesce("own", F.lit(0))
-    )
+    profiles = _profiles(texts.join(split.select(F.col("rep").alias("doc_id")).distinct(), "doc_id"))
+    split = stored(split.join(profiles.withColumnRenamed("doc_id", "rep"), "rep"), "profiles")
     outside = split.filter(F.col("component") != F.col("main")).select(
         "band",
         F.col("rep").alias("other"),
         F.col("n").alias("other_n"),
-        F.col("shareable").alias("other_shareable"),
+        F.col("profile").alias("other_profile"),
         F.col("component").alias("other_component"),
     )
-    most = F.least("shareable", "other_shareable")
+    most = F.aggregate(F.zip_with("profile", "other_profile", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
     possible = 100 * most >= threshold * (F.col("n") + F.col("other_n") - most)
     rest = (
         split.join(outside, "band")
-        .filter((F.col("component") != F.col("other_component")) & possible)
+        .filter((F.col("component") != F.col("other_component")) & similar & possible)
         .select(*paired("rep", "other"))
         .distinct()
         .join(stars, ["a", "b"], "left_anti")
