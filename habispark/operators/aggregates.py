@@ -77,7 +77,8 @@ def commune_energy(certificates: DataFrame) -> DataFrame:
         .groupBy("code_insee", "classe_dpe")
         .agg(
             F.count(F.lit(1)).alias("nb_logements"),
-            F.round(F.avg("conso_energie"), 1).alias("conso_moyenne"),
+            # Doubles are summed in any order; what that leaves beyond nine decimals must not decide a tie.
+            F.round(F.round(F.avg("conso_energie"), 9), 1).alias("conso_moyenne"),
         )
     )
     commune = Window.partitionBy("code_insee")

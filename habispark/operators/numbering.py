@@ -11,9 +11,6 @@ from habispark.operators.skew import HOT_ROWS, hot_groups, hot_name, only_hot, s
 
 # Slices a hot group is cut into: a power of two.
 SLICES = 1024
-# Hot groups that are cut. A further one holds less than 1 / MAX_SLICED of all rows; it is numbered in
-# one task, by a sort that spills.
-MAX_SLICED = 1_000
 
 
 def numbered(
@@ -30,7 +27,7 @@ def numbered(
     only says where a hot group may be cut into slices. Rows are numbered within their slice and
     the sizes of the earlier slices are added, so no task sees a whole hot group.
     """
-    hot = hot_groups(df, [key], hot_rows, MAX_SLICED)
+    hot = hot_groups(df, [key], hot_rows)
     if hot is None:
         whole = Window.partitionBy(key).orderBy(*order)
         return df.withColumn(name, (F.row_number().over(whole) - 1).cast("long"))
@@ -44,9 +41,9 @@ def numbered(
         .select(F.col(key).alias(hot_name(key)), "edges"),
         "slice-edges",
     )
-    # MAX_SLICED rows of SLICES doubles: at most 8 MB.
+    # No broadcast hints: one row per hot group, so the size decides at run time.
     cut = (
-        placed.join(F.broadcast(edges), same_group([key]), "left")
+        placed.join(edges, same_group([key]), "left")
         .drop(hot_name(key))
         .withColumn("slice", F.coalesce(slot_of("edges", "position", SLICES), F.lit(0)))
     )
@@ -63,7 +60,6 @@ def numbered(
     )
     within = Window.partitionBy(key, "slice").orderBy(*order)
     ranked = cut.withColumn("within", F.row_number().over(within) - 1)
-    # No broadcast hint: up to MAX_SLICED * SLICES rows, so the size decides at run time.
     placed_rows = ranked.join(
         starts, same_group([key]) & (F.col("slice") == F.col("start_slice")), "left"
     )

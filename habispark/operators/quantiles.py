@@ -104,7 +104,6 @@ def _distributed(df, keys, quantiles, extras, weight) -> DataFrame:
         ),
         "quantile-edges",
     )
-    # At most MAX_HOT groups times the few value columns: bounded, so it may be broadcast.
     located = _attach(values, edges, series).withColumn("segment", slot_of("edges", "v", SEGMENTS))
     segment = [*series, "segment"]
 
@@ -171,10 +170,10 @@ def _distributed(df, keys, quantiles, extras, weight) -> DataFrame:
 
 
 def _attach(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join with a frame derived from the hot list alone (bounded), NULL keys included."""
+    """Join with a frame derived from the hot groups alone, NULL keys included; its size decides how."""
     renamed = small.select(
         *[F.col(c).alias(f"small_{c}") if c in on else F.col(c) for c in small.columns]
     )
     condition = [F.col(c).eqNullSafe(F.col(f"small_{c}")) for c in on]
-    joined = df.join(F.broadcast(renamed), condition, how)
+    joined = df.join(renamed, condition, how)
     return joined.drop(*[f"small_{c}" for c in on])

@@ -1,4 +1,4 @@
-"""Finding groups that are too large for one task, with a list that is bounded by construction."""
+"""Finding groups that are too large for one task."""
 
 from __future__ import annotations
 
@@ -12,33 +12,27 @@ from habispark.session import scratch_dir
 
 # A group with more rows than this is spread over tasks.
 HOT_ROWS = 1_000_000
-# Longest list of such groups. A group beyond the cut is smaller than every listed one, so it holds
-# less than 1 / MAX_HOT of all rows; it takes the ordinary grouped path, which is exact as well.
-MAX_HOT = 20_000
 
 
 def hot_name(key: str) -> str:
     return f"hot_{key}"
 
 
-def hot_groups(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT
-) -> DataFrame | None:
-    """Keys (prefixed `hot_`) of the largest groups above `hot_rows` rows, None if there are none.
+def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys (prefixed `hot_`) of all groups above `hot_rows` rows, None if there are none.
 
     Counts the groups in a job of its own. Knowing the answer while planning keeps the usual case, in
-    which no group is hot, at a plain grouped plan. At most `max_hot` key tuples reach the driver.
+    which no group is hot, at a plain grouped plan. The list has at most rows / `hot_rows` entries; it is a
+    table in the shared scratch folder, never on the driver, and its size decides how it is joined.
     """
-    largest = (
+    hot = written(
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("hot_size"))
         .filter(F.col("hot_size") > hot_rows)
-        .orderBy(F.col("hot_size").desc(), *keys)
-        .limit(max_hot)
-        .select(*[F.col(k).alias(hot_name(k)) for k in keys])
-        .toArrow()
+        .select(*[F.col(k).alias(hot_name(k)) for k in keys]),
+        "hot-keys",
     )
-    return df.sparkSession.createDataFrame(largest) if largest.num_rows else None
+    return None if hot.isEmpty() else hot
 
 
 def same_group(keys: Sequence[str]) -> Column:
@@ -49,11 +43,11 @@ def same_group(keys: Sequence[str]) -> Column:
 
 
 def without_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(F.broadcast(hot), same_group(keys), "left_anti")
+    return df.join(hot, same_group(keys), "left_anti")
 
 
 def only_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(F.broadcast(hot), same_group(keys), "left_semi")
+    return df.join(hot, same_group(keys), "left_semi")
 
 
 def slot_of(edges: str, value: str, slots: int) -> Column:

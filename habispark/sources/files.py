@@ -26,24 +26,25 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str = "table")
 
 def _read_text_csv(spark: SparkSession, path: str, partitions: dict[str, T.DataType]) -> DataFrame:
     """All columns as text, named by the header. Files whose header differs are refused."""
-    header = spark.read.option("header", True).csv(path).columns
+    # Quoted cells may hold line breaks.
+    options = {"header": True, "multiLine": True, "escape": '"'}
+    header = spark.read.options(**options).csv(path).columns
     fields = [
         T.StructField(name, partitions.get(name, T.StringType())) for name in header
     ]
     # enforceSchema=False compares every file's header with the schema.
-    reader = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"')
+    reader = spark.read.options(**options, enforceSchema=False)
     return reader.schema(T.StructType(fields)).csv(path)
 
 
 def read_sales(spark: SparkSession, path: str) -> DataFrame:
     """Sales from `annee_fichier=YYYY[/departement=DD]/*.csv.gz`, missing markers as NULL.
 
-    A gzip file is one input split, so a country-wide file arrives as one partition; the rebalance
-    hint spreads it before the wide work and lets adaptive execution choose the number of partitions.
+    A gzip file is one input split; once converted to Parquet its rows are splittable.
     """
     partitions = {"annee_fichier": T.IntegerType(), "departement": T.StringType()}
     raw = _read_text_csv(spark, path, partitions)
-    return normalize_null_tokens(require_columns(raw, SALES_COLUMNS, "sales")).hint("rebalance")
+    return normalize_null_tokens(require_columns(raw, SALES_COLUMNS, "sales"))
 
 
 def landed_years(spark: SparkSession, path: str) -> DataFrame:
