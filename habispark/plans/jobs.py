@@ -65,7 +65,7 @@ def ingest_sales(
     # Compressed text is slow to read and not splittable: it is converted once, for three passes.
     rows = written(sales.with_numbers(raw), "sales")
     scope = [c for c in FILE_COLUMNS if c in rows.columns]
-    write_sales(sales.clean_sales(rows, scope), target)
+    write_sales(sales.clean_sales(rows, scope), target, rows)
     funnel = sales.sales_funnel_total(sales.sales_funnel(rows, ["annee_fichier"]), "annee_fichier")
     return funnel.withColumn("statut", sales.retention_status())
 
@@ -117,7 +117,7 @@ def ingest_communes(
             # No batch came back: communes are published without coordinates.
             log.warning("no geocoder answers below %s: %s", geocoded_path, error.getCondition())
         else:
-            table = communes.add_coordinates(table, answers, ["fichier", "latitude", "longitude"])
+            table = communes.add_coordinates(table, answers, ["fichier", "position"])
     write_communes(table, target)
     return communes.communes_profile(read_table(spark, target))
 

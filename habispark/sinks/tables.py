@@ -23,9 +23,30 @@ def _replace_partitions(df: DataFrame, path: str, columns: list[str]) -> None:
     )
 
 
-def write_sales(sales: DataFrame, path: str) -> None:
-    """Clean sales by file year and département; another département of a year stays in place."""
-    _replace_partitions(sales, path, ["annee_fichier", "code_departement"])
+def write_sales(sales: DataFrame, path: str, landed: DataFrame | None = None) -> None:
+    """Clean sales by landed file: year and landed département, or for country files the row's own.
+
+    What the files in `landed` (raw rows, `sales` by default) produced before is replaced, also where nothing
+    of them is left now; other files of the same year stay. A table is laid out in one of the two ways: a
+    folder that already holds the other one is refused.
+    """
+    place = "departement" if "departement" in sales.columns else "code_departement"
+    columns = ["annee_fichier", place]
+    spark = sales.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    present = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/annee_fichier=*/*=*")) or []
+    if any(not folder.getPath().getName().startswith(f"{place}=") for folder in present):
+        raise ValueError(f"{path} holds the other kind of sales files, département or country")
+    _replace_partitions(sales, path, columns)
+    if landed is None:
+        return
+    kept = sales.select(*[F.col(c).alias(f"kept_{c}") for c in columns]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"kept_{c}")) for c in columns]
+    # One row per landed file, or per département of a country file.
+    for row in landed.select(*columns).distinct().join(kept, same, "left_anti").collect():
+        code = "__HIVE_DEFAULT_PARTITION__" if row[place] is None else row[place]
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/annee_fichier={row.annee_fichier}/{place}={code}"), True)
 
 
 def write_certificates(certificates: DataFrame, path: str, scope: str) -> None:

@@ -59,9 +59,12 @@ def read_cog(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_geocoded(spark: SparkSession, path: str) -> DataFrame:
-    """Geocoder answers of all batches in a folder; `fichier` names the batch a row comes from."""
-    rows = normalize_null_tokens(_read_text_csv(spark, path, {}))
-    return rows.withColumn("fichier", F.col("_metadata.file_name"))
+    """Geocoder answers of all batches in a folder; `fichier` names the batch a row comes from, `position`
+    grows along its rows (a quoted file is read by one task)."""
+    rows = _read_text_csv(spark, path, {}).withColumns(
+        {"fichier": F.col("_metadata.file_name"), "position": F.monotonically_increasing_id()}
+    )
+    return normalize_null_tokens(rows)
 
 
 CERTIFICATE_PAGE = T.StructType(
@@ -110,7 +113,7 @@ def field_counts() -> list[Column]:
 
 
 # Folder names of the written tables that are codes; Spark would read "01" as a number.
-CODE_PARTITIONS = ("code_departement", "perimetre")
+CODE_PARTITIONS = ("code_departement", "departement", "perimetre")
 
 
 def read_table(spark: SparkSession, path: str, required: Iterable[str] = ()) -> DataFrame:

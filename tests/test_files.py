@@ -338,3 +338,34 @@ def test_scratch_folder_is_the_shared_one(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first.startswith(root) and first != second
+
+
+def test_a_rerun_replaces_what_its_files_gave(spark, tmp_path):
+    columns = "id_mutation string, annee_fichier int, departement string, code_departement string"
+    frame = lambda *rows: spark.createDataFrame(list(rows), columns)
+    out = str(tmp_path / "sales")
+    sinks.write_sales(frame(*[(str(i), 2023, "01", "01") for i in range(5)], ("null", 2023, "01", None)), out)
+    # A stray row of 01 and one without a département come with the file of 69.
+    second = frame(("a", 2023, "69", "69"), ("b", 2023, "69", "01"), ("c", 2023, "69", None))
+    sinks.write_sales(second, out, second)
+    assert spark.read.parquet(out).count() == 9
+    sinks.write_sales(frame(("a", 2023, "69", "69")).limit(0), out, second)
+    assert spark.read.parquet(out).count() == 6
+    with pytest.raises(ValueError):
+        sinks.write_sales(second.drop("departement"), out)
+
+
+def test_geocoder_answers_keep_their_order(spark, tmp_path):
+    from habispark.sources import read_geocoded
+
+    (tmp_path / "batch.csv").write_text("code,latitude\n" + "".join(f"x,{v}\n" for v in ("45.9", "5.1", "45.1")))
+    found = read_geocoded(spark, str(tmp_path)).orderBy("fichier", "position").collect()
+    assert [str(r.latitude) for r in found] == ["45.9", "5.1", "45.1"]
+
+
+def test_quoted_line_breaks_stay_in_their_cell(spark, tmp_path):
+    folder = tmp_path / "annee_fichier=2023"
+    write_sales(folder, {"adresse_nom_voie": "RUE\nHAUTE"}, {"adresse_nom_voie": "PLACE"})
+    from habispark.sources import read_sales
+
+    assert sorted(r.adresse_nom_voie for r in read_sales(spark, str(tmp_path)).collect()) == ["PLACE", "RUE\nHAUTE"]
