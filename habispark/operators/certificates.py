@@ -14,6 +14,22 @@ def rename_certificates(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(CERTIFICATE_FIELDS)
 
 
+def unique_certificates(df: DataFrame) -> DataFrame:
+    """One row per certificate number, the latest and then the greatest one; rows without a number all stay.
+
+    The columns that say how a row was landed (`perimetre`, `lot`) go.
+    """
+    rows = df.drop("perimetre", "lot")
+    others = ["date_etablissement", *[c for c in rows.columns if c not in ("numero_dpe", "date_etablissement")]]
+    numbered = (
+        rows.filter(F.col("numero_dpe").isNotNull())
+        .groupBy("numero_dpe")
+        .agg(F.max(F.struct(*others)).alias("latest"))
+        .select("numero_dpe", "latest.*")
+    )
+    return numbered.unionByName(rows.filter(F.col("numero_dpe").isNull())).select(*rows.columns)
+
+
 def clean_certificates(df: DataFrame) -> DataFrame:
     """Renamed columns with numeric consumption, surface and construction year."""
     return rename_certificates(df).withColumns(

@@ -73,6 +73,31 @@ def require_no_violation(checks: Mapping[str, DataFrame]) -> None:
             raise QualityError(f"{name}: {bad.count()} rows break the rule, for example {examples}")
 
 
+def quality_counts(prices: DataFrame, energy: DataFrame, communes: DataFrame) -> DataFrame:
+    """`quality_report` over all checks, in one pass over prices and one over energy shares."""
+    (low, high), (least, most) = PRICE_M2_BOUNDS, SHARE_BOUNDS
+    known = communes.groupBy("code_insee").agg(F.max("code_departement").alias("code_departement"))
+    median, share = F.col("prix_m2_median"), F.col("part_pct")
+    of_prices = prices.select("code_insee", "prix_m2_median").join(known, "code_insee", "left").agg(
+        F.count_if((median < low) | (median > high)).alias("prix_m2_bornes"),
+        F.count_if(F.col("code_departement").isNull()).alias("communes_departement"),
+    )
+    of_shares = (
+        energy.groupBy("code_insee")
+        .agg(F.count_if((share < least) | (share > most)).alias("off"), F.sum(share).alias("total"))
+        .agg(
+            F.coalesce(F.sum("off"), F.lit(0)).alias("part_pct_bornes"),
+            F.count_if(F.abs(F.col("total") - SHARE_TOTAL) > SHARE_TOLERANCE).alias("part_pct_somme"),
+        )
+    )
+    counts = [
+        df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("controle"), F.col(c).alias("lignes")) for c in df.columns])))
+        for df in (of_prices, of_shares)
+    ]
+    status = F.when(F.col("lignes") > 0, "ko").otherwise("ok")
+    return reduce(DataFrame.unionByName, counts).withColumn("statut", status)
+
+
 def quality_report(checks: Mapping[str, DataFrame]) -> DataFrame:
     """All checks at once: name, number of rows that break the rule, status."""
     counts = [

@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from habispark.constants import (
-    CERTIFICATE_FIELDS,
     DEFAULT_YEARS,
     MIN_CERTIFICATES,
     MIN_SALES,
@@ -21,12 +20,8 @@ from habispark.constants import (
 from habispark.operators import aggregates, certificates, communes, coverage, restrict, sales
 from habispark.operators.quality import QualityError, violations
 from habispark.operators.skew import written
-from habispark.session import scratch_dir
-from habispark.sinks import publish, stage, write_certificates, write_communes, write_sales
+from habispark.sinks import discard, new_version, publish, read_published, stage, write_certificates, write_communes, write_sales
 from habispark.sources import (
-    SchemaError,
-    certificate_columns,
-    field_counts,
     landed_years,
     read_certificate_maps,
     read_cog,
@@ -34,7 +29,7 @@ from habispark.sources import (
     read_sales,
     read_table,
 )
-from habispark.streaming.certificates import scope_name
+from habispark.streaming.certificates import checked_certificates, scope_name
 
 log = logging.getLogger("habispark")
 
@@ -80,19 +75,10 @@ def ingest_certificates(
 ) -> None:
     """Cleans landed certificate pages of one scope into the certificates table."""
     scope = scope_name(postcode, everything)
-    # One pass over the pages: fields are counted while the rows are converted.
-    counts = Observation()
-    maps = read_certificate_maps(spark, landing, multiline).observe(counts, *field_counts())
-    rows = written(certificates.clean_certificates(certificate_columns(maps)), "certificates")
-    found = counts.get
-    if not found["rows"]:
+    rows = checked_certificates(read_certificate_maps(spark, landing, multiline), postcode)
+    if rows is None:
         log.warning("no certificates below %s", landing)
         return
-    absent = [field for field, name in CERTIFICATE_FIELDS.items() if not found[name]]
-    if absent:
-        raise SchemaError(f"certificates: missing fields {sorted(absent)}")
-    if postcode:
-        rows = restrict.certificates_of_postcode(rows, postcode)
     write_certificates(rows, target, scope)
 
 
@@ -134,36 +120,33 @@ def build_and_publish(
 ) -> DataFrame:
     """Builds, checks and publishes the four result tables; returns the coverage report.
 
-    Every aggregate is computed once: the coverage rule and the checks read the staged files.
+    Every aggregate is computed once, into a new version folder; the coverage rule and the checks read its files.
     """
     spark = communes_table.sparkSession
     kept_sales, kept_certificates = sales_table, certificates_table
     if department is not None:
         kept_sales = restrict.sales_of_department(sales_table, department)
         kept_certificates = restrict.certificates_of_department(certificates_table, department)
-    staging = scratch_dir(spark, "staging")
-    staged = {
-        name: stage(table, f"{staging}/{name}")
-        for name, table in {
-            "communes": communes_table,
-            "agg_commune_immo": aggregates.commune_prices(kept_sales),
-            "agg_commune_dpe": aggregates.commune_energy(kept_certificates),
-        }.items()
-    }
-    eligible = coverage.eligible_communes(
-        staged["communes"], staged["agg_commune_immo"], staged["agg_commune_dpe"],
-        min_sales, min_certificates,
-    )
-    staged["communes_eligible"] = stage(
-        eligible.select("code_insee"), f"{staging}/communes_eligible"
-    )
-    checks = violations(
-        staged["agg_commune_immo"], staged["agg_commune_dpe"], staged["communes"], price_bounds
-    )
-    publish(staged, target, checks)
+    version = new_version(target)
+    try:
+        staged = {
+            name: stage(table, f"{version}/{name}")
+            for name, table in {
+                "communes": communes_table,
+                "agg_commune_immo": aggregates.commune_prices(kept_sales),
+                "agg_commune_dpe": aggregates.commune_energy(kept_certificates),
+            }.items()
+        }
+        prices, energy, known = staged["agg_commune_immo"], staged["agg_commune_dpe"], staged["communes"]
+        eligible = coverage.eligible_communes(known, prices, energy, min_sales, min_certificates)
+        stage(eligible.select("code_insee"), f"{version}/communes_eligible")
+        publish(spark, version, violations(prices, energy, known, price_bounds))
+    except Exception:
+        discard(spark, version)
+        raise
     return coverage_report(
         sales_table, kept_sales, certificates_table, kept_certificates,
-        staged["communes"], staged["communes_eligible"],
+        known, read_published(spark, target, "communes_eligible"),
     )
 
 
@@ -174,11 +157,13 @@ def publish_results(
     communes_path: str,
     target: str,
     department: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
-    """`build_and_publish` over stored tables."""
+    """`build_and_publish` over stored tables; `unique` counts a certificate of several scopes once."""
+    stored = read_table(spark, certificates_path)
     return build_and_publish(
         read_table(spark, sales_path),
-        read_table(spark, certificates_path),
+        certificates.unique_certificates(stored) if unique else stored,
         read_table(spark, communes_path),
         target,
         department,

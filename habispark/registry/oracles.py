@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from habispark.constants import DEPARTMENT_NAMES, REGION_NAMES
 from habispark.registry.queries import (
-    CHECKED_CLASSES,
-    CHECKED_TOTAL,
     COMMUNE_DEPARTMENT,
     DEPARTMENT,
     LATEST,
@@ -14,7 +12,9 @@ from habispark.registry.queries import (
     POSTCODE,
     PRICE_BOUNDS,
     REQUESTED_YEARS,
+    REWRITTEN_YEAR,
     SHARE_BOUNDS,
+    SHARE_SLACK,
 )
 
 
@@ -164,7 +164,6 @@ _CERTIFICATE_COLUMNS = """numero_dpe, code_postal, code_insee, adresse, classe_d
 
 
 def oracles() -> dict[str, str]:
-    checked = ", ".join(f"'{c}'" for c in CHECKED_CLASSES)
     in_department = f"""code_insee is null or left(code_insee, 2) = '{DEPARTMENT}'
   or left(code_insee, 3) = '{DEPARTMENT}'"""
     years = " union all ".join(f"select {y} y" for y in REQUESTED_YEARS)
@@ -173,6 +172,18 @@ def oracles() -> dict[str, str]:
 select cast(id_mutation as varchar) id_mutation, date_mutation, nature_mutation, type_local, valeur_fonciere,
   surface_reelle_bati, code_commune, code_departement, cast(id_parcelle as varchar) id_parcelle, annee_fichier,
   '0' || left(code_commune, 1) departement from sales""", "sales"),
+        "src_sales_country_csv": _with(f"""
+select cast(id_mutation as varchar) id_mutation, valeur_fonciere, code_commune, annee_fichier,
+  case when annee_fichier = {REWRITTEN_YEAR} then 'a, "b"' || chr(10) || 'c' end remarque from sales""", "sales"),
+        "src_geocoded_csv": _with("""
+select code_insee, cast(latitude as varchar) latitude, cast(longitude as varchar) longitude from found""",
+            "found"),
+        "write_sales_twice": _with(f"""
+select id_mutation, id_parcelle, type_local, code_departement, annee_fichier from clean
+where annee_fichier <> {REWRITTEN_YEAR} or type_local = 'Maison'""", "clean"),
+        "write_certificates_scopes": _with("""
+select numero_dpe, code_postal, code_insee, classe_dpe, conso_energie from certificates""", "certificates"),
+        "write_communes_table": _with("select code_insee, nom, code_departement from communes", "communes"),
         "src_communes_csv": _with("""
 select typecom "TYPECOM", com "COM", reg "REG", dep "DEP", libelle "LIBELLE", cast(null as varchar) "COMPARENT"
 from cog""", "cog"),
@@ -302,8 +313,8 @@ where prix_m2_median < {PRICE_BOUNDS[0]} or prix_m2_median > {PRICE_BOUNDS[1]}""
 select code_insee, classe_dpe, part_pct from energy
 where part_pct < {SHARE_BOUNDS[0]} or part_pct > {SHARE_BOUNDS[1]}""", "energy"),
         "check_share_sum": _with(f"""
-select code_insee, round(sum(part_pct), 1) total from energy where classe_dpe in ({checked})
-group by code_insee having abs(sum(part_pct) - {CHECKED_TOTAL}) > 0.5""", "energy"),
+select code_insee, round(sum(part_pct), 1) total from energy
+group by code_insee having abs(sum(part_pct) - 100) > {SHARE_SLACK}""", "energy"),
         "orphan_communes": _with("""
 select i.code_insee from immo i left join communes c on i.code_insee = c.code_insee
 where c.code_departement is null""", "immo", "communes"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from habispark import sinks, sources, streaming
-from habispark.constants import DEPARTMENT_NAMES
+from habispark.constants import CERTIFICATE_FIELDS, DEPARTMENT_NAMES
 from habispark.functions import (
     int_round,
     lenient_integer,
@@ -29,7 +29,6 @@ from habispark.operators import (
     restrict,
     sales,
 )
-from habispark.operators.skew import written
 from habispark.plans import build_and_publish, coverage_report
 from habispark.registry import standins as given
 from habispark.session import scratch_dir
@@ -45,8 +44,9 @@ MIN_SALES, MIN_CERTIFICATES = 60, 45
 PRICE_BOUNDS = (1000, 3000)
 PUBLISHED_PRICE_BOUNDS = (1, 1_000_000)
 SHARE_BOUNDS = (22, 28)
-CHECKED_CLASSES = ("A", "C", "E")
-CHECKED_TOTAL = 75
+# Rounded shares miss the total by more than this in some communes.
+SHARE_SLACK = 0.05
+REWRITTEN_YEAR = 1996
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,6 +106,34 @@ def src_communes_csv(spark, d):
     return sources.read_cog(spark, landing).select("TYPECOM", "COM", "REG", "DEP", "LIBELLE", "COMPARENT")
 
 
+@query
+def src_sales_country_csv(spark, d):
+    """Sales written as compressed CSV by year alone; the column `remarque` comes with one year only."""
+    landing = scratch_dir(spark, "country-csv")
+    rows = given.sales(spark, d).drop("id_voie", "dpe_numero")
+    late = F.col("annee_fichier") == REWRITTEN_YEAR
+    for part in (rows.filter(~late), rows.filter(late).withColumn("remarque", F.lit("a, \"b\"\nc"))):
+        (
+            part.hint("rebalance", "annee_fichier")
+            .write.mode("append").partitionBy("annee_fichier")
+            .options(header=True, compression="gzip", escape='"').csv(landing)
+        )
+    return sales.with_numbers(sources.read_sales(spark, landing)).select(
+        "id_mutation", "valeur_fonciere", "code_commune", "annee_fichier", "remarque"
+    )
+
+
+@query
+def src_geocoded_csv(spark, d):
+    """Answers in batches, of which the first coordinate of each commune counts."""
+    landing = scratch_dir(spark, "geocoded-csv")
+    answers = given.geocoded(spark, d).repartitionByRange("ordre").sortWithinPartitions("ordre")
+    answers.drop("ordre").write.option("header", True).csv(landing)
+    return communes.first_non_null(
+        sources.read_geocoded(spark, landing), "code_insee", ["latitude", "longitude"], ["fichier", "position"]
+    )
+
+
 def _certificate_pages(spark, d) -> str:
     landing = scratch_dir(spark, "certificate-pages")
     _pages(given.certificate_fields(spark, d)).write.json(landing)
@@ -113,8 +141,10 @@ def _certificate_pages(spark, d) -> str:
 
 
 def _pages(rows: DataFrame) -> DataFrame:
+    """Pages of all rows of a day of establishment and a class."""
     row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    return rows.select(F.array(row).alias("results"), F.lit(None).cast("string").alias("next"))
+    day, energy_class = (F.col(f) for f, name in CERTIFICATE_FIELDS.items() if name in ("date_etablissement", "classe_dpe"))
+    return rows.groupBy(day, energy_class).agg(F.collect_list(row).alias("results")).select("results", F.lit(None).cast("string").alias("next"))
 
 
 @query
@@ -168,7 +198,7 @@ def publish_tables(spark, d):
         min_sales=MIN_SALES, min_certificates=MIN_CERTIFICATES, price_bounds=PUBLISHED_PRICE_BOUNDS,
     )
     counts = [
-        spark.read.parquet(f"{target}/{name}")
+        sinks.read_published(spark, target, name)
         .agg(F.count(F.lit(1)).alias("lignes"), F.count_distinct("code_insee").alias("communes"))
         .select(F.lit(name).alias("nom_table"), "lignes", "communes")
         for name in sinks.tables.PUBLISHED
@@ -182,11 +212,42 @@ def certificates_stream(spark, d):
     landing, target = scratch_dir(spark, "pages"), scratch_dir(spark, "stream")
     checkpoints = scratch_dir(spark, "stream-state")
     pages = _pages(given.certificate_fields(spark, d))
-    early = F.col("results")[0]["Etiquette_DPE"].isin("A", "C")
+    field = next(f for f, name in CERTIFICATE_FIELDS.items() if name == "classe_dpe")
+    early = F.col("results")[0][field].isin("A", "C")
     for arrived in (early, ~early):
         pages.filter(arrived).write.mode("append").json(landing)
         streaming.ingest_new_certificates(spark, landing, target, checkpoints, everything=True)
-    return spark.read.parquet(f"{target}/full")
+    return sources.read_table(spark, target).drop("perimetre", "lot")
+
+
+@query
+def write_sales_twice(spark, d):
+    """All sales, then one year again of which only houses are left."""
+    target, rows = scratch_dir(spark, "sales-table"), _clean(spark, d).drop("dpe_numero")
+    sinks.write_sales(rows, target)
+    again = rows.filter(F.col("annee_fichier") == REWRITTEN_YEAR)
+    sinks.write_sales(again.filter(F.col("type_local") == "Maison"), target, again)
+    return sources.read_table(spark, target).select(
+        "id_mutation", "id_parcelle", "type_local", "code_departement", "annee_fichier"
+    )
+
+
+@query
+def write_certificates_scopes(spark, d):
+    """Two scopes that overlap, each certificate once."""
+    target, rows = scratch_dir(spark, "certificates-table"), given.certificates(spark, d)
+    sinks.write_certificates(rows, target, "full")
+    sinks.write_certificates(restrict.certificates_of_postcode(rows, POSTCODE), target, POSTCODE)
+    return certificates.unique_certificates(sources.read_table(spark, target)).select(
+        "numero_dpe", "code_postal", "code_insee", "classe_dpe", "conso_energie"
+    )
+
+
+@query
+def write_communes_table(spark, d):
+    target = scratch_dir(spark, "communes-table")
+    sinks.write_communes(given.communes(spark, d), target)
+    return sources.read_table(spark, target).select("code_insee", "nom", "code_departement")
 
 
 @query
@@ -459,9 +520,8 @@ def check_share_bounds(spark, d):
 
 @query
 def check_share_sum(spark, d):
-    """Three of the four classes against three quarters, so that some communes are off."""
-    kept = agg_commune_dpe(spark, d).filter(F.col("classe_dpe").isin(*CHECKED_CLASSES))
-    return quality.share_total_off(kept, CHECKED_TOTAL).withColumn("total", F.round("total", 1))
+    off = quality.share_total_off(agg_commune_dpe(spark, d), tolerance=SHARE_SLACK)
+    return off.withColumn("total", F.round("total", 1))
 
 
 @query
@@ -471,10 +531,7 @@ def orphan_communes(spark, d):
 
 @query
 def quality_report(spark, d):
-    # Several checks read each table, so it is computed once.
-    prices = written(agg_commune_immo(spark, d), "prices")
-    energy = written(agg_commune_dpe(spark, d), "energy")
-    return quality.quality_report(quality.violations(prices, energy, given.communes(spark, d)))
+    return quality.quality_counts(agg_commune_immo(spark, d), agg_commune_dpe(spark, d), given.communes(spark, d))
 
 
 # A trailing underscore only keeps a query apart from the function it calls.

@@ -1,5 +1,23 @@
 """Writers; each one replaces what it wrote before."""
 
-from habispark.sinks.tables import publish, stage, write_certificates, write_communes, write_sales
+from habispark.sinks.tables import (
+    discard,
+    new_version,
+    publish,
+    read_published,
+    stage,
+    write_certificates,
+    write_communes,
+    write_sales,
+)
 
-__all__ = ["publish", "stage", "write_certificates", "write_communes", "write_sales"]
+__all__ = [
+    "discard",
+    "new_version",
+    "publish",
+    "read_published",
+    "stage",
+    "write_certificates",
+    "write_communes",
+    "write_sales",
+]

@@ -2,14 +2,36 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
+from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from habispark.operators.quality import require_no_violation
 
 PUBLISHED = ("communes", "agg_commune_immo", "agg_commune_dpe", "communes_eligible")
+# Written last: a version without it was not published.
+MARK = "_PUBLISHED"
+KEPT_VERSIONS = 2
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _files(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Existing paths that fit a pattern, in order."""
+    return sorted(found.getPath().toString() for found in _files(spark, pattern).globStatus(_path(spark, pattern)) or [])
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    _files(spark, path).delete(_path(spark, path), True)
 
 
 def _replace_partitions(df: DataFrame, path: str, columns: list[str]) -> None:
@@ -33,10 +55,8 @@ def write_sales(sales: DataFrame, path: str, landed: DataFrame | None = None) ->
     place = "departement" if "departement" in sales.columns else "code_departement"
     columns = ["annee_fichier", place]
     spark = sales.sparkSession
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    present = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/annee_fichier=*/*=*")) or []
-    if any(not folder.getPath().getName().startswith(f"{place}=") for folder in present):
+    present = _matching(spark, f"{path}/annee_fichier=*/*=*")
+    if any(not folder.rsplit("/", 1)[1].startswith(f"{place}=") for folder in present):
         raise ValueError(f"{path} holds the other kind of sales files, département or country")
     _replace_partitions(sales, path, columns)
     if landed is None:
@@ -46,12 +66,23 @@ def write_sales(sales: DataFrame, path: str, landed: DataFrame | None = None) ->
     # One row per landed file, or per département of a country file.
     for row in landed.select(*columns).distinct().join(kept, same, "left_anti").collect():
         code = "__HIVE_DEFAULT_PARTITION__" if row[place] is None else row[place]
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/annee_fichier={row.annee_fichier}/{place}={code}"), True)
+        _drop(spark, f"{path}/annee_fichier={row.annee_fichier}/{place}={code}")
 
 
-def write_certificates(certificates: DataFrame, path: str, scope: str) -> None:
-    """Clean certificates of one scope (a postal code, or 'full')."""
-    _replace_partitions(certificates.withColumn("perimetre", F.lit(scope)), path, ["perimetre"])
+def write_certificates(certificates: DataFrame, path: str, scope: str, lot: str = "pages") -> None:
+    """Clean certificates of one scope (a postal code, or 'full') and one lot of its pages.
+
+    Replaces what the lot held before, so that a lot may be written again; the lot 'pages' stands for all pages of
+    the scope and replaces all its lots. Files are sorted by place, so that row-group statistics serve lookups.
+    """
+    spark = certificates.sparkSession
+    folder = f"{path}/perimetre={scope}"
+    rows = certificates.hint("rebalance").sortWithinPartitions("code_postal", "code_insee")
+    rows.write.mode("overwrite").parquet(f"{folder}/lot={lot}")
+    if lot == "pages":
+        for other in _matching(spark, f"{folder}/lot=*"):
+            if not other.endswith("/lot=pages"):
+                _drop(spark, other)
 
 
 def write_communes(communes: DataFrame, path: str) -> None:
@@ -59,21 +90,43 @@ def write_communes(communes: DataFrame, path: str) -> None:
 
 
 def _sorted_by_commune(df: DataFrame) -> DataFrame:
-    """Sorted files, so that row-group statistics serve lookups by commune."""
-    return df.repartitionByRange("code_insee").sortWithinPartitions("code_insee")
+    """Sorted files, so that row-group statistics serve lookups by commune. Dealt by hash: a range would be
+    sampled first, and the frame computed twice."""
+    return df.repartition("code_insee").sortWithinPartitions("code_insee")
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
-    """Writes a result table aside and reads it back, so that later steps use what was written."""
+    """Writes a result table and reads it back, so that later steps use what was written."""
     _sorted_by_commune(df).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def publish(staged: Mapping[str, DataFrame], target: str, checks: Mapping[str, DataFrame]) -> None:
-    """Replaces the published tables by staged ones, unless one of the checks finds rows.
+def new_version(target: str) -> str:
+    """A folder for the next version of the published tables; later ones have greater names."""
+    return f"{target}/version-{datetime.now(UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+
+def publish(spark: SparkSession, version: str, checks: Mapping[str, DataFrame]) -> None:
+    """Publishes the tables written below `version`, all at once, unless one of the checks finds rows.
 
-    A failing check raises before anything is replaced.
+    One empty file, written last, makes the version count; readers see the one before until then. The last
+    KEPT_VERSIONS published versions stay, for reads that have begun.
     """
     require_no_violation(checks)
-    for name in PUBLISHED:
-        _sorted_by_commune(staged[name]).write.mode("overwrite").parquet(f"{target}/{name}")
+    _files(spark, version).create(_path(spark, f"{version}/{MARK}"), True).close()
+    target = version.rsplit("/", 1)[0]
+    for old in _matching(spark, f"{target}/version-*/{MARK}")[:-KEPT_VERSIONS]:
+        _drop(spark, old.rsplit("/", 1)[0])
+
+
+def discard(spark: SparkSession, version: str) -> None:
+    """Deletes a version that was not published."""
+    _drop(spark, version)
+
+
+def read_published(spark: SparkSession, target: str, name: str) -> DataFrame:
+    """A table of the version published last."""
+    versions = _matching(spark, f"{target}/version-*/{MARK}")
+    if not versions:
+        raise LookupError(f"nothing is published below {target}")
+    return spark.read.parquet(f"{versions[-1].rsplit('/', 1)[0]}/{name}")

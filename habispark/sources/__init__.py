@@ -5,6 +5,7 @@ from habispark.sources.files import (
     certificate_columns,
     field_counts,
     landed_years,
+    page_maps,
     read_certificate_maps,
     read_certificates,
     read_cog,
@@ -22,6 +23,7 @@ __all__ = [
     "landed_years",
     "latest_snapshot",
     "latest_snapshot_url",
+    "page_maps",
     "read_certificate_maps",
     "read_certificates",
     "read_cog",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,10 +25,12 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str = "table")
     return df
 
 
-def _read_text_csv(spark: SparkSession, path: str, partitions: dict[str, T.DataType]) -> DataFrame:
+def _read_text_csv(
+    spark: SparkSession, path: str, partitions: dict[str, T.DataType], base: str | None = None
+) -> DataFrame:
     """All columns as text, named by the header. Files whose header differs are refused."""
     # Quoted cells may hold line breaks.
-    options = {"header": True, "multiLine": True, "escape": '"'}
+    options = {"header": True, "multiLine": True, "escape": '"'} | ({"basePath": base} if base else {})
     header = spark.read.options(**options).csv(path).columns
     fields = [
         T.StructField(name, partitions.get(name, T.StringType())) for name in header
@@ -40,11 +43,20 @@ def _read_text_csv(spark: SparkSession, path: str, partitions: dict[str, T.DataT
 def read_sales(spark: SparkSession, path: str) -> DataFrame:
     """Sales from `annee_fichier=YYYY[/departement=DD]/*.csv.gz`, missing markers as NULL.
 
-    A gzip file is one input split; once converted to Parquet its rows are splittable.
+    A gzip file is one input split; once converted to Parquet its rows are splittable. Columns beyond the
+    required ones may differ from year to year; all years are split by département, or none is (Spark refuses
+    such a mix of folders).
     """
     partitions = {"annee_fichier": T.IntegerType(), "departement": T.StringType()}
-    raw = _read_text_csv(spark, path, partitions)
-    return normalize_null_tokens(require_columns(raw, SALES_COLUMNS, "sales"))
+    years = sorted(
+        "__HIVE_DEFAULT_PARTITION__" if r.annee_fichier is None else str(r.annee_fichier)
+        for r in landed_years(spark, path).collect()
+    )
+    parts = [
+        require_columns(_read_text_csv(spark, f"{path}/annee_fichier={y}", partitions, path), SALES_COLUMNS, f"sales {y}")
+        for y in years
+    ]
+    return normalize_null_tokens(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts))
 
 
 def landed_years(spark: SparkSession, path: str) -> DataFrame:
@@ -88,14 +100,18 @@ def read_certificates(spark: SparkSession, path: str, multiline: bool = False) -
     return page_rows(pages)
 
 
-def read_certificate_maps(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+CERTIFICATE_MAPS = "results array<map<string,string>>"
+
+
+def page_maps(pages: DataFrame) -> DataFrame:
     """Certificates as one map per row (`row`), which still tells an absent key from a null value."""
-    pages = (
-        spark.read.schema("results array<map<string,string>>").option("multiLine", multiline).json(path)
-    )
     return pages.select(F.explode("results").alias("row"))
 
 
+def read_certificate_maps(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    return page_maps(spark.read.schema(CERTIFICATE_MAPS).option("multiLine", multiline).json(path))
+
+
 def certificate_columns(maps: DataFrame) -> DataFrame:
     """The expected fields of `row` as columns."""
     return maps.select(*[F.try_element_at("row", F.lit(f)).alias(f) for f in CERTIFICATE_FIELDS])
@@ -113,7 +129,7 @@ def field_counts() -> list[Column]:
 
 
 # Folder names of the written tables that are codes; Spark would read "01" as a number.
-CODE_PARTITIONS = ("code_departement", "departement", "perimetre")
+CODE_PARTITIONS = ("code_departement", "departement", "perimetre", "lot")
 
 
 def read_table(spark: SparkSession, path: str, required: Iterable[str] = ()) -> DataFrame:

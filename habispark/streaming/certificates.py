@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
+from habispark.constants import CERTIFICATE_FIELDS
 from habispark.operators.certificates import clean_certificates
 from habispark.operators.restrict import certificates_of_postcode
-from habispark.sources.files import CERTIFICATE_PAGE, page_rows
+from habispark.operators.skew import written
+from habispark.sinks import write_certificates
+from habispark.sources import SchemaError, certificate_columns, field_counts, page_maps
+from habispark.sources.files import CERTIFICATE_MAPS
 
 
 def scope_name(postcode: str | None, everything: bool) -> str:
@@ -18,6 +22,25 @@ def scope_name(postcode: str | None, everything: bool) -> str:
     return "full"
 
 
+def checked_certificates(maps: DataFrame, postcode: str | None = None) -> DataFrame | None:
+    """Clean certificates of landed pages, stored; None if there are none, an error if a field is in no row.
+
+    One pass over the pages: fields are counted while the rows are converted.
+    """
+    counts = Observation()
+    rows = clean_certificates(certificate_columns(maps.observe(counts, *field_counts())))
+    if postcode:
+        rows = certificates_of_postcode(rows, postcode)
+    rows = written(rows, "certificates")
+    found = counts.get
+    if not found["rows"]:
+        return None
+    absent = [field for field, name in CERTIFICATE_FIELDS.items() if not found[name]]
+    if absent:
+        raise SchemaError(f"certificates: missing fields {sorted(absent)}")
+    return rows
+
+
 def ingest_new_certificates(
     spark: SparkSession,
     landing: str,
@@ -28,24 +51,27 @@ def ingest_new_certificates(
     multiline: bool = False,
     files_per_batch: int = 1_000,
 ) -> None:
-    """Cleans the new pages of one scope into Parquet and returns when none is left.
+    """Cleans the new pages of one scope into the certificates table and returns when none is left.
 
-    The checkpoint of the scope records which pages are done, and the Parquet sink which files are
-    complete, so a run that stops half-way goes on without loss or duplicates.
+    The checkpoint of the scope records which pages are done. Every micro-batch is a lot of its own, which a
+    repeated batch replaces, so a run that stops half-way goes on without loss or duplicates. Pages that
+    lack a field altogether stop the run.
     """
     scope = scope_name(postcode, everything)
     pages = (
-        spark.readStream.schema(CERTIFICATE_PAGE)
+        spark.readStream.schema(CERTIFICATE_MAPS)
         .option("multiLine", multiline)
         .option("maxFilesPerTrigger", files_per_batch)
         .json(landing)
     )
-    rows = clean_certificates(page_rows(pages))
-    if postcode:
-        rows = certificates_of_postcode(rows, postcode)
+
+    def store(batch: DataFrame, number: int) -> None:
+        rows = checked_certificates(page_maps(batch), postcode)
+        if rows is not None:
+            write_certificates(rows, target, scope, f"flux-{number:08d}")
+
     query = (
-        rows.writeStream.format("parquet")
-        .option("path", f"{target}/{scope}")
+        pages.writeStream.foreachBatch(store)
         .option("checkpointLocation", f"{checkpoints}/{scope}")
         .trigger(availableNow=True)
         .start()

@@ -145,7 +145,7 @@ def test_stream_reads_each_page_once(spark, tmp_path):
 
     def run():
         ingest_new_certificates(spark, str(landing), target, state, everything=True)
-        return sorted(r.numero_dpe for r in spark.read.parquet(f"{target}/full").collect())
+        return sorted(r.numero_dpe for r in sources.read_table(spark, target).filter("perimetre = 'full'").collect())
 
     (landing / "p1.json").write_text(json.dumps(page(certificate("a"), certificate("b"))))
     assert run() == ["a", "b"]
@@ -154,7 +154,7 @@ def test_stream_reads_each_page_once(spark, tmp_path):
     assert run() == ["a", "b", "c"]
     # A scope of its own has a checkpoint of its own.
     ingest_new_certificates(spark, str(landing), target, state, postcode="69001")
-    assert spark.read.parquet(f"{target}/69001").count() == 3
+    assert sources.read_table(spark, target).filter("perimetre = '69001'").count() == 3
     with pytest.raises(ValueError, match="explicitly"):
         ingest_new_certificates(spark, str(landing), target, state)
 
@@ -175,10 +175,10 @@ def test_stream_goes_on_after_a_failure(spark, tmp_path):
     land("p3.json", certificate("c"), age=1_700_000_200)
     with pytest.raises(Exception, match="not a whole number"):
         run()
-    assert [r.numero_dpe for r in spark.read.parquet(f"{target}/full").collect()] == ["a"]
+    assert [r.numero_dpe for r in sources.read_table(spark, target).filter("perimetre = 'full'").collect()] == ["a"]
     land("p2.json", certificate("b"), age=1_700_000_100)
     run()
-    assert sorted(r.numero_dpe for r in spark.read.parquet(f"{target}/full").collect()) == ["a", "b", "c"]
+    assert sorted(r.numero_dpe for r in sources.read_table(spark, target).filter("perimetre = 'full'").collect()) == ["a", "b", "c"]
 
 
 def test_rewriting_one_department_keeps_the_others(spark, tmp_path):
@@ -270,10 +270,10 @@ def test_whole_flow(spark, landed):
         "lignes_dvf": 40, "lignes_dvf_retenues": 40, "lignes_dpe": 15, "lignes_dpe_retenues": 15,
         "communes_total": 2, "communes_eligibles": 1,
     }
-    assert [r.code_insee for r in spark.read.parquet(at("out/communes_eligible")).collect()] == ["69001"]
-    prices = spark.read.parquet(at("out/agg_commune_immo")).filter("code_insee = '69001' and annee = 2023").first()
+    assert [r.code_insee for r in sinks.read_published(spark, at("out"), "communes_eligible").collect()] == ["69001"]
+    prices = sinks.read_published(spark, at("out"), "agg_commune_immo").filter("code_insee = '69001' and annee = 2023").first()
     assert (prices.nb_ventes, prices.prix_median, prices.prix_m2_median) == (4, 100002, 2000)
-    assert spark.read.parquet(at("out/communes")).filter("slug = 'l-ete' and latitude = 45.5").count() == 1
+    assert sinks.read_published(spark, at("out"), "communes").filter("slug = 'l-ete' and latitude = 45.5").count() == 1
 
     report = plans.publish_results(spark, at("t_sales"), at("t_certificates"), at("t_communes"), at("out01"), "01")
     counts = {r.mesure: r.lignes for r in report.collect()}
@@ -301,7 +301,7 @@ def test_failed_check_leaves_the_published_tables(spark, landed):
     inputs[0] = inputs[0].withColumn("valeur_fonciere", F.lit(1.0))
     with pytest.raises(QualityError, match="prix_m2_bornes"):
         plans.build_and_publish(*inputs, at("out"))
-    assert spark.read.parquet(at("out/agg_commune_immo")).filter("prix_m2_median < 100").count() == 0
+    assert sinks.read_published(spark, at("out"), "agg_commune_immo").filter("prix_m2_median < 100").count() == 0
 
 
 def test_duplicate_slugs_stop_the_commune_job(spark, tmp_path):
@@ -369,3 +369,63 @@ def test_quoted_line_breaks_stay_in_their_cell(spark, tmp_path):
     from habispark.sources import read_sales
 
     assert sorted(r.adresse_nom_voie for r in read_sales(spark, str(tmp_path)).collect()) == ["PLACE", "RUE\nHAUTE"]
+
+
+def test_years_may_differ_in_extra_columns(spark, tmp_path):
+    write_sales(tmp_path / "annee_fichier=2022", {})
+    write_sales(tmp_path / "annee_fichier=2023", {"extra": "e"}, columns=[*SALES_COLUMNS, "extra"])
+    rows = sources.read_sales(spark, str(tmp_path)).orderBy("annee_fichier").collect()
+    assert [r.extra for r in rows] == [None, "e"]
+    write_sales(tmp_path / "annee_fichier=2024" / "departement=01", {})
+    with pytest.raises(Exception, match="CONFLICTING_PARTITION_COLUMN_NAMES"):
+        sources.read_sales(spark, str(tmp_path))
+
+
+def test_stream_refuses_pages_without_a_field_and_feeds_the_batch_table(spark, tmp_path):
+    landing, target, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    landing.mkdir()
+    (landing / "p1.json").write_text(json.dumps(page(certificate("a", Etiquette_GES=None))))
+    with pytest.raises(Exception, match="Etiquette_GES"):
+        ingest_new_certificates(spark, str(landing), target, state, everything=True)
+    (landing / "p1.json").write_text(json.dumps(page(certificate("a"), certificate("b"))))
+    ingest_new_certificates(spark, str(landing), target, state, everything=True)
+    plans.ingest_certificates(spark, str(landing), target, postcode="69001")
+    table = sources.read_table(spark, target)
+    assert table.count() == 4
+    assert sorted(r.numero_dpe for r in certificates.unique_certificates(table).collect()) == ["a", "b"]
+    # All pages of a scope at once replace its lots.
+    plans.ingest_certificates(spark, str(landing), target, everything=True)
+    assert sources.read_table(spark, target).filter("perimetre = 'full'").count() == 2
+
+
+def test_unique_certificates_keep_the_latest_and_rows_without_a_number(spark):
+    rows = [("a", "2020-01-01", 1), ("a", "2021-01-01", 2), (None, None, 3), (None, None, 3)]
+    df = spark.createDataFrame(rows, "numero_dpe string, date_etablissement string, v int")
+    assert sorted(r.v for r in certificates.unique_certificates(df).collect()) == [2, 3, 3]
+
+
+def test_a_publication_that_stops_half_way_leaves_the_one_before(spark, landed, monkeypatch):
+    at = lambda name: str(landed / name)
+    plans.ingest_sales(spark, at("sales"), at("t_sales"))
+    plans.ingest_certificates(spark, at("pages"), at("t_certificates"), everything=True)
+    plans.ingest_communes(spark, at("cog"), at("t_communes"))
+    inputs = [sources.read_table(spark, at(t)) for t in ("t_sales", "t_certificates", "t_communes")]
+    plans.build_and_publish(*inputs, at("out"))
+    before = sinks.read_published(spark, at("out"), "agg_commune_dpe").collect()
+    written = []
+
+    def stops(df, path):
+        if len(written) == 2:
+            raise OSError("disk full")
+        written.append(path)
+        return sinks.stage(df, path)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(plans.jobs, "stage", stops)
+        with pytest.raises(OSError, match="disk full"):
+            plans.build_and_publish(*inputs, at("out"))
+    assert sinks.read_published(spark, at("out"), "agg_commune_dpe").collect() == before
+    assert len(list((landed / "out").glob("version-*"))) == 1
+    for _ in range(2):
+        plans.build_and_publish(*inputs, at("out"))
+    assert len(list((landed / "out").glob("version-*"))) == 2
