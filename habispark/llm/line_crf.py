@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from habispark.llm.statistics import Measured
-from habispark.llm.words import read_texts, slices
+from habispark.llm.words import read_texts, slices, sums_by_text
 
-# Bounds of the training sample: documents, and lines of one of them.
+# Bounds of the training sample: documents, and consecutive lines drawn from one of them.
 SAMPLE_DOCUMENTS = 3000
 SAMPLE_LINES = 64
 MIN_WORDS = 50
@@ -127,7 +127,10 @@ def train(docs: DataFrame, labels: DataFrame) -> LineModel:
             for part in slices(batch, "text"):
                 measured = Measured(read_texts(part.column("text")))
                 features, first = measured.line_features(), measured.first_line
-                rows = [features[a : min(b, a + SAMPLE_LINES)].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
+                # Where the lines of a longer text begin follows from all its words, so every part of it can be drawn.
+                draw = sums_by_text((measured.hashes >> np.uint64(33)).astype(np.int64), measured.texts.first)
+                begin = first[:-1] + draw % (np.maximum(np.diff(first) - SAMPLE_LINES, 0) + 1)
+                rows = [features[a : min(b, a + SAMPLE_LINES)].tobytes() for a, b in zip(begin, first[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("quality"), pa.array(rows, pa.binary())], ["quality", "features"]
                 )

@@ -24,9 +24,10 @@ LENGTH, STRIDE = 24, 12
 HIDDEN = 8
 WORD_BUCKETS, SLICE_BUCKETS = 1 << 16, 1 << 15
 SLICE = 4
-# Bounds of the training sample: documents of each class, and bytes of one of them.
+# Bounds of the training sample: documents of each class, and characters of one of them. Longer documents are not drawn,
+# so every sampled text is read whole.
 SAMPLE_DOCUMENTS = 1200
-SAMPLE_BYTES = 1 << 15
+SAMPLE_CHARS = 1 << 14
 THRESHOLD = 0.3
 _EPOCHS, _BATCH, _RATE = 8, 256, 0.02
 _INPUTS = 12
@@ -241,7 +242,8 @@ def fit(column: pa.Array, toxic: np.ndarray) -> Toxicity:
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Toxicity:
-    """Fits on at most SAMPLE_DOCUMENTS labelled documents of each class, the ones whose ids hash lowest.
+    """Fits on at most SAMPLE_DOCUMENTS labelled documents of each class, the ones whose ids hash lowest, without those
+    of more than SAMPLE_CHARS characters.
 
     `labels` has doc_id and toxic; other values than 0 and 1 are ignored.
     """
@@ -254,7 +256,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         docs.select(F.col(doc_id).alias("sampled"), F.col(text).alias("text"))
         # Broadcast: at most 2 * SAMPLE_DOCUMENTS rows of two numbers.
         .join(F.broadcast(chosen), F.col("sampled") == F.col("labelled"))
-        .select("sampled", "toxic", F.substring("text", 1, SAMPLE_BYTES // 2).alias("text"))
+        .filter(F.coalesce(F.char_length("text"), F.lit(0)) <= SAMPLE_CHARS)
+        .select("sampled", "toxic", "text")
         .limit(4 * SAMPLE_DOCUMENTS)
         .toArrow()
         .sort_by([("sampled", "ascending"), ("toxic", "ascending"), ("text", "ascending")])
