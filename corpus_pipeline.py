@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from habispark.llm import exact_dedup, line_crf, minhash, packing, substring
 from habispark.llm.tables import read_table, stored
 
+# Near copies share this percentage of their five-word shingles, or more; 85 is only op5's own figure.
+NEAR = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -25,7 +28,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near copies the document with the smallest id stays."""
-    return minhash.without_near_copies(docs)
+    return minhash.without_near_copies(docs, threshold=NEAR)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

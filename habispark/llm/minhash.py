@@ -10,6 +10,7 @@ Signatures only propose pairs. What is linked is decided on the full shingle set
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +24,10 @@ from habispark.llm.words import Texts, mix, read_texts, slices
 
 SHINGLE = 5
 THRESHOLD = 85
-# A pair at exactly 85 % shares no band with probability (1 - 0.85**7)**36, below 1e-6.
-BANDS, ROWS = 36, 7
+# A pair at exactly the threshold shares no band with at most this probability.
+MISSED = 1e-6
+# Coordinates a signature may have; 36 bands of 7 at 85 %, 46 bands of 6 at 80 %.
+COORDINATES = 280
 SLOTS = 1 << 20
 # Classes of shingles in the bound of the last comparison.
 COMMON_CLASSES, RARE_CLASSES, COMMON_FROM = 8, 24, 32
@@ -32,9 +35,22 @@ _BLOCK = 4096
 _SIGNED = "doc_id long, n_shingles long, set_key binary, bands array<long>"
 
 
-def _second_permutation() -> np.ndarray:
+def banding(threshold: int) -> tuple[int, int]:
+    """Bands and rows: the longest bands with which a signature of at most COORDINATES misses at most MISSED."""
+    found = None
+    for rows in range(1, COORDINATES + 1):
+        agree = (threshold / 100) ** rows
+        bands = math.ceil(math.log(MISSED) / math.log1p(-agree)) if agree < 1 else 1
+        if bands * rows <= COORDINATES:
+            found = bands, rows
+    if found is None:
+        raise ValueError(f"no signature of {COORDINATES} coordinates finds pairs at {threshold} %")
+    return found
+
+
+def _second_permutation(coordinates: int = COORDINATES) -> np.ndarray:
     table = np.random.RandomState(7).permutation(SLOTS).astype(np.uint32)
-    return np.lib.stride_tricks.sliding_window_view(np.concatenate([table, table[: BANDS * ROWS - 1]]), BANDS * ROWS)
+    return np.lib.stride_tricks.sliding_window_view(np.concatenate([table, table[: coordinates - 1]]), coordinates)
 
 
 def shingle_sets(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +78,7 @@ def shingle_sets(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(hashes: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    out = np.full((len(first) - 1, BANDS * ROWS), SLOTS, np.uint32)
+    out = np.full((len(first) - 1, second.shape[1]), SLOTS, np.uint32)
     places = (mix(hashes) >> np.uint64(64 - 20)).astype(np.int64)
     for i, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
         for block in range(a, b, _BLOCK):
@@ -70,33 +86,39 @@ def signatures(hashes: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.
     return out
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    second = _second_permutation()
-    weights = mix(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
-    for batch in batches:
-        for part in slices(batch, "text"):
-            texts = read_texts(part.column("text"), lower=True)
-            hashes, first = shingle_sets(texts)
-            sizes = np.diff(first)
-            signature = signatures(hashes, first, second).astype(np.uint64).reshape(-1, BANDS, ROWS)
-            bands = mix((signature * weights).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            sums = np.zeros((2, len(hashes) + 1), np.uint64)
-            np.cumsum(mix(hashes + np.uint64(1)), out=sums[0, 1:])
-            np.cumsum(mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), out=sums[1, 1:])
-            keys = np.ascontiguousarray((sums[:, first[1:]] - sums[:, first[:-1]]).T)
-            empty = sizes == 0
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    pa.array(sizes.astype(np.int64)),
-                    pa.array([None if e else k.tobytes() for e, k in zip(empty, keys, strict=True)], pa.binary()),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.concatenate([[0], np.cumsum(np.where(empty, 0, BANDS))]).astype(np.int32)),
-                        pa.array(bands[~empty].ravel().view(np.int64)),
-                    ),
-                ],
-                ["doc_id", "n_shingles", "set_key", "bands"],
-            )
+def _sign(threshold: int):
+    bands, rows = banding(threshold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        second = _second_permutation(bands * rows)
+        weights = mix(np.arange(1, rows + 1, dtype=np.uint64)) | np.uint64(1)
+        salts = np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                texts = read_texts(part.column("text"), lower=True)
+                hashes, first = shingle_sets(texts)
+                sizes = np.diff(first)
+                signature = signatures(hashes, first, second).astype(np.uint64).reshape(-1, bands, rows)
+                keys_of_bands = mix((signature * weights).sum(axis=2, dtype=np.uint64) + salts)
+                sums = np.zeros((2, len(hashes) + 1), np.uint64)
+                np.cumsum(mix(hashes + np.uint64(1)), out=sums[0, 1:])
+                np.cumsum(mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), out=sums[1, 1:])
+                keys = np.ascontiguousarray((sums[:, first[1:]] - sums[:, first[:-1]]).T)
+                empty = sizes == 0
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        pa.array(sizes.astype(np.int64)),
+                        pa.array([None if e else k.tobytes() for e, k in zip(empty, keys, strict=True)], pa.binary()),
+                        pa.ListArray.from_arrays(
+                            pa.array(np.concatenate([[0], np.cumsum(np.where(empty, 0, bands))]).astype(np.int32)),
+                            pa.array(keys_of_bands[~empty].ravel().view(np.int64)),
+                        ),
+                    ],
+                    ["doc_id", "n_shingles", "set_key", "bands"],
+                )
+
+    return run
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
@@ -169,7 +191,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     unless both are in one component already.
     """
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = stored(plain.mapInArrow(_sign, _SIGNED), "signatures")
+    signed = stored(plain.mapInArrow(_sign(threshold), _SIGNED), "signatures")
     classes = signed.filter(F.col("set_key").isNotNull()).groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     members = signed.join(
         classes.withColumnRenamed("set_key", "class_key"),
