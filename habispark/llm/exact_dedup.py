@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from habispark.llm.tables import lower_ascii, partitions, stored, without_ids
+from habispark.llm.tables import lower_ascii, partitions, stored, without_rows
 
 FAN_IN = 16
 # Entries a partition gathers before it closes a run: bounds the memory of a task.
@@ -136,9 +136,17 @@ def duplicate_groups(
     kept. A NULL identifier stays only where its whole group has none. Other columns of `docs` may have
     any name. An empty table gives an empty result.
     """
-    keyed = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), text_key(lower_ascii(F.col(text))).alias("text_key")
+    return _verdicts(docs, doc_id, text, largest).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex(F.substring("text_key", 1, 32))).alias("text_sha256")
     )
+
+
+def _keys(doc_id: str, text: str) -> list[Column]:
+    return [F.col(doc_id).cast("long").alias("doc_id"), text_key(lower_ascii(F.col(text))).alias("text_key")]
+
+
+def _verdicts(docs: DataFrame, doc_id: str, text: str, largest: bool) -> DataFrame:
+    keyed = docs.select(*_keys(doc_id, text))
     # Written once, as it feeds both the runs and the verdicts: 56 bytes a document.
     keyed = stored(keyed, "digests")
     groups = stored(merge_tree(keyed, "text_key", "doc_id", largest), "copies")
@@ -151,12 +159,12 @@ def duplicate_groups(
         keep.alias("keep_id"),
         F.coalesce(F.col("group_size"), F.lit(1).cast("long")).alias("group_size"),
         keep.eqNullSafe(F.col("doc_id")).alias("kept"),
-        F.lower(F.hex(F.substring(F.col("text_key"), 1, 32))).alias("text_sha256"),
+        "text_key",
     )
 
 
 def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", largest: bool = False) -> DataFrame:
     """The rows of `docs` that `duplicate_groups` keeps, unchanged; of rows that are repeated whole,
-    identifier included, all stay."""
-    dropped = duplicate_groups(docs, doc_id, text, largest).filter(~F.col("kept"))
-    return without_ids(docs, doc_id, dropped.select("doc_id"))
+    identifier included, all stay. Rows go by identifier and text, so other texts of the same (or no) identifier stay."""
+    dropped = _verdicts(docs, doc_id, text, largest).filter(~F.col("kept"))
+    return without_rows(docs, _keys(doc_id, text), dropped.select("doc_id", "text_key"))

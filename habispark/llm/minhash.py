@@ -15,11 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from habispark.llm.components import connected_components
-from habispark.llm.tables import stored, without_ids
+from habispark.llm.tables import stored, without_rows
 from habispark.llm.words import Texts, mix, read_texts, slices
 
 SHINGLE = 5
@@ -32,7 +32,7 @@ SLOTS = 1 << 20
 # Classes of shingles in the bound of the last comparison.
 COMMON_CLASSES, RARE_CLASSES, COMMON_FROM = 8, 24, 32
 _BLOCK = 4096
-_SIGNED = "doc_id long, n_shingles long, set_key binary, bands array<long>"
+_SIGNED = "doc_id long, text_hash long, n_shingles long, set_key binary, bands array<long>"
 
 
 def banding(threshold: int) -> tuple[int, int]:
@@ -86,6 +86,10 @@ def signatures(hashes: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.
     return out
 
 
+def _text_hash(text: str) -> Column:
+    return F.xxhash64(F.col(text)).alias("text_hash")
+
+
 def _sign(threshold: int):
     bands, rows = banding(threshold)
 
@@ -108,6 +112,7 @@ def _sign(threshold: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
+                        part.column("text_hash"),
                         pa.array(sizes.astype(np.int64)),
                         pa.array([None if e else k.tobytes() for e, k in zip(empty, keys, strict=True)], pa.binary()),
                         pa.ListArray.from_arrays(
@@ -115,7 +120,7 @@ def _sign(threshold: int):
                             pa.array(keys_of_bands[~empty].ravel().view(np.int64)),
                         ),
                     ],
-                    ["doc_id", "n_shingles", "set_key", "bands"],
+                    ["doc_id", "text_hash", "n_shingles", "set_key", "bands"],
                 )
 
     return run
@@ -123,8 +128,8 @@ def _sign(threshold: int):
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= threshold * union of their whole shingle sets."""
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,7 +152,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
 
 
 def _profiles(texts: DataFrame) -> DataFrame:
-    """doc_id, profile: how many shingles of a text that another of `texts` has as well fall into each class.
+    """node, profile: how many shingles of a text that another of `texts` has as well fall into each class.
 
     Classes are fixed by the shingle alone, by how many texts hold it and by its hash, so the sum of the smaller
     counts of two texts over all classes is at least the size of their intersection.
@@ -157,10 +162,10 @@ def _profiles(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 hashes, first = shingle_sets(read_texts(part.column("text"), lower=True))
-                ids = np.repeat(part.column("doc_id").to_numpy(zero_copy_only=False), np.diff(first))
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(hashes.view(np.int64))], ["doc_id", "shingle"])
+                ids = np.repeat(part.column("node").to_numpy(zero_copy_only=False), np.diff(first))
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(hashes.view(np.int64))], ["node", "shingle"])
 
-    rows = stored(texts.mapInArrow(shingles, "doc_id long, shingle long"), "split-shingles")
+    rows = stored(texts.mapInArrow(shingles, "node long, shingle long"), "split-shingles")
     held = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).filter(F.col("holders") > 1)
     common = F.pmod("shingle", F.lit(COMMON_CLASSES))
     rare = COMMON_CLASSES + F.pmod("shingle", F.lit(RARE_CLASSES))
@@ -168,8 +173,8 @@ def _profiles(texts: DataFrame) -> DataFrame:
     counts = [F.count_if(F.col("kind") == i).cast("int") for i in range(COMMON_CLASSES + RARE_CLASSES)]
     return (
         rows.join(held, "shingle")
-        .select("doc_id", kind.alias("kind"))
-        .groupBy("doc_id")
+        .select("node", kind.alias("kind"))
+        .groupBy("node")
         .agg(F.array(*counts).alias("profile"))
     )
 
@@ -190,45 +195,62 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     pairs of a large group of near copies are never written out, yet no pair that shares a bucket stays undecided
     unless both are in one component already.
     """
-    plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return _judged(docs, doc_id, text, threshold, by_id=True).drop("text_hash")
+
+
+def _judged(docs: DataFrame, doc_id: str, text: str, threshold: int, by_id: bool) -> DataFrame:
+    """`near_duplicates` with the hash of each row's text; without `by_id` an identifier links none of its texts.
+
+    Nodes are the classes of equal sets, by a hash of the set.
+    """
+    plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), _text_hash(text))
     signed = stored(plain.mapInArrow(_sign(threshold), _SIGNED), "signatures")
-    classes = signed.filter(F.col("set_key").isNotNull()).groupBy("set_key").agg(F.min("doc_id").alias("rep"))
+    classes = stored(
+        signed.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
+        .groupBy("set_key")
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+        .select("set_key", F.xxhash64("set_key").alias("node"), F.col("first.doc_id").alias("rep"), F.col("first.text_hash").alias("rep_hash")),
+        "classes",
+    )
     members = signed.join(
         classes.withColumnRenamed("set_key", "class_key"),
-        (F.col("doc_id") == F.col("rep")) & (F.col("set_key") == F.col("class_key")),
-    ).select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
+        (F.col("doc_id") == F.col("rep")) & (F.col("text_hash") == F.col("rep_hash")) & (F.col("set_key") == F.col("class_key")),
+    ).select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
     sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
     shared = stored(members.join(sizes, "band"), "buckets")
-    texts = stored(
-        plain.join(shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").dropDuplicates(["doc_id"]),
-        "candidates",
-    )
+    chosen = classes.join(shared.select("node").distinct(), "node").select("node", F.col("rep").alias("doc_id"), F.col("rep_hash").alias("text_hash"))
+    texts = stored(plain.join(chosen, ["doc_id", "text_hash"]).select("node", "text").dropDuplicates(["node"]), "candidates")
 
     similar = 100 * F.least("n", "other_n") >= threshold * F.greatest("n", "other_n")
 
     def paired(one: str, other: str) -> list:
         return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
-    weights = shared.groupBy("rep").agg(F.sum("size").alias("weight"))
+    weights = shared.groupBy("node").agg(F.sum("size").alias("weight"))
     leaders = (
-        shared.join(weights, "rep")
+        shared.join(weights, "node")
         .groupBy("band")
-        .agg(F.max(F.struct("weight", (-F.col("rep")).alias("order"), "n")).alias("top"))
-        .select("band", (-F.col("top.order")).alias("leader"), F.col("top.n").alias("other_n"))
+        .agg(F.max(F.struct("weight", F.bitwise_not("node").alias("order"), "n")).alias("top"))
+        .select("band", F.bitwise_not("top.order").alias("leader"), F.col("top.n").alias("other_n"))
     )
     stars = stored(
         shared.join(leaders, "band")
-        .filter((F.col("rep") != F.col("leader")) & similar)
-        .select(*paired("rep", "leader"))
+        .filter((F.col("node") != F.col("leader")) & similar)
+        .select(*paired("node", "leader"))
         .distinct(),
         "star-pairs",
     )
     links = stored(_verified(stars, texts, threshold), "links")
+    if by_id:
+        held = signed.join(classes, "set_key").select("doc_id", "node").distinct()
+        several = held.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").drop("b")
+        again = held.join(several, "doc_id").filter("a <> node").select("a", F.col("node").alias("b"))
+        links = stored(links.unionByName(again), "links")
     found = connected_components(links)
 
     placed = stored(
-        shared.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "band", "rep", "n", F.coalesce("component", "rep").alias("component")
+        shared.join(found, "node", "left").select(
+            "band", "node", "n", F.coalesce("component", "node").alias("component")
         ),
         "placed",
     )
@@ -241,11 +263,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .select("band", F.col("top.component").alias("main"))
     )
     split = stored(placed.join(main, "band"), "split-buckets")
-    profiles = _profiles(texts.join(split.select(F.col("rep").alias("doc_id")).distinct(), "doc_id"))
-    split = stored(split.join(profiles.withColumnRenamed("doc_id", "rep"), "rep"), "profiles")
+    profiles = _profiles(texts.join(split.select("node").distinct(), "node"))
+    split = stored(split.join(profiles, "node"), "profiles")
     outside = split.filter(F.col("component") != F.col("main")).select(
         "band",
-        F.col("rep").alias("other"),
+        F.col("node").alias("other"),
         F.col("n").alias("other_n"),
         F.col("profile").alias("other_profile"),
         F.col("component").alias("other_component"),
@@ -255,7 +277,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rest = (
         split.join(outside, "band")
         .filter((F.col("component") != F.col("other_component")) & similar & possible)
-        .select(*paired("rep", "other"))
+        .select(*paired("node", "other"))
         .distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
@@ -263,13 +285,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if not more.isEmpty():
         found = connected_components(links.unionByName(more))
 
-    component = F.coalesce("component", "rep", "doc_id")
+    named = found.join(classes.select("node", "rep"), "node")
+    names = named.groupBy("component").agg(F.min("rep").alias("name"))
+    named = stored(named.join(names, "component").select("node", "name"), "components")
+    component = F.coalesce("name", "rep", "doc_id")
     return (
-        signed.select("doc_id", "n_shingles", "set_key")
+        signed.select("doc_id", "text_hash", "n_shingles", "set_key")
         .join(classes, "set_key", "left")
-        .join(found.withColumnRenamed("node", "rep"), "rep", "left")
+        .join(named, "node", "left")
         .select(
             "doc_id",
+            "text_hash",
             "n_shingles",
             F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
             (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"),
@@ -278,6 +304,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def without_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of `docs` whose identifier `near_duplicates` keeps, unchanged."""
-    dropped = near_duplicates(docs, doc_id, text, threshold).filter(~F.col("kept") & F.col("doc_id").isNotNull())
-    return without_ids(docs, doc_id, dropped.select("doc_id"))
+    """The rows of `docs` without near copies of a row with a smaller identifier, unchanged. Rows are judged by identifier
+    and text, so a repeated identifier neither links its texts nor drops one for another."""
+    dropped = _judged(docs, doc_id, text, threshold, by_id=False).filter(~F.col("kept"))
+    return without_rows(docs, [F.col(doc_id).cast("long"), _text_hash(text)], dropped.select("doc_id", "text_hash"))

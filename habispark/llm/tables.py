@@ -39,11 +39,16 @@ def unused(name: str, columns: list[str]) -> str:
     return name
 
 
-def without_ids(docs: DataFrame, doc_id: str, ids: DataFrame) -> DataFrame:
-    """The rows of `docs` whose identifier is not in the only column of `ids`; a NULL equals a NULL."""
-    name = unused("dropped_id", docs.columns)
-    dropped = ids.toDF(name).distinct()
-    return docs.join(dropped, F.col(doc_id).eqNullSafe(F.col(name)), "left_anti")
+def without_rows(docs: DataFrame, keys: list[Column], dropped: DataFrame) -> DataFrame:
+    """The rows of `docs` whose `keys` are together no row of `dropped`; a NULL equals a NULL."""
+    own, names = [], []
+    for i in range(len(keys)):
+        own.append(unused(f"own_key_{i}", docs.columns))
+        names.append(unused(f"dropped_key_{i}", docs.columns))
+    # Columns of their own, so that the join does not work the keys out again and again while it sorts.
+    keyed = docs.select("*", *[k.alias(n) for k, n in zip(keys, own, strict=True)])
+    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(own, names, strict=True)]
+    return keyed.join(dropped.toDF(*names).distinct(), same, "left_anti").drop(*own)
 
 
 def read_table(spark, sf_dir: str, name: str, *columns: str) -> DataFrame:

@@ -152,3 +152,19 @@ def test_signature_estimates_similarity():
     b = np.concatenate([common, rng.randint(0, 2**62, 100).astype(np.uint64)])
     s = minhash.signatures(np.concatenate([a, b]), np.array([0, 1000, 2000]), minhash._second_permutation())
     assert abs((s[0] == s[1]).mean() - 900 / 1100) < 0.1
+
+
+def test_rows_go_by_identifier_and_text(spark):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(200)) for x in "abcde")
+    near = a.replace("a0 ", "changed ")
+    table = [(1, a), (None, a), (None, b), (2, c), (7, c), (7, d), (3, e), (None, e)]
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    left = {tuple(r) for r in exact_dedup.without_copies(docs).collect()}
+    assert left == {(1, a), (None, b), (2, c), (7, d), (3, e)}
+    left = {tuple(r) for r in exact_dedup.without_copies(docs, largest=True).collect()}
+    assert left == {(1, a), (None, b), (7, c), (7, d), (3, e)}
+    docs = spark.createDataFrame([(1, a), (5, near), (5, b), (None, near), (None, c)], "doc_id long, text string")
+    left = {tuple(r) for r in minhash.without_near_copies(docs).collect()}
+    assert left == {(1, a), (5, b), (None, near), (None, c)}
+    # The verdicts by identifier still name one component for all rows of it.
+    assert {r.component_id for r in minhash.near_duplicates(docs).collect()} == {1, None}
