@@ -1,21 +1,22 @@
 """Language-model scores from a hierarchical Pitman-Yor model of the words of a corpus.
 
-Restaurants form a tree: the root; below it one per last byte of the preceding word; below each of those one
-per last two bytes, so contexts that end alike share a parent. A restaurant seats the words that follow
+Restaurants form a tree: the root; below it one per last two bytes of the preceding word; below each of those one
+per whole preceding word (its 64-bit hash), so contexts that end alike share a parent. A restaurant seats the words that follow
 its context; every table it opens sends one customer to its parent, and the root's tables go to a uniform
 base over the known words and one unknown. Seatings are sampled by blocked Gibbs sweeps: all customers of one
 word in one restaurant are seated anew given its parent and the totals of the restaurant. Predictive
 probabilities are averaged over SAMPLES sweeps.
 
 Everything about a word lies in the bucket of its hash, so sweeps run bucket by bucket without a shuffle; buckets
-share only the totals of the restaurants, whose number is bounded by the 65,536 two-byte endings. Texts are
+share only the totals of the restaurants. Those of the root and of the 65,536 endings go to every task; those of the
+preceding words are added up by slots of their hashes and go to the buckets that ask for them. Texts are
 packed into chunks, in which equal (word, context) pairs are counted before they travel.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -34,7 +35,7 @@ BURN_IN, SAMPLES = 2, 3
 # Customers of one word that are seated one by one; beyond, in doublings, by the expected rate.
 ONE_BY_ONE = 64
 _END = np.uint64(0x1234567)
-_CHUNK = "chunk long, bucket int, ids binary, counts binary, held binary, pairs binary, words binary, contexts binary"
+_CHUNK = "chunk long, bucket int, ids binary, counts binary, held binary, pairs binary, words binary, contexts binary, leaves binary, endings binary"
 _SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -45,25 +46,30 @@ def _pack_chunks(buckets: int):
         from pyspark import TaskContext
 
         names = [x.split()[0] for x in _CHUNK.split(", ")]
-        types = [pa.int64(), pa.int32(), *[pa.binary()] * 6]
+        types = [pa.int64(), pa.int32(), *[pa.binary()] * 8]
         parts: list[tuple] = []
         chunk = TaskContext.get().partitionId() << 24
 
         def close() -> pa.RecordBatch:
-            words, contexts, trained, counts, ids, held = (np.concatenate(x) for x in zip(*parts, strict=True))
+            words, ends, trained, counts, ids, held = (np.concatenate(x) for x in zip(*parts, strict=True))
             distinct, word = np.unique(words, return_inverse=True)
-            pairs, pair = np.unique(word << 16 | contexts, return_inverse=True)
+            endings = np.zeros(len(distinct), np.uint16)
+            endings[word] = ends
+            # Every text closes with the end token, which so precedes the first word of the next one.
+            contexts = np.concatenate([np.searchsorted(distinct, [_END]), word[:-1]])
+            pairs, pair = np.unique(word << 32 | contexts, return_inverse=True)
             seen = np.bincount(pair, weights=trained, minlength=len(pairs)).astype(np.int64)
             rows = [
-                (chunk, -1, pack_even(ids), pack(counts), pack_even(held), pack_even(pair.astype(np.uint32)), b"", b"")
+                (chunk, -1, pack_even(ids), pack(counts), pack_even(held), pack_even(pair.astype(np.uint32)), b"", b"", b"", b"")
             ]
             place = ((distinct >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            word = pairs >> 16
+            word = pairs >> 32
             # Words ascend, so each bucket is one slice of the words and of the pairs.
             edges = np.searchsorted(place, np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(edges)).tolist():
                 w0, w1 = edges[b], edges[b + 1]
                 p0, p1 = np.searchsorted(word, [w0, w1])
+                leaves, leaf = np.unique(pairs[p0:p1] & 0xFFFFFFFF, return_inverse=True)
                 rows.append(
                     (
                         chunk,
@@ -73,7 +79,9 @@ def _pack_chunks(buckets: int):
                         b"",
                         pack(word[p0:p1] - w0),
                         pack(distinct[w0:w1].view(np.int64)),
-                        pack_even((pairs[p0:p1] & 0xFFFF).astype(np.uint16)),
+                        pack_even(leaf.astype(np.uint32)),
+                        pack(distinct[leaves].view(np.int64)),
+                        pack_even(endings[leaves]),
                     )
                 )
             return pa.RecordBatch.from_arrays(
@@ -95,16 +103,13 @@ def _pack_chunks(buckets: int):
                 before = np.where(texts.end - texts.start > 1, texts.data[np.maximum(texts.end - 2, 0)], 0x20)
                 own = np.zeros(len(is_word), np.int64)
                 own[is_word] = before << 8 | last
-                contexts = np.zeros(len(is_word), np.int64)
-                contexts[1:] = own[:-1]
-                contexts[ends[:-1] + 1] = 0
                 held = np.asarray(part.column("held_out")).astype(np.uint8)
                 ids = part.column("doc_id")
                 missing = np.asarray(ids.is_null()).astype(np.uint8)
                 parts.append(
                     (
                         words,
-                        contexts,
+                        own,
                         np.repeat(held == 0, counts),
                         counts,
                         np.asarray(ids.fill_null(0)).astype(np.int64),
@@ -125,15 +130,20 @@ def _pack_chunks(buckets: int):
 def _one_row(group: pd.DataFrame) -> pd.DataFrame:
     """A bucket with its training counts over all chunks, and what each chunk asks for."""
     group = group.sort_values("chunk")
-    words, places, asked = [], [], []
+    words, places, asked, leaves, endings = [], [], [], [], []
+    before = 0
     for row in group.itertuples():
         w = unpack(row.words).view(np.uint64)
         words.append(w[unpack(row.pairs)])
-        places.append(unpack_even(row.contexts, np.uint16).astype(np.int64))
+        places.append(unpack_even(row.contexts, np.uint32).astype(np.int64) + before)
+        leaves.append(unpack(row.leaves).view(np.uint64))
+        endings.append(unpack_even(row.endings, np.uint16))
+        before += len(leaves[-1])
         asked.append(unpack_even(row.counts, np.int64))
     lengths = np.array([len(x) for x in asked])
     distinct, word = np.unique(np.concatenate(words), return_inverse=True)
-    pairs, pair = np.unique(word << 16 | np.concatenate(places), return_inverse=True)
+    leaf, first, place = np.unique(np.concatenate(leaves), return_index=True, return_inverse=True)
+    pairs, pair = np.unique(word << 32 | place[np.concatenate(places)], return_inverse=True)
     seen = np.bincount(pair, weights=np.concatenate(asked), minlength=len(pairs)).astype(np.int64)
     return pd.DataFrame(
         {
@@ -141,19 +151,25 @@ def _one_row(group: pd.DataFrame) -> pd.DataFrame:
             "chunks": [pack(group["chunk"].to_numpy(np.int64))],
             "lengths": [pack(lengths)],
             "asked": [pack_even(pair.astype(np.uint32))],
-            "word": [pack(pairs >> 16)],
-            "context": [pack_even((pairs & 0xFFFF).astype(np.uint16))],
+            "word": [pack(pairs >> 32)],
+            "context": [pack_even((pairs & 0xFFFFFFFF).astype(np.uint32))],
             "seen": [pack_even(seen)],
+            "leaves": [pack(leaf.view(np.int64))],
+            "endings": [pack_even(np.concatenate(endings)[first])],
         }
     )
 
 
-_BUCKET = "bucket int, chunks binary, lengths binary, asked binary, word binary, context binary, seen binary"
+_BUCKET = "bucket int, chunks binary, lengths binary, asked binary, word binary, context binary, seen binary, leaves binary, endings binary"
+_SUMS = "level int, place int, customers long, tables long, once long, twice long, slot int, bucket int, leaves binary, served binary, laid binary"
 
 
 @dataclass(frozen=True)
 class Totals:
-    """Customers and tables of every restaurant by level (0: root), discounts, tokens, known words."""
+    """Customers and tables of every restaurant by level (0: root), discounts, tokens, known words.
+
+    Level 2 holds the restaurants of one bucket, in its order, and is empty until `with_leaves`.
+    """
 
     customers: tuple[np.ndarray, ...]
     tables: tuple[np.ndarray, ...]
@@ -161,16 +177,21 @@ class Totals:
     tokens: int
     known: int
 
+    def with_leaves(self, rows: pd.DataFrame) -> Totals:
+        rows = rows.sort_values("slot")
+        served, laid = (np.concatenate([unpack_even(x, np.int64) for x in rows[n]]) for n in ("served", "laid"))
+        return replace(self, customers=(*self.customers[:2], served), tables=(*self.tables[:2], laid))
+
 
 class Seating:
-    """The words of one bucket: pairs with two-byte contexts, their parents, their roots."""
+    """The words of one bucket: pairs with contexts, the endings above them (else the last byte), their roots."""
 
-    def __init__(self, word: np.ndarray, context: np.ndarray, seen: np.ndarray):
+    def __init__(self, word: np.ndarray, context: np.ndarray, seen: np.ndarray, ending: np.ndarray | None = None):
         self.seen = seen
-        middle = word << 8 | (context & 0xFF)
+        middle = word << 16 | (context & 0xFF if ending is None else ending)
         keys, self.up2 = np.unique(middle, return_inverse=True)
-        roots, self.up1 = np.unique(keys >> 8, return_inverse=True)
-        self.contexts = (np.zeros(len(roots), np.int64), keys & 0xFF, context)
+        roots, self.up1 = np.unique(keys >> 16, return_inverse=True)
+        self.contexts = (np.zeros(len(roots), np.int64), keys & 0xFFFF, context)
         # Least seating: one table per word and restaurant.
         self.tables = [np.zeros(0), np.zeros(0), (seen > 0).astype(np.int64)]
         for level in (1, 0):
@@ -232,85 +253,123 @@ def seat(customers: np.ndarray, weight: np.ndarray, discount: float, rng: np.ran
     return tables
 
 
-def _state(row: dict) -> Seating:
-    return Seating(unpack(row["word"]), unpack_even(row["context"], np.uint16).astype(np.int64), unpack_even(row["seen"], np.int64))
-
-
-def _totals(buckets: DataFrame, before: Totals | None, sweep: int) -> Totals:
+def _state(row) -> Seating:
+    context = unpack_even(row["context"], np.uint32).astype(np.int64)
+    ending = unpack_even(row["endings"], np.uint16).astype(np.int64)[context]
+    return Seating(unpack(row["word"]), context, unpack_even(row["seen"], np.int64), ending)
+
+
+def _sums(state: Seating, row, slots: int) -> pd.DataFrame:
+    """What one bucket adds to the restaurants: levels 0 and 1 by place, 2 in one row, and in rows of level 3 the
+    restaurants of whole words, by slots of their hashes."""
+    names = [x.split()[0] for x in _SUMS.split(", ")]
+    out = []
+    for level, size in ((0, 1), (1, 65536), (2, 1)):
+        c = state.customers(level)
+        at = state.contexts[level] if level < 2 else np.zeros(len(c), np.int64)
+        values = [np.bincount(at, weights=w, minlength=size) for w in (c, state.tables[level], c == 1, c == 2)]
+        used = np.flatnonzero(values[0])
+        frame = pd.DataFrame({"level": level, "place": used} | {n: v[used].astype(np.int64) for n, v in zip(names[2:6], values)})
+        out.append(frame.assign(slot=0, bucket=0, leaves=b"", served=b"", laid=b""))
+    leaves = unpack(row["leaves"]).view(np.uint64)
+    served, laid = (
+        np.bincount(state.contexts[2], weights=w, minlength=len(leaves)).astype(np.int64) for w in (state.seen, state.tables[2])
+    )
+    slot = ((leaves >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
+    edges = np.searchsorted(slot, np.arange(slots + 1))
+    rows = [
+        (3, 0, 0, 0, 0, 0, k, row["bucket"], pack(leaves[i:j].view(np.int64)), pack_even(served[i:j]), pack_even(laid[i:j]))
+        for k, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True))
+        if i < j
+    ]
+    return pd.concat([*out, pd.DataFrame(rows, columns=names)])[names]
+
+
+def _leaf_totals(group: pd.DataFrame) -> pd.DataFrame:
+    """One slot: the sums over all buckets, for each bucket in the order of its restaurants."""
+    leaves = [unpack(x).view(np.uint64) for x in group["leaves"]]
+    distinct, at = np.unique(np.concatenate(leaves), return_inverse=True)
+    cuts = np.cumsum([len(x) for x in leaves])[:-1]
+    out = group[["bucket", "slot"]].copy()
+    for name in ("served", "laid"):
+        values = np.concatenate([unpack_even(x, np.int64) for x in group[name]])
+        values = np.bincount(at, weights=values, minlength=len(distinct)).astype(np.int64)[at]
+        out[name] = [pack_even(x) for x in np.split(values, cuts)]
+    return out
+
+
+def _totals(buckets: DataFrame, before: tuple[Totals, DataFrame] | None, sweep: int, slots: int) -> tuple[Totals, DataFrame]:
     """Sums over all buckets, after a number of sweeps with the totals `before` (none: least seating)."""
+    states = buckets.select("bucket", "word", "context", "seen", "leaves", "endings")
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def least(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row in batch.to_pylist():
-                state = _state(row)
-                if before:
-                    rng = np.random.default_rng([sweep, row["bucket"]])
-                    for _ in range(2):
-                        state.sweep(before, rng)
-                for level, size in ((0, 1), (1, 256), (2, 65536)):
-                    at, c = state.contexts[level], state.customers(level)
-                    values = np.stack(
-                        [
-                            np.bincount(at, weights=c, minlength=size),
-                            np.bincount(at, weights=state.tables[level], minlength=size),
-                            np.bincount(at, weights=c == 1, minlength=size),
-                            np.bincount(at, weights=c == 2, minlength=size),
-                        ]
-                    ).astype(np.int64)
-                    used = np.flatnonzero(values[0])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(used), level, np.int32)), pa.array(used.astype(np.int32)), *[pa.array(v[used]) for v in values]],
-                        ["level", "place", "customers", "tables", "once", "twice"],
-                    )
+            for _, row in batch.iterrows():
+                yield _sums(_state(row), row, slots)
+
+    if before is None:
+        rows = states.mapInPandas(least, _SUMS)
+    else:
+        shared, leaves = before
+
+        def seated(group: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+            row, totals = group.iloc[0], shared.with_leaves(own)
+            state, rng = _state(row), np.random.default_rng([sweep, int(row["bucket"])])
+            for _ in range(2):
+                state.sweep(totals, rng)
+            return _sums(state, row, slots)
 
+        rows = states.groupBy("bucket").cogroup(leaves.groupBy("bucket")).applyInPandas(seated, _SUMS)
+    # Written, as it feeds both kinds of totals.
+    rows = stored(rows, "sums")
     numbers = ["customers", "tables", "once", "twice"]
-    rows = (
-        buckets.select("bucket", "word", "context", "seen")
-        .mapInArrow(sums, "level int, place int, " + ", ".join(f"{n} long" for n in numbers))
+    upper = (
+        rows.filter("level < 3")
         .groupBy("level", "place")
         .agg(*[F.sum(n).alias(n) for n in numbers])
-        .toArrow()  # at most one row per restaurant, 65,793 of them
+        .toArrow()  # at most one row per ending, 65,538 of them
         .to_pandas()
     )
+    leaves = stored(
+        rows.filter("level = 3").groupBy("slot").applyInPandas(_leaf_totals, "bucket int, slot int, served binary, laid binary"), "leaf-totals"
+    )
     customers, tables, discounts = [], [], []
-    for level, size in ((0, 1), (1, 256), (2, 65536)):
-        own = rows[rows["level"] == level]
+    for level, size in ((0, 1), (1, 65536), (2, 1)):
+        own = upper[upper["level"] == level]
         for out, name in ((customers, "customers"), (tables, "tables")):
             values = np.zeros(size)
             values[own["place"]] = own[name]
             out.append(values)
         once, twice = own["once"].sum(), own["twice"].sum()
         discounts.append(float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.9)))
-    known = int(tables[0].sum()) if before is None else before.known
-    return Totals(tuple(customers), tuple(tables), np.array(discounts), int(customers[2].sum()), known)
-
-
-def _answers(totals: Totals):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                state = _state(row)
-                word = unpack(row["word"])
-                count = np.bincount(word, weights=state.seen).astype(np.int64)[word]
-                rng = np.random.default_rng([BURN_IN, row["bucket"]])
-                mean = np.zeros(len(word))
-                state.sweep(totals, rng)
-                for _ in range(SAMPLES):
-                    state.sweep(totals, rng)
-                    mean += state.predict(totals)[2] / SAMPLES
-                asked = unpack_even(row["asked"], np.uint32)
-                logs, counts = np.log10(mean)[asked].astype(np.float32), count[asked]
-                ends = np.cumsum(unpack(row["lengths"]))
-                for chunk, a, b in zip(unpack(row["chunks"]).tolist(), [0, *ends[:-1]], ends, strict=True):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([chunk], pa.int64()),
-                            pa.array([row["bucket"]], pa.int32()),
-                            pa.array([pack_even(logs[a:b])], pa.binary()),
-                            pa.array([pack_even(counts[a:b])], pa.binary()),
-                        ],
-                        ["chunk", "bucket", "logs", "seen"],
-                    )
+    known = int(tables[0].sum()) if before is None else before[0].known
+    none = np.zeros(0)
+    return Totals((*customers[:2], none), (*tables[:2], none), np.array(discounts), int(customers[2].sum()), known), leaves
+
+
+def _answers(shared: Totals):
+    def run(group: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        row, totals = group.iloc[0], shared.with_leaves(own)
+        state = _state(row)
+        word = unpack(row["word"])
+        count = np.bincount(word, weights=state.seen).astype(np.int64)[word]
+        rng = np.random.default_rng([BURN_IN, int(row["bucket"])])
+        mean = np.zeros(len(word))
+        state.sweep(totals, rng)
+        for _ in range(SAMPLES):
+            state.sweep(totals, rng)
+            mean += state.predict(totals)[2] / SAMPLES
+        asked = unpack_even(row["asked"], np.uint32)
+        logs, counts = np.log10(mean)[asked].astype(np.float32), count[asked]
+        cuts = np.cumsum(unpack(row["lengths"]))[:-1]
+        return pd.DataFrame(
+            {
+                "chunk": unpack(row["chunks"]),
+                "bucket": row["bucket"],
+                "logs": [pack_even(x) for x in np.split(logs, cuts)],
+                "seen": [pack_even(x) for x in np.split(counts, cuts)],
+            }
+        )
 
     return run
 
@@ -355,14 +414,19 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
     )
     # About one word for six bytes; only the size of buckets depends on it.
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    packed = stored(plain.mapInArrow(_pack_chunks(max(1, size // 6 // BUCKET_TOKENS)), _CHUNK), "chunks")
+    count = max(1, size // 6 // BUCKET_TOKENS)
+    packed = stored(plain.mapInArrow(_pack_chunks(count), _CHUNK), "chunks")
     buckets = stored(
         packed.filter(F.col("bucket") >= 0).drop("ids", "held").groupBy("bucket").applyInPandas(_one_row, _BUCKET), "buckets"
     )
-    totals = _totals(buckets, None, 0)
+    totals, leaves = _totals(buckets, None, 0, count)
     for sweep in range(BURN_IN):
-        totals = _totals(buckets, totals, sweep)
-    answers = buckets.mapInArrow(_answers(totals), "chunk long, bucket int, logs binary, seen binary")
+        totals, leaves = _totals(buckets, (totals, leaves), sweep, count)
+    answers = (
+        buckets.groupBy("bucket")
+        .cogroup(leaves.groupBy("bucket"))
+        .applyInPandas(_answers(totals), "chunk long, bucket int, logs binary, seen binary")
+    )
     chunks = packed.filter(F.col("bucket") < 0).select("chunk", "ids", "counts", "held", "pairs")
     scores = (
         chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_document_scores(totals), _SCORES)

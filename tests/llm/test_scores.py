@@ -188,6 +188,13 @@ def test_language_model_empty(nothing):
     assert pitman_yor.scored(nothing).count() == 0
 
 
+def test_whole_preceding_words_are_contexts(spark):
+    # Both words before "y" and "z" end alike; only the whole word tells which one follows.
+    lines = [(i, " ".join(["onexx y twoxx z"] * 50)) for i in range(40)]
+    rows = pitman_yor.scored(spark.createDataFrame(lines, "doc_id long, text string")).collect()
+    assert all(r.score / r.n_tokens > -0.1 for r in rows)
+
+
 def test_predictions_add_up_to_one():
     rng = np.random.default_rng(4)
     word = np.repeat(np.arange(30), 6)
