@@ -47,4 +47,46 @@ ORACLES = {
                    ELSE [ws[i] FOR i IN range(1, len(ws) + 1) IF NOT list_contains(gone, i)] END, ' ')) AS kept_sha256
         FROM w LEFT JOIN gs USING (doc_id)
     """,
+    "op11_filter_audit": """
+        WITH w AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+') AS ws FROM documents
+        ), mark AS (
+            SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+                   max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+        ), f AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                   CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END
+                   + CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 2 ELSE 0 END
+                   + CASE WHEN 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * len(t) THEN 4 ELSE 0 END
+                   + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+                   + CASE WHEN min(w.doc_id) OVER (PARTITION BY t) < w.doc_id THEN 16 ELSE 0 END AS mask
+            FROM w LEFT JOIN mark ON mark.doc_id = w.doc_id
+        ), m AS (
+            SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, mask
+        ), l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        o AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+        ), s AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM o),
+        z AS (
+            SELECT filter_order, step, 1 << (ascii(filter_order[step]) - 65) AS bit,
+                   coalesce(list_sum([1 << (ascii(filter_order[i]) - 65) FOR i IN range(1, step)]), 0)::BIGINT AS prefix
+            FROM s
+        ), c AS (
+            SELECT part, filter_order, step, bit,
+                   sum(CASE WHEN mask & (prefix + bit) = 0 THEN n ELSE 0 END) AS kept,
+                   sum(CASE WHEN mask & bit > 0 AND mask & prefix = 0 THEN n ELSE 0 END) AS removed,
+                   sum(CASE WHEN mask & bit > 0 AND mask & prefix > 0 THEN n ELSE 0 END) AS redundant,
+                   sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+                   sum(CASE WHEN mask & bit > 0 AND mask & prefix = 0 THEN good ELSE 0 END) AS good_lost,
+                   sum(CASE WHEN mask & bit > 0 AND mask & prefix = 0 THEN toxic ELSE 0 END) AS toxic_lost
+            FROM m, z GROUP BY ALL
+        )
+        SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+               redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+               toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley,
+               filter_order[step] AS filter
+        FROM c
+    """,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from habispark.llm import (
     bpe,
     exact_dedup,
+    filter_audit,
     line_crf,
     link_trust,
     minhash,
@@ -75,6 +76,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removed_words(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over all documents, in all orders, by source."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return filter_audit.audited(docs, read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -88,5 +95,6 @@ QUERIES = {
         op8_pitman_yor,
         op9_best_fit_packing,
         op10_substring_dedup,
+        op11_filter_audit,
     )
 }
