@@ -89,4 +89,86 @@ ORACLES = {
                filter_order[step] AS filter
         FROM c
     """,
+    "op13_conversation_repair": r"""
+        WITH RECURSIVE crc AS (
+            SELECT [list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))
+                    FOR n IN range(0, 256)] AS t
+        ), named AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations
+        ), fated AS (
+            SELECT conv_id, turn, role, text,
+                   xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(name[i])::BIGINT FOR i IN range(1, len(name) + 1)]),
+                       lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295::BIGINT) % 20 AS fate
+            FROM named, crc
+        ), hit AS (
+            SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+                   CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                   unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+            FROM fated WHERE fate <> 0
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text), copy) AS i,
+                   rtrim(text, E' \t\n\x0B\x0C\r') AS ended, left(role, 1) AS initial FROM hit
+        ), judged AS (
+            SELECT *, ended = '' AS blank,
+                   ended <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS duplicate,
+                   lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+            FROM placed
+        ), f AS (
+            SELECT *, NOT blank AND NOT duplicate AND right(ended, 1) NOT IN ('.', '!', '?') AS truncated FROM judged
+        ), counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+                   count(*) FILTER (truncated) AS truncated, count(*) AS n,
+                   count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM f GROUP BY conv_id
+        ), step AS (
+            SELECT conv_id, 0::BIGINT AS i, n, {'c': 0::BIGINT, 'a': ''} AS z, NULL::STRUCT(c BIGINT, a VARCHAR) AS s,
+                   {'c': 5::BIGINT, 'a': 'I'} AS u, {'c': 10::BIGINT, 'a': 'II'} AS x FROM counted
+            UNION ALL
+            SELECT conv_id, i, n, z, s, uu AS u,
+                   least(xx, {'c': uu.c + 5, 'a': uu.a || 'I'}) AS x
+            FROM (
+                SELECT *, least(u0, {'c': z.c + 5, 'a': z.a || 'I'}, CASE WHEN s IS NOT NULL THEN {'c': s.c + 5, 'a': s.a || 'I'} END,
+                                {'c': xx.c + 5, 'a': xx.a || 'I'}) AS uu
+                FROM (
+                    SELECT p.conv_id, f.i, p.n,
+                           {'c': p.z.c + 2, 'a': p.z.a || 'D'} AS z,
+                           least(CASE WHEN p.s IS NOT NULL THEN {'c': p.s.c + 2, 'a': p.s.a || 'D'} END,
+                                 CASE WHEN NOT (blank OR duplicate) AND initial = 's' THEN {'c': p.z.c + tc, 'a': p.z.a || 'K'} END) AS s,
+                           least({'c': p.u.c + 2, 'a': p.u.a || 'D'},
+                                 CASE WHEN NOT (blank OR duplicate) THEN least(
+                                     {'c': p.z.c + tc + kc, 'a': p.z.a || ku},
+                                     CASE WHEN p.s IS NOT NULL THEN {'c': p.s.c + tc + kc, 'a': p.s.a || ku} END,
+                                     {'c': p.x.c + tc + kc, 'a': p.x.a || ku}) END) AS u0,
+                           least({'c': p.x.c + 2, 'a': p.x.a || 'D'},
+                                 CASE WHEN NOT (blank OR duplicate) THEN {'c': p.u.c + tc + kd, 'a': p.u.a || ka} END) AS xx
+                    FROM step p JOIN (
+                        SELECT *, CASE WHEN truncated THEN 5 ELSE 0 END AS tc,
+                               CASE WHEN initial = 'u' THEN 0 ELSE 1 END AS kc, CASE WHEN initial = 'u' THEN 'K' ELSE 'R' END AS ku,
+                               CASE WHEN initial = 'a' THEN 0 ELSE 1 END AS kd, CASE WHEN initial = 'a' THEN 'K' ELSE 'R' END AS ka
+                        FROM f
+                    ) f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1
+                )
+            )
+        ), best AS (SELECT conv_id, least(z, x) AS b FROM step WHERE i = n),
+        letter AS (
+            SELECT conv_id, a[j] AS e, j, len(replace(left(a, j), 'I', '')) AS i,
+                   len(replace(left(a, j), 'D', '')) AS k, len(replace(a, 'D', '')) % 2 AS odd
+            FROM (SELECT conv_id, b.a AS a, unnest(range(1, len(b.a) + 1)) AS j FROM best)
+        ), line AS (
+            SELECT l.conv_id, j, CASE WHEN e = 'K' THEN role WHEN (k + odd) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+                   || CASE WHEN e = 'I' THEN '' ELSE text END AS t
+            FROM letter l LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.i = l.i
+            WHERE e <> 'D'
+        ), whole AS (SELECT conv_id, string_agg(t, E'\n' ORDER BY j) AS t FROM line GROUP BY conv_id)
+        SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+               coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+               coalesce(illegal, 0)::BIGINT AS illegal, coalesce(b.c, 0)::BIGINT AS cost, coalesce(b.a, '') AS audit,
+               sha256(coalesce(whole.t, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN whole ON whole.conv_id IS NOT DISTINCT FROM o.conv_id
+    """,
 }

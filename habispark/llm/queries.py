@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from habispark.llm import (
     bpe,
+    conversation_repair,
     exact_dedup,
     filter_audit,
     line_crf,
@@ -82,6 +83,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audited(docs, read_table(spark, sf_dir, "labels"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged and repaired."""
+    return conversation_repair.damaged_and_repaired(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -96,5 +102,6 @@ QUERIES = {
         op9_best_fit_packing,
         op10_substring_dedup,
         op11_filter_audit,
+        op13_conversation_repair,
     )
 }
