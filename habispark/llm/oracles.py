@@ -89,6 +89,21 @@ ORACLES = {
                filter_order[step] AS filter
         FROM c
     """,
+    "op12_lattice_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), link AS (
+            SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+            WHERE list_cosine_similarity(x.e, y.e) >= 0.9
+        ), n AS (SELECT a, count(*) AS n_links FROM link GROUP BY a),
+        reach(vec_id, other) AS (
+            SELECT vec_id, vec_id FROM embeddings UNION SELECT vec_id, b FROM reach JOIN link ON other = a
+        ), component AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM component LEFT JOIN n ON a = vec_id
+    """,
     "op13_conversation_repair": r"""
         WITH RECURSIVE crc AS (
             SELECT [list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))

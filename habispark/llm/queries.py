@@ -10,6 +10,7 @@ from habispark.llm import (
     conversation_repair,
     exact_dedup,
     filter_audit,
+    lattice_dedup,
     line_crf,
     link_trust,
     minhash,
@@ -83,6 +84,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audited(docs, read_table(spark, sf_dir, "labels"))
 
 
+def op12_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.9."""
+    return lattice_dedup.near_vectors(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, damaged and repaired."""
     return conversation_repair.damaged_and_repaired(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
@@ -102,6 +108,7 @@ QUERIES = {
         op9_best_fit_packing,
         op10_substring_dedup,
         op11_filter_audit,
+        op12_lattice_dedup,
         op13_conversation_repair,
     )
 }
