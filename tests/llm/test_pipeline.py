@@ -22,7 +22,7 @@ def test_stages_keep_the_columns_of_documents(spark):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
     assert os.path.isdir(SMALL)
 
