@@ -3,7 +3,7 @@
 Each of several tables projects the unit vectors at random to eight dimensions (once or more, see `design`)
 and decodes the projection to the nearest point of the E8 lattice, which is the vector's cell. A vector
 is also a guest in the neighbouring cells it lies closest to, so two vectors meet where one is at home and
-the other at home or a guest. Vectors that meet are compared by a 128-bit sketch of signs first, whose
+the other at home or a guest. Vectors that meet are compared by a 192-bit sketch of signs first, whose
 bound lets a linked pair fail with a probability below 1e-8, and then by their cosine in double precision.
 
 Groups of near copies never become pairs. Equal vectors are one entry with a count. Vectors that lie
@@ -24,7 +24,7 @@ from itertools import combinations, product
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from habispark.llm.components import connected_components
@@ -42,12 +42,13 @@ MISSED = 1e-3
 # Distinct vectors that share a cell by chance when the number of lattice points is raised by one.
 CROWD = 100
 CELLS = 1000
-SKETCH_BITS = 128
+SKETCH_BITS = 192
 # Angles are computed with an error far below this; what is nearer to a bound is compared exactly.
 _SLACK = 1e-6
 _SEED = 8
 # Numbers of the random projections that are no tables of the search.
 _BALL_TABLE, _SKETCH = 900, 950_000
+_SKETCHES = [f"sketch_{i}" for i in range(SKETCH_BITS // 64)]
 # Vectors that are entered in their cells at a time.
 _SLICE = 512
 
@@ -278,7 +279,7 @@ def _balls(distinct: DataFrame, dims: int, points: int, radius: float) -> DataFr
 
 
 def _entries(dims: int, points: int, tables: int, probes: int):
-    """Function for `mapInArrow`: cell, cls, ball, sketch_0, sketch_1 for every table and cell of a vector."""
+    """Function for `mapInArrow`: cell, cls, ball and the sketch for every table and cell of a vector."""
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signs = _random(dims, SKETCH_BITS, _SKETCH)
@@ -301,7 +302,7 @@ def _entries(dims: int, points: int, tables: int, probes: int):
                     found = found[order[np.concatenate([[True], ~same])]]
                     yield _table(
                         cell=found[:, 0], cls=found[:, 1], ball=ball[found[:, 2]],
-                        sketch_0=np.ascontiguousarray(sketch[found[:, 2], 0]), sketch_1=np.ascontiguousarray(sketch[found[:, 2], 1]),
+                        **{name: np.ascontiguousarray(sketch[found[:, 2], i]) for i, name in enumerate(_SKETCHES)},
                     )
 
     return enter
@@ -309,7 +310,7 @@ def _entries(dims: int, points: int, tables: int, probes: int):
 
 def _meetings(nodes: DataFrame, dims: int, points: int, tables: int, threshold: float) -> DataFrame:
     """a, b (a < b): classes with vectors that meet in a cell and whose sketches allow a link."""
-    schema = "cell long, cls long, ball boolean, sketch_0 long, sketch_1 long"
+    schema = "cell long, cls long, ball boolean, " + ", ".join(f"{name} long" for name in _SKETCHES)
     single, member = F.col("centre").isNull(), F.col("centre").isNotNull()
     columns = nodes.select("embedding", "cls", "centre")
 
@@ -319,9 +320,7 @@ def _meetings(nodes: DataFrame, dims: int, points: int, tables: int, threshold:
         return columns.filter(single).mapInArrow(enter, schema).unionByName(balls)
 
     homes, guests = entered(1).alias("h"), entered(PROBES).alias("g")
-    bits = F.bit_count(F.col("h.sketch_0").bitwiseXOR(F.col("g.sketch_0"))) + F.bit_count(
-        F.col("h.sketch_1").bitwiseXOR(F.col("g.sketch_1"))
-    )
+    bits = reduce(Column.__add__, [F.bit_count(F.col(f"h.{name}").bitwiseXOR(F.col(f"g.{name}"))) for name in _SKETCHES])
     theta = math.acos(threshold)
     # A ball shows its centre, which a linked vector may be farther from by half the angle.
     limit = (
