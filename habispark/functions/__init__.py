@@ -1,6 +1,6 @@
 """Column functions; each one is a composition of built-in Spark expressions."""
 
-from habispark.functions.measures import int_round, price_per_m2, sale_year
+from habispark.functions.measures import exact_mean, int_round, price_per_m2, sale_year
 from habispark.functions.parsing import (
     lenient_integer,
     lenient_number,
@@ -10,6 +10,7 @@ from habispark.functions.parsing import (
 from habispark.functions.text import slugify
 
 __all__ = [
+    "exact_mean",
     "int_round",
     "lenient_integer",
     "lenient_number",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from habispark.constants import ENERGY_CLASSES
-from habispark.functions import int_round, price_per_m2, sale_year
+from habispark.functions import exact_mean, int_round, price_per_m2, sale_year
 from habispark.operators.quantiles import grouped_quantiles
 from habispark.operators.skew import HOT_ROWS
 
@@ -77,7 +77,7 @@ def commune_energy(certificates: DataFrame) -> DataFrame:
         .groupBy("code_insee", "classe_dpe")
         .agg(
             F.count(F.lit(1)).alias("nb_logements"),
-            F.round(F.avg("conso_energie"), 1).alias("conso_moyenne"),
+            exact_mean(F.col("conso_energie"), 1).alias("conso_moyenne"),
         )
     )
     commune = Window.partitionBy("code_insee")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from habispark.constants import (
@@ -18,7 +18,11 @@ from habispark.constants import (
 
 
 class QualityError(RuntimeError):
-    """A check found rows that must not be published."""
+    """A check found rows that must not be published: its name, their number and a few of them."""
+
+    def __init__(self, message: str, check: str = "", rows: int = 0, examples: Sequence[tuple] = ()):
+        super().__init__(message)
+        self.check, self.rows, self.examples = check, rows, list(examples)
 
 
 def price_out_of_bounds(prices: DataFrame, bounds: tuple[float, float] = PRICE_M2_BOUNDS) -> DataFrame:
@@ -67,10 +71,32 @@ def violations(
 def require_no_violation(checks: Mapping[str, DataFrame]) -> None:
     """Raises on the first check with rows, naming a few of them."""
     for name, bad in checks.items():
-        sample = bad.limit(SAMPLE_ROWS).collect()
-        if sample:
-            examples = [tuple(row) for row in sample]
-            raise QualityError(f"{name}: {bad.count()} rows break the rule, for example {examples}")
+        rows, examples = offenders(bad)
+        if rows:
+            raise QualityError(f"{name}: {rows} rows break the rule, for example {examples}", name, rows, examples)
+
+
+def offenders(bad: DataFrame, most: int = SAMPLE_ROWS) -> tuple[int, list[tuple]]:
+    """How many rows a check found, and the first `most` of them in the order of their columns.
+
+    One job: the sort keeps `most` rows a task but has to see all of them, and they are counted on the way.
+    """
+    seen = Observation()
+    first = bad.observe(seen, F.count(F.lit(1)).alias("rows")).orderBy(*bad.columns).limit(most).collect()
+    return (seen.get["rows"], [tuple(row) for row in first]) if first else (0, [])
+
+
+def offender_samples(checks: Mapping[str, DataFrame], most: int = SAMPLE_ROWS) -> DataFrame:
+    """controle, lignes, rang, exemple: the first `most` offenders of each check, as text, and how many there are."""
+    kept = []
+    for name, bad in checks.items():
+        rows, examples = offenders(bad, most)
+        kept += [
+            (name, rows, i, "|".join(str(x) for x in example if x is not None)) for i, example in enumerate(examples, 1)
+        ]
+    # At most `most` rows per check.
+    spark = next(iter(checks.values())).sparkSession
+    return spark.createDataFrame(kept, "controle string, lignes long, rang int, exemple string")
 
 
 def quality_counts(prices: DataFrame, energy: DataFrame, communes: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from habispark.constants import DEPARTMENT_NAMES, REGION_NAMES
+from habispark.constants import CERTIFICATE_FIELDS, DEPARTMENT_NAMES, REGION_NAMES, SAMPLE_ROWS
 from habispark.registry.queries import (
     COMMUNE_DEPARTMENT,
     DEPARTMENT,
@@ -103,8 +103,9 @@ from (select code_commune code_insee, cast(year(cast(date_mutation as date)) as
     "energy": """
 select code_insee, classe_dpe, count(*) nb_logements,
   round(100.0 * count(*) / sum(count(*)) over (partition by code_insee), 1) part_pct,
-  round(avg(conso_energie), 1) conso_moyenne
-from certificates where classe_dpe in ('A', 'B', 'C', 'D', 'E', 'F', 'G')
+  cast((2 * 10 * sum(n) + 1000000000 * count(n)) // nullif(2 * 1000000000 * count(n), 0) as double) / 10 conso_moyenne
+from (select *, cast(cast(cast(conso_energie as varchar) as decimal(28, 9)) * 1000000000 as hugeint) n from certificates) c
+where classe_dpe in ('A', 'B', 'C', 'D', 'E', 'F', 'G')
   and code_insee is not null and code_insee <> '' group by code_insee, classe_dpe""",
     "eligible": f"""
 select c.code_insee, c.nom from communes c
@@ -166,6 +167,7 @@ _CERTIFICATE_COLUMNS = """numero_dpe, code_postal, code_insee, adresse, classe_d
 def oracles() -> dict[str, str]:
     in_department = f"""code_insee is null or left(code_insee, 2) = '{DEPARTMENT}'
   or left(code_insee, 3) = '{DEPARTMENT}'"""
+    greenhouse = next(field for field, name in CERTIFICATE_FIELDS.items() if name == "classe_ges")
     years = " union all ".join(f"select {y} y" for y in REQUESTED_YEARS)
     return {
         "src_sales_csv": _with("""
@@ -206,10 +208,34 @@ where title not like '%outre-mer%' and (url like '%.csv' or url like '%.zip') or
 select c_custkey, case when c_mktsegment in ('HOUSEHOLD', 'MACHINERY', 'BUILDING') then null
   when c_mktsegment = 'FURNITURE' then ' NA ' else c_mktsegment end segment from customer""",
         "publish_tables": _with("""
-select 'communes' nom_table, count(*) lignes, count(distinct code_insee) communes from communes
-union all select 'agg_commune_immo', count(*), count(distinct code_insee) from immo
-union all select 'agg_commune_dpe', count(*), count(distinct code_insee) from energy
-union all select 'communes_eligible', count(*), count(distinct code_insee) from eligible""", "eligible"),
+select 'communes' nom_table, code_insee, nom, coalesce(code_departement, 'inconnu') code_departement from communes
+union all by name select 'agg_commune_immo' nom_table, * from immo
+union all by name select 'agg_commune_dpe' nom_table, * from energy
+union all by name select 'communes_eligible' nom_table, code_insee from eligible""", "eligible"),
+        "publish_refused": _with(f"""
+select 'prix_m2_bornes' controle, count(*) lignes from immo
+where prix_m2_median < {PRICE_BOUNDS[0]} or prix_m2_median > {PRICE_BOUNDS[1]} having count(*) > 0
+union all select 'communes_departement', count(*) from immo i left join communes c on i.code_insee = c.code_insee
+where c.code_departement is null having count(*) > 0
+union all select 'publie', count(*) from immo""", "immo", "communes"),
+        "published_lookup": _with("""
+select * from immo where code_insee = (
+  select code_insee from immo group by 1 order by count(*) desc, code_insee limit 1)""", "immo"),
+        "src_parquet_refused": """
+select distinct '1' partie, 'code_insee' colonne from events where event_type not in ('view', 'click', 'signup', 'error')""",
+        "refused_inputs": f"""
+select 'ventes' entree, 'id_parcelle' colonne from lineitem union select 'communes', 'REG' from part
+union select 'certificats', '{greenhouse}' from events""",
+        "check_samples": _with(f"""
+select * from (
+  select 'prix_m2_bornes' controle, count(*) over () lignes,
+    cast(row_number() over (order by code_insee nulls first, annee, type_local, prix_m2_median) as integer) rang,
+    concat_ws('|', code_insee, annee, type_local, prix_m2_median) exemple
+  from immo where prix_m2_median < {PRICE_BOUNDS[0]} or prix_m2_median > {PRICE_BOUNDS[1]}
+  union all select 'communes_departement', count(*) over (),
+    cast(row_number() over (order by i.code_insee nulls first) as integer), i.code_insee
+  from immo i left join communes c on i.code_insee = c.code_insee where c.code_departement is null) s
+where rang <= {SAMPLE_ROWS}""", "immo", "communes"),
         "certificates_stream": _with("""
 select cast(numero_dpe as varchar) numero_dpe, code_postal, code_insee, adresse, classe_dpe, classe_ges,
   conso_energie, surface_habitable, annee_construction, date_etablissement,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from habispark.operators import (
     restrict,
     sales,
 )
-from habispark.plans import build_and_publish, coverage_report
+from habispark.plans import build_and_publish, coverage_report, ingest_certificates
 from habispark.registry import standins as given
 from habispark.session import scratch_dir
 
@@ -166,6 +167,44 @@ def src_parquet_glob(spark, d):
     return sources.read_table(spark, root, ["numero_dpe", "code_insee"]).drop("part")
 
 
+@query
+def src_parquet_refused(spark, d):
+    """Which of two Parquet folders has files without a needed column; their rows would be read as NULL."""
+    root = scratch_dir(spark, "parquet")
+    rows = given.certificates(spark, d).select("numero_dpe", "code_insee", "classe_dpe")
+    unlabelled = F.col("classe_dpe") == "N"
+    rows.filter(unlabelled).drop("code_insee").write.parquet(f"{root}/part=1")
+    rows.filter(~unlabelled).write.parquet(f"{root}/part=2")
+    lacking = sources.files_without(spark, root, ["numero_dpe", "code_insee", "part"])
+    return lacking.select(F.regexp_extract("path", "part=([0-9]+)", 1).alias("partie"), F.col("column").alias("colonne")).distinct()
+
+
+@query
+def refused_inputs(spark, d):
+    """Sales, pages and a commune list that lack a column are refused, and the error names it."""
+    sold, listed = scratch_dir(spark, "sales-csv"), scratch_dir(spark, "cog-csv")
+    pages, target = scratch_dir(spark, "certificate-pages"), scratch_dir(spark, "certificates-table")
+    (
+        given.sales(spark, d).drop("id_parcelle").hint("rebalance", "annee_fichier")
+        .write.partitionBy("annee_fichier").options(header=True, compression="gzip").csv(sold)
+    )
+    given.cog(spark, d).drop("REG").write.option("header", True).csv(listed)
+    greenhouse = next(f for f, name in CERTIFICATE_FIELDS.items() if name == "classe_ges")
+    _pages(given.certificate_fields(spark, d).drop(greenhouse)).write.json(pages)
+    attempts = {
+        "ventes": lambda: sources.read_sales(spark, sold),
+        "communes": lambda: sources.read_cog(spark, listed),
+        "certificats": lambda: ingest_certificates(spark, pages, target, everything=True),
+    }
+    refused = []
+    for name, attempt in attempts.items():
+        try:
+            attempt()
+        except sources.SchemaError as error:
+            refused += [(name, column) for column in error.missing]
+    return spark.createDataFrame(refused, "entree string, colonne string")
+
+
 @query
 def latest_snapshot(spark, d):
     return sources.latest_snapshot(given.manifest(spark, d))
@@ -191,19 +230,47 @@ def _attached_communes(spark, d):
 
 @query
 def publish_tables(spark, d):
-    """The four tables built, checked and published, then counted from what was published."""
+    """The four tables built, checked and published, then all rows of what was published."""
     target = scratch_dir(spark, "published")
-    build_and_publish(
-        _clean(spark, d), given.certificates(spark, d), _attached_communes(spark, d), target,
-        min_sales=MIN_SALES, min_certificates=MIN_CERTIFICATES, price_bounds=PUBLISHED_PRICE_BOUNDS,
-    )
-    counts = [
-        sinks.read_published(spark, target, name)
-        .agg(F.count(F.lit(1)).alias("lignes"), F.count_distinct("code_insee").alias("communes"))
-        .select(F.lit(name).alias("nom_table"), "lignes", "communes")
+    _publish(spark, d, target, _attached_communes(spark, d), PUBLISHED_PRICE_BOUNDS)
+    tables = [
+        sinks.read_published(spark, target, name).select(F.lit(name).alias("nom_table"), "*")
         for name in sinks.tables.PUBLISHED
     ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables).drop("latitude", "longitude")
+
+
+def _publish(spark, d, target, communes_table, bounds):
+    build_and_publish(
+        _clean(spark, d), given.certificates(spark, d), communes_table, target,
+        min_sales=MIN_SALES, min_certificates=MIN_CERTIFICATES, price_bounds=bounds,
+    )
+
+
+@query
+def publish_refused(spark, d):
+    """Three publications: one that passes, then two that a check stops; what stopped them and what is still read."""
+    target = scratch_dir(spark, "published")
+    _publish(spark, d, target, _attached_communes(spark, d), PUBLISHED_PRICE_BOUNDS)
+    stopped = []
+    for table, bounds in ((_attached_communes(spark, d), PRICE_BOUNDS), (given.communes(spark, d), PUBLISHED_PRICE_BOUNDS)):
+        try:
+            _publish(spark, d, target, table, bounds)
+        except quality.QualityError as error:
+            stopped.append((error.check, error.rows))
+    refused = spark.createDataFrame(stopped, "controle string, lignes long")
+    left = sinks.read_published(spark, target, "agg_commune_immo").agg(F.count(F.lit(1)).alias("lignes"))
+    return refused.unionByName(left.select(F.lit("publie").alias("controle"), "lignes"))
+
+
+@query
+def published_lookup(spark, d):
+    """The published prices of the commune with the most rows, by its code."""
+    target = scratch_dir(spark, "published")
+    _publish(spark, d, target, _attached_communes(spark, d), PUBLISHED_PRICE_BOUNDS)
+    per_commune = sinks.read_published(spark, target, "agg_commune_immo").groupBy("code_insee").count()
+    code = per_commune.orderBy(F.col("count").desc(), "code_insee").first()["code_insee"]
+    return sinks.published_rows(spark, target, "agg_commune_immo", code)
 
 
 @query
@@ -529,6 +596,18 @@ def orphan_communes(spark, d):
     return quality.communes_without_department(agg_commune_immo(spark, d), given.communes(spark, d))
 
 
+@query
+def check_samples(spark, d):
+    """The first offenders of two checks, and how many there are."""
+    prices = agg_commune_immo(spark, d)
+    return quality.offender_samples(
+        {
+            "prix_m2_bornes": quality.price_out_of_bounds(prices, PRICE_BOUNDS),
+            "communes_departement": quality.communes_without_department(prices, given.communes(spark, d)),
+        }
+    )
+
+
 @query
 def quality_report(spark, d):
     return quality.quality_counts(agg_commune_immo(spark, d), agg_commune_dpe(spark, d), given.communes(spark, d))

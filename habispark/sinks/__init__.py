@@ -1,9 +1,11 @@
 """Writers; each one replaces what it wrote before."""
 
 from habispark.sinks.tables import (
+    certificates_of,
     discard,
     new_version,
     publish,
+    published_rows,
     read_published,
     stage,
     write_certificates,
@@ -12,9 +14,11 @@ from habispark.sinks.tables import (
 )
 
 __all__ = [
+    "certificates_of",
     "discard",
     "new_version",
     "publish",
+    "published_rows",
     "read_published",
     "stage",
     "write_certificates",

@@ -4,6 +4,7 @@ from habispark.sources.files import (
     SchemaError,
     certificate_columns,
     field_counts,
+    files_without,
     landed_years,
     page_maps,
     read_certificate_maps,
@@ -20,6 +21,7 @@ __all__ = [
     "SchemaError",
     "certificate_columns",
     "field_counts",
+    "files_without",
     "landed_years",
     "latest_snapshot",
     "latest_snapshot_url",

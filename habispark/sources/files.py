@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from habispark.constants import CERTIFICATE_FIELDS, COG_COLUMNS, SALES_COLUMNS
+from habispark.constants import CERTIFICATE_FIELDS, COG_COLUMNS, SALES_COLUMNS, SAMPLE_ROWS
 from habispark.functions import normalize_null_tokens
 
 
 class SchemaError(RuntimeError):
-    """A source lacks columns that the operators need."""
+    """A source lacks columns that the operators need, named in `missing`."""
+
+    def __init__(self, message: str, missing: Sequence[str] = ()):
+        super().__init__(message)
+        self.missing = tuple(missing)
 
 
 def require_columns(df: DataFrame, required: Iterable[str], what: str = "table") -> DataFrame:
     """The frame itself, or an error that lists missing and present columns; runs no job."""
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise SchemaError(f"{what}: missing columns {missing}; present columns {sorted(df.columns)}")
+        raise SchemaError(f"{what}: missing columns {missing}; present columns {sorted(df.columns)}", missing)
     return df
 
 
@@ -128,13 +136,91 @@ def field_counts() -> list[Column]:
     ]
 
 
+# Stores that a task can open by itself; names that only Hadoop knows are left to Spark.
+ARROW_STORES = ("file", "hdfs", "s3", "gs")
+FOOTERS_AT_A_TIME = 16
+
+
+def files_without(spark: SparkSession, path: str, required: Iterable[str]) -> DataFrame:
+    """path, column: the Parquet files below `path` that lack a required column, and which one.
+
+    Each file's footer is read by the task that the file is dealt to; no row is read. A column that is part
+    of the folder names (`/column=value/`) counts as present.
+    """
+    wanted = list(required)
+    # Not selecting the content leaves the files closed.
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path")
+    one = files.first()
+    if one and one.path.split(":", 1)[0] not in ARROW_STORES:
+        return _files_without_by_spark(spark, files, wanted)
+
+    def lacking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                (file, column)
+                for file in batch.column(0).to_pylist()
+                for present in [footer_columns(file)]
+                for column in wanted
+                if column not in present and f"/{column}=" not in file
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[i] for f in found], pa.string()) for i in range(2)], ["path", "column"]
+            )
+
+    return files.mapInArrow(lacking, "path string, column string")
+
+
+def _files_without_by_spark(spark: SparkSession, files: DataFrame, wanted: list[str]) -> DataFrame:
+    """The same in stores that only Spark can open: it reads one footer per file, some at a time."""
+    names = [row.path for row in files.collect()]
+    with ThreadPoolExecutor(FOOTERS_AT_A_TIME) as pool:
+        present = list(pool.map(lambda file: set(spark.read.parquet(file).columns), names))
+    found = [
+        (file, column)
+        for file, columns in zip(names, present, strict=True)
+        for column in wanted
+        if column not in columns and f"/{column}=" not in file
+    ]
+    return spark.createDataFrame(found, "path string, column string")
+
+
+def footer_columns(file: str) -> set[str]:
+    """Names of the columns of one Parquet file, as its footer gives them."""
+    if file.startswith("file:"):
+        store, name = pa.fs.LocalFileSystem(), "/" + file.removeprefix("file:").lstrip("/")
+    else:
+        store, name = pa.fs.FileSystem.from_uri(file)
+    with store.open_input_file(name) as source:
+        return set(pq.read_schema(source).names)
+
+
+def require_columns_in_files(spark: SparkSession, path: str, required: Iterable[str]) -> None:
+    """An error that names files and columns if some file lacks a required column."""
+    found = Observation()
+    lacking = files_without(spark, path, required)
+    # Sorted, so that all footers are looked at and counted though only a few come back.
+    examples = lacking.observe(found, F.count(F.lit(1)).alias("lacking")).orderBy("path", "column").limit(SAMPLE_ROWS).collect()
+    if examples:
+        listed = [f"{row.column} in {row.path}" for row in examples]
+        raise SchemaError(
+            f"{path}: {found.get['lacking']} required columns are missing in files, for example {listed}",
+            sorted({row.column for row in examples}),
+        )
+
+
 # Folder names of the written tables that are codes; Spark would read "01" as a number.
 CODE_PARTITIONS = ("code_departement", "departement", "perimetre", "lot")
 
 
 def read_table(spark: SparkSession, path: str, required: Iterable[str] = ()) -> DataFrame:
-    """A Parquet folder whose files may differ in extra columns; partition codes stay text."""
+    """A Parquet folder whose files may differ in extra columns; partition codes stay text.
+
+    Every single file must have the `required` columns: where one lacks them, its rows would be read as NULL.
+    """
+    required = list(required)
     merged = require_columns(spark.read.option("mergeSchema", True).parquet(path), required, path)
+    if required:
+        require_columns_in_files(spark, path, required)
     fields = [
         T.StructField(f.name, T.StringType() if f.name in CODE_PARTITIONS else f.dataType)
         for f in merged.schema.fields

@@ -37,7 +37,7 @@ def checked_certificates(maps: DataFrame, postcode: str | None = None) -> DataFr
         return None
     absent = [field for field, name in CERTIFICATE_FIELDS.items() if not found[name]]
     if absent:
-        raise SchemaError(f"certificates: missing fields {sorted(absent)}")
+        raise SchemaError(f"certificates: missing fields {sorted(absent)}", sorted(absent))
     return rows
 
 

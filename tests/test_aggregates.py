@@ -1,7 +1,15 @@
+import random
+from decimal import ROUND_HALF_UP, Decimal
+from fractions import Fraction
+
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import oracle_sql
+from habispark.functions import exact_mean
 from habispark.operators import aggregates, coverage, quality
+from habispark.registry import standins
+from tests.compare import differences
 
 
 def sales(spark, rows):
@@ -61,6 +69,33 @@ def test_commune_energy(spark):
     assert dict(aggregates.commune_energy(df).dtypes)["part_pct"] == "double"
 
 
+def test_means_are_exact_whatever_the_order(spark):
+    """Sums of doubles would put some of these means on either side of the half."""
+    rng = random.Random(9)
+    groups = {f"g{k}": [round(rng.uniform(-90, 900), rng.choice([1, 2, 4])) for _ in range(rng.choice([1, 2, 20, 40]))] for k in range(300)}
+    groups |= {"tie": [40.1, 40.6], "below": [-40.1, -40.6], "third": [1e15 + 0.5, 0.25, 0.125], "none": [None, None], "one": [0.1, None]}
+    rows = [(k, v) for k, values in groups.items() for v in values]
+    right = {}
+    for k, values in groups.items():
+        present = [Decimal(repr(v)) for v in values if v is not None]
+        exact = sum(Fraction(v) for v in present) / len(present) if present else None
+        right[k] = None if exact is None else float(Decimal(exact.numerator).__truediv__(exact.denominator).quantize(Decimal("0.1"), ROUND_HALF_UP))
+    for parts in (1, 3, 8):
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "k string, v double").repartition(parts)
+        assert {r.k: r.m for r in df.groupBy("k").agg(exact_mean(F.col("v"), 1).alias("m")).collect()} == right
+    with pytest.raises(Exception, match="too large"):
+        spark.createDataFrame([(1e30,)], "v double").agg(exact_mean(F.col("v"), 1)).collect()
+
+
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_energy_equals_its_sql_under_any_partitioning(spark, size):
+    folder = f"/root/testdata/{size}"
+    sql = oracle_sql()["agg_commune_dpe"]
+    for split in (lambda df: df.coalesce(1), lambda df: df.repartition(5), lambda df: df.repartition(9, "classe_dpe")):
+        assert differences(spark, folder, "agg_commune_dpe", lambda s, d: aggregates.commune_energy(split(standins.certificates(s, d))), sql) == []
+
+
 def test_coverage_rule(spark):
     communes = spark.createDataFrame([("a", "A"), ("b", "B"), ("c", "C"), ("d", "D")], "code_insee string, nom string")
     prices = spark.createDataFrame([("a", 7), ("a", 8), ("b", 14), ("c", 99)], "code_insee string, nb_ventes int")

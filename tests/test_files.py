@@ -208,6 +208,30 @@ def test_parquet_files_may_have_more_columns(spark, tmp_path):
         sources.read_table(spark, str(tmp_path), ["absent"])
 
 
+def test_a_file_without_a_required_column_is_refused(spark, tmp_path):
+    """The merged schema has the column, so only the footers tell."""
+    rows = spark.range(20).select("id", F.lit("69381").alias("code_insee"))
+    rows.repartition(6).write.parquet(f"{tmp_path}/k=1")
+    rows.withColumn("more", F.lit("m")).write.parquet(f"{tmp_path}/k=2")
+    assert sources.read_table(spark, str(tmp_path), ["id", "code_insee", "k"]).count() == 40
+    rows.select("id").repartition(3).write.parquet(f"{tmp_path}/k=3")
+    with pytest.raises(sources.SchemaError, match=r"3 required columns .*code_insee in .*k=3/part-") as raised:
+        sources.read_table(spark, str(tmp_path), ["id", "code_insee"])
+    assert raised.value.missing == ("code_insee",)
+    assert sources.read_table(spark, str(tmp_path), ["id"]).count() == 60
+    lacking = {(r.path.rsplit("/", 2)[1], r.column) for r in sources.files_without(spark, str(tmp_path), ["more", "id"]).collect()}
+    assert lacking == {("k=1", "more"), ("k=3", "more")}
+
+
+def test_footers_in_a_store_that_only_spark_opens(spark, tmp_path, monkeypatch):
+    spark.range(3).write.parquet(f"{tmp_path}/k=1")
+    spark.range(3).withColumnRenamed("id", "other").write.parquet(f"{tmp_path}/k=2")
+    expected = sorted(map(tuple, sources.files_without(spark, str(tmp_path), ["id", "k"]).collect()))
+    monkeypatch.setattr(sources.files, "ARROW_STORES", ())
+    assert sorted(map(tuple, sources.files_without(spark, str(tmp_path), ["id", "k"]).collect())) == expected
+    assert len(expected) >= 1
+
+
 def test_latest_snapshot(spark):
     rows = [
         ("Liste des communes au 01/01/2023", "https://x/2023.csv"),
