@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from habispark.constants import ENERGY_CLASSES
 from habispark.functions import exact_mean, int_round, price_per_m2, sale_year
 from habispark.operators.quantiles import grouped_quantiles
-from habispark.operators.skew import HOT_ROWS
 
 
 def _priced(sales: DataFrame) -> DataFrame:
@@ -19,19 +18,13 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: int_round(F.col(n)) for n in names})
 
 
-def commune_prices(
-    sales: DataFrame, hot_rows: int = HOT_ROWS, sizes_from: DataFrame | None = None
-) -> DataFrame:
+def commune_prices(sales: DataFrame) -> DataFrame:
     """Sales, median price, price per m² quartiles and median surface by commune, year and type."""
     keys = ["code_insee", "annee", "type_local"]
-
-    def keyed(df: DataFrame) -> DataFrame:
-        return _priced(df).withColumns(
-            {"code_insee": F.col("code_commune"), "annee": sale_year()}
-        )
-
-    rows = keyed(sales).select(
-        *keys,
+    rows = _priced(sales).select(
+        F.col("code_commune").alias("code_insee"),
+        sale_year().alias("annee"),
+        "type_local",
         F.col("valeur_fonciere").cast("double").alias("prix"),
         "prix_m2",
         F.col("surface_reelle_bati").cast("double").alias("surface"),
@@ -46,9 +39,7 @@ def commune_prices(
             "prix_m2_p75": ("prix_m2", 0.75),
             "surface_mediane": ("surface", 0.5),
         },
-        extras=[F.count(F.lit(1)).alias("nb_ventes")],
-        hot_rows=hot_rows,
-        sizes_from=None if sizes_from is None else keyed(sizes_from).select(*keys),
+        {"nb_ventes": (F.sum, F.lit(1))},
     )
     return _rounded(
         table, "prix_median", "prix_m2_median", "prix_m2_p25", "prix_m2_p75", "surface_mediane"
@@ -87,45 +78,28 @@ def commune_energy(certificates: DataFrame) -> DataFrame:
     )
 
 
-def street_prices(
-    sales: DataFrame, hot_rows: int = HOT_ROWS, sizes_from: DataFrame | None = None
-) -> DataFrame:
+def street_prices(sales: DataFrame) -> DataFrame:
     """Sales, median price per m² and last sale date by street."""
-
-    def located(df: DataFrame) -> DataFrame:
-        return df.filter(F.col("id_voie").isNotNull())
-
-    rows = _priced(located(sales)).select(
+    rows = _priced(sales.filter(F.col("id_voie").isNotNull())).select(
         "id_voie", "prix_m2", F.col("date_mutation").cast("date").alias("date_mutation")
     )
     table = grouped_quantiles(
         rows,
         ["id_voie"],
         {"prix_m2_median": ("prix_m2", 0.5)},
-        extras=[
-            F.count(F.lit(1)).alias("nb_ventes"),
-            F.max("date_mutation").alias("derniere_vente"),
-        ],
-        hot_rows=hot_rows,
-        sizes_from=None if sizes_from is None else located(sizes_from).select("id_voie"),
+        {"nb_ventes": (F.sum, F.lit(1)), "derniere_vente": (F.max, F.col("date_mutation"))},
     )
     return _rounded(table, "prix_m2_median").select(
         "id_voie", "nb_ventes", "prix_m2_median", "derniere_vente"
     )
 
 
-def prices_by_energy_class(
-    matched_sales: DataFrame,
-    certificates: DataFrame,
-    hot_rows: int = HOT_ROWS,
-    sizes_from: DataFrame | None = None,
-) -> DataFrame:
-    """Observations and median price per m² by commune, dwelling type and energy class.
+def matched_prices(matched_sales: DataFrame, certificates: DataFrame) -> DataFrame:
+    """Price per m² of each sale and class of its certificate, with the number of certificates as weight `poids`.
 
     `matched_sales` carries the certificate number in `dpe_numero`. Certificates are first counted by
     number and class, so a number that occurs often meets each sale once per class instead of
-    once per certificate; the count then weighs the sale. A group has therefore no more rows than
-    there are sales of its commune and type, which sizes it without the join.
+    once per certificate.
     """
     classes = (
         certificates.filter(
@@ -134,20 +108,19 @@ def prices_by_energy_class(
         .groupBy("numero_dpe", "classe_dpe")
         .agg(F.count(F.lit(1)).alias("poids"))
     )
-    commune = F.col("code_commune").alias("code_insee")
-    sales = _priced(matched_sales).select(commune, "type_local", "dpe_numero", "prix_m2")
-    sized = sales if sizes_from is None else sizes_from.select(commune, "type_local")
-    rows = sales.join(classes, F.col("dpe_numero") == F.col("numero_dpe")).select(
+    sales = _priced(matched_sales).select(F.col("code_commune").alias("code_insee"), "type_local", "dpe_numero", "prix_m2")
+    return sales.join(classes, F.col("dpe_numero") == F.col("numero_dpe")).select(
         "code_insee", "type_local", "classe_dpe", "prix_m2", "poids"
     )
+
+
+def prices_by_energy_class(matched_sales: DataFrame, certificates: DataFrame) -> DataFrame:
+    """Observations and median price per m² by commune, dwelling type and energy class."""
     table = grouped_quantiles(
-        rows,
+        matched_prices(matched_sales, certificates),
         ["code_insee", "type_local", "classe_dpe"],
         {"prix_m2_median": ("prix_m2", 0.5)},
-        extras=[F.sum("poids").alias("nb_observations")],
+        {"nb_observations": (F.sum, F.col("poids"))},
         weight="poids",
-        hot_rows=hot_rows,
-        sizes_from=sized,
-        sized_by=["code_insee", "type_local"],
     )
     return _rounded(table, "prix_m2_median")

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from habispark.constants import COMMUNE_COLUMNS, DEPARTMENT_NAMES, REGION_NAMES
 from habispark.functions import lenient_number, slugify
 from habispark.operators.numbering import deduplicate_slugs
-from habispark.operators.skew import HOT_ROWS
 
 
 def communes_and_districts(cog: DataFrame) -> DataFrame:
@@ -28,12 +27,12 @@ def lookup_name(df: DataFrame, names: Mapping[str, str], code: str, name: str) -
 
 
 def code_position(code: Column) -> Column:
-    """A number that never decreases along the byte order of a code (its first six bytes)."""
+    """A number that never decreases along the byte order of a code of any length (its first six bytes)."""
     head = F.rpad(F.hex(F.substring(F.encode(code, "UTF-8"), 1, 6)), 12, "0")
     return F.coalesce(F.conv(head, 16, 10).cast("double"), F.lit(-1.0))
 
 
-def build_communes(cog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def build_communes(cog: DataFrame) -> DataFrame:
     """The communes table in its final column order, coordinates still empty.
 
     Slugs are numbered communes first, then districts, each by code.
@@ -48,9 +47,7 @@ def build_communes(cog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
     # Codes take less than 2**48, so districts come after all communes.
     position = F.col("district") * F.lit(float(2**48)) + code_position(F.col("code_insee"))
-    unique = deduplicate_slugs(
-        rows, [F.col("district"), F.col("code_insee")], position, hot_rows=hot_rows
-    )
+    unique = deduplicate_slugs(rows, [F.col("district"), F.col("code_insee")], position)
     named = lookup_name(unique, DEPARTMENT_NAMES, "code_departement", "nom_departement")
     named = lookup_name(named, REGION_NAMES, "code_region", "nom_region")
     return named.withColumns(

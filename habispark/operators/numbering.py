@@ -7,76 +7,45 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from habispark.operators.skew import HOT_ROWS, hot_groups, hot_name, only_hot, same_group, slot_of, written
+from habispark.operators.quantiles import segment_of
 
-# Slices a hot group is cut into: a power of two.
-SLICES = 1024
+# Slices to each doubling of a position.
+SLICES = 4096
 
 
-def numbered(
-    df: DataFrame,
-    key: str,
-    order: Sequence[Column],
-    position: Column,
-    name: str = "rang",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def numbered(df: DataFrame, key: str, order: Sequence[Column], position: Column, name: str = "rang") -> DataFrame:
     """Adds `name`: 0 for the first row of each `key` value, 1 for the second, and so on.
 
-    `order` must be a total order. `position` is a number that never decreases along that order; it
-    only says where a hot group may be cut into slices. Rows are numbered within their slice and
-    the sizes of the earlier slices are added, so no task sees a whole hot group.
+    `order` must be a total order. `position` is a number that never decreases along that order, or NULL for
+    the first rows; it only says where a group is cut into slices. Rows are numbered within their slice and the
+    sizes of the earlier slices are added, for groups of every size: a slice is known from the position
+    alone, and is what a task sorts. Equal positions make a slice larger, never wrong.
     """
-    hot = hot_groups(df, [key], hot_rows)
-    if hot is None:
-        whole = Window.partitionBy(key).orderBy(*order)
-        return df.withColumn(name, (F.row_number().over(whole) - 1).cast("long"))
-    placed = df.withColumn("position", position.cast("double"))
-    steps = [F.lit(i / SLICES) for i in range(1, SLICES)]
-    # Written, because a sketch depends on the order of its input and is used twice below.
-    edges = written(
-        only_hot(placed.select(key, "position"), hot, [key])
-        .groupBy(key)
-        .agg(F.percentile_approx("position", F.array(*steps), SLICES * 10).alias("edges"))
-        .select(F.col(key).alias(hot_name(key)), "edges"),
-        "slice-edges",
+    slices = ["_key", "_slice"]
+    cut = df.select(
+        "*",
+        # A struct, so that a NULL key joins like any other.
+        F.struct(key).alias("_key"),
+        F.coalesce(segment_of(position.cast("double"), SLICES), F.lit(-(2**62))).alias("_slice"),
     )
-    # No broadcast hints: one row per hot group, so the size decides at run time.
-    cut = (
-        placed.join(edges, same_group([key]), "left")
-        .drop(hot_name(key))
-        .withColumn("slice", F.coalesce(slot_of("edges", "position", SLICES), F.lit(0)))
-    )
-    sizes = (
-        cut.filter(F.col("edges").isNotNull())
-        .groupBy(key, "slice")
-        .agg(F.count(F.lit(1)).alias("slice_rows"))
-    )
-    earlier = Window.partitionBy(key).orderBy("slice")
-    starts = sizes.select(
-        F.col(key).alias(hot_name(key)),
-        F.col("slice").alias("start_slice"),
-        (F.sum("slice_rows").over(earlier) - F.col("slice_rows")).alias("start"),
-    )
-    within = Window.partitionBy(key, "slice").orderBy(*order)
-    ranked = cut.withColumn("within", F.row_number().over(within) - 1)
-    placed_rows = ranked.join(
-        starts, same_group([key]) & (F.col("slice") == F.col("start_slice")), "left"
-    )
-    return placed_rows.select(
-        *df.columns, (F.col("within") + F.coalesce(F.col("start"), F.lit(0))).cast("long").alias(name)
+    within = cut.withColumn("_within", F.row_number().over(Window.partitionBy(*slices).orderBy(*order)) - 1)
+    earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # Only slices behind another one of their group: few as a rule, so their size decides how they are joined.
+    starts = (
+        cut.groupBy(*slices)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_start", F.sum("_rows").over(earlier))
+        .filter(F.col("_start").isNotNull())
+        .drop("_rows")
     )
+    joined = within.join(starts, slices, "left")
+    number = (F.col("_within") + F.coalesce("_start", F.lit(0))).cast("long")
+    return joined.select(*df.columns, number.alias(name))
 
 
-def deduplicate_slugs(
-    df: DataFrame,
-    order: Sequence[Column],
-    position: Column,
-    slug: str = "slug",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def deduplicate_slugs(df: DataFrame, order: Sequence[Column], position: Column, slug: str = "slug") -> DataFrame:
     """The first row with a slug keeps it; the n-th one gets the suffix `-(n-1)`."""
-    counted = numbered(df, slug, order, position, "rang", hot_rows)
+    counted = numbered(df, slug, order, position)
     suffixed = F.when(F.col("rang") == 0, F.col(slug)).otherwise(
         F.concat(F.col(slug), F.lit("-"), F.col("rang"))
     )

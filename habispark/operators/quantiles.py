@@ -1,155 +1,108 @@
 """Exact interpolated quantiles per group that do not need a whole group in one task.
 
-Ordinary groups use the built-in `percentile`. It keeps every distinct value of a group in one
-buffer, so groups above `hot_rows` rows are answered in three distributed steps instead:
-
-1. an approximate-quantile sketch per group (bounded, combined map-side) cuts the values of the
-   group into segments: a narrow one around each wanted quantile, even ones elsewhere;
-2. exact row counts per segment tell which segment holds each wanted rank;
-3. only the values of those segments are counted by value and ranked.
-
-The sketch decides how much work step 3 has, never the result: the counts are exact, so a poor cut
-means a larger segment and not a wrong value. It does not know weights, so the rank of a weighted
-quantile may lie in one of the even segments.
+Equal values of a group become one row with a count. The values of a group are cut into segments by their
+magnitude, 64 to each doubling, so a segment is known from the value alone: nothing is measured or
+sampled first, and a group of any size is spread over as many segments as its values differ in scale. Counts
+per segment tell which one holds each wanted rank, and running counts within that segment find the
+value. Segments are sorted by Spark, which spills; the rows are read once, and one path serves groups of all sizes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from habispark.operators.skew import HOT_ROWS, hot_groups, only_hot, slot_of, without_hot, written
+from habispark.operators.skew import written
 
-SKETCH_ACCURACY = 10_000
-# Segments of a large group: a power of two.
+# Segments to each doubling of a value.
 SEGMENTS = 64
+Extras = Mapping[str, tuple[Callable[[Column], Column], Column]]
+
+
+def segment_of(value: Column, to_a_doubling: int) -> Column:
+    """A whole number that never decreases as the value grows; equal values have equal ones."""
+    size = F.abs(value)
+    # Above the logarithm of any finite double.
+    beyond = 2000 * to_a_doubling
+    # The logarithm is monotone, though not exact; infinities and NaN, which sorts last, have segments of their own.
+    steps = F.floor(F.log2(F.when((size > 0) & (size < float("inf")), size)) * to_a_doubling) + beyond
+    return (
+        F.when(F.isnan(value), 3 * beyond)
+        .when(size == float("inf"), F.signum(value).cast("long") * 2 * beyond)
+        .when(value == 0, 0)
+        .otherwise(F.when(value > 0, steps).otherwise(-steps))
+        .cast("long")
+    )
 
 
 def grouped_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     quantiles: Mapping[str, tuple[str, float]],
-    extras: Sequence[Column] = (),
+    extras: Extras | None = None,
     weight: str | None = None,
-    hot_rows: int = HOT_ROWS,
-    sizes_from: DataFrame | None = None,
-    sized_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """`keys`, the aliased aggregates `extras`, then one double per entry of `quantiles`.
+    """`keys`, one column per entry of `extras`, then one double per entry of `quantiles`.
 
-    `quantiles` maps an output name to (value column, probability). `weight` names a column that says
-    how many times a row counts. Group sizes may be bounded from above in a cheaper way: by the rows
-    of `sizes_from` instead of `df`, and by the columns `sized_by` out of `keys`, provided that the
-    other keys take few values.
+    `quantiles` maps an output name to (value column, probability). `extras` maps one to an aggregate and its
+    argument; the aggregate must be its own sum of parts (`F.sum`, `F.min`, `F.max`). `weight` names a column
+    that says how many times a row counts. A NULL key is a key like any other; a group without values has NULL quantiles.
     """
-    sized_by = list(sized_by or keys)
-    hot = hot_groups(df if sizes_from is None else sizes_from, sized_by, hot_rows)
-    if hot is None:
-        return _buffered(df, keys, quantiles, extras, weight)
-    ordinary = _buffered(without_hot(df, hot, sized_by), keys, quantiles, extras, weight)
-    # Read four times below, so written once.
-    spread = written(only_hot(df, hot, sized_by), "hot-groups")
-    return ordinary.unionByName(_distributed(spread, keys, quantiles, extras, weight))
-
-
-def _buffered(df, keys, quantiles, extras, weight) -> DataFrame:
-    wanted: dict[str, list[float]] = {}
-    for value, p in quantiles.values():
-        wanted.setdefault(value, []).append(p)
-    frequency = F.lit(1) if weight is None else F.col(weight)
-    # One buffer per value column, whatever the number of quantiles taken from it.
-    buffers = [
-        F.percentile(F.col(value), F.array(*[F.lit(p) for p in ps]), frequency).alias(f"all_{value}")
-        for value, ps in wanted.items()
-    ]
-    grouped = df.groupBy(*keys).agg(*extras, *buffers)
-    inputs = {f"all_{v}" for v in wanted}
-    return grouped.select(
-        *[c for c in grouped.columns if c not in inputs],
-        *[
-            F.col(f"all_{value}")[wanted[value].index(p)].alias(name)
-            for name, (value, p) in quantiles.items()
-        ],
-    )
-
-
-def _distributed(df, keys, quantiles, extras, weight) -> DataFrame:
-    weight_column = F.lit(1) if weight is None else F.col(weight)
+    extras = extras or {}
     names = list(dict.fromkeys(value for value, _ in quantiles.values()))
+    # Measure -1 has no value: all rows of a group meet there for the extras.
     entries = F.array(
-        *[
-            F.struct(F.lit(i).alias("measure"), F.col(v).cast("double").alias("v"))
-            for i, v in enumerate(names)
-        ]
-    )
-    values = (
-        df.select(*keys, weight_column.cast("long").alias("w"), F.inline(entries))
-        .filter(F.col("v").isNotNull())
+        F.struct(F.lit(-1).alias("measure"), F.lit(None).cast("double").alias("v")),
+        *[F.struct(F.lit(i).alias("measure"), F.col(v).cast("double").alias("v")) for i, v in enumerate(names)],
     )
-    series = [*keys, "measure"]
-
-    # 1. Cuts. The narrow segments reach two sketch errors to each side of the wanted rank.
-    margin = 2.0 / SKETCH_ACCURACY
-    narrow = {
-        min(max(p + side, 0.0), 1.0) for _, p in quantiles.values() for side in (-margin, margin)
-    }
-    even = SEGMENTS - len(narrow)
-    cuts = sorted([*narrow, *[i / even for i in range(1, even)]])
-    # Written, because a sketch depends on the order of its input and is used twice below.
-    edges = written(
-        values.groupBy(*series).agg(
-            F.percentile_approx("v", F.array(*[F.lit(c) for c in cuts]), SKETCH_ACCURACY).alias("edges")
-        ),
-        "quantile-edges",
+    inputs = [f"extra_{name}" for name in extras]
+    # One struct as the key: its fields may be NULL and still join.
+    rows = df.select(
+        F.struct(*keys).alias("k"),
+        (F.lit(1) if weight is None else F.col(weight)).cast("long").alias("w"),
+        *[value.alias(c) for c, (_, value) in zip(inputs, extras.values(), strict=True)],
+        F.inline(entries),
+    ).filter((F.col("measure") < 0) | F.col("v").isNotNull())
+    counted = rows.groupBy("k", "measure", "v").agg(
+        F.sum("w").alias("n"),
+        *[how(F.when(F.col("measure") < 0, F.col(c))).alias(c) for c, (how, _) in zip(inputs, extras.values(), strict=True)],
     )
-    located = _attach(values, edges, series).withColumn("segment", slot_of("edges", "v", SEGMENTS))
-    segment = [*series, "segment"]
 
-    # 2. Ranks. A group has at most SEGMENTS rows here.
-    before = Window.partitionBy(*series).orderBy("segment")
-    whole = Window.partitionBy(*series)
-    counted = (
-        located.groupBy(*segment)
-        .agg(F.sum("w").alias("rows"))
-        .withColumn("start", F.sum("rows").over(before) - F.col("rows"))
-        .withColumn("total", F.sum("rows").over(whole))
+    # Written, as it is read three times: the rows before it are computed once.
+    counted = written(counted.withColumn("segment", segment_of(F.col("v"), SEGMENTS)), "counted-values")
+    segment = ["k", "measure", "segment"]
+    values = counted.filter(F.col("measure") >= 0).select(*segment, "v", "n")
+    running = values.withColumn("upto", F.sum("n").over(Window.partitionBy(*segment).orderBy("v")))
+    series = Window.partitionBy("k", "measure")
+    sizes = (
+        values.groupBy(*segment)
+        .agg(F.sum("n").alias("rows"))
+        .withColumns(
+            {
+                "start": F.sum("rows").over(series.orderBy("segment")) - F.col("rows"),
+                "total": F.sum("rows").over(series),
+            }
+        )
     )
     requests = F.array(
         *[
-            F.struct(
-                F.lit(names.index(value)).alias("for_measure"),
-                F.lit(name).alias("name"),
-                F.lit(float(p)).alias("p"),
-            )
+            F.struct(F.lit(names.index(value)).alias("of"), F.lit(name).alias("name"), F.lit(float(p)).alias("p"))
             for name, (value, p) in quantiles.items()
         ]
     )
     asked = (
-        counted.select("*", F.inline(requests))
-        .filter(F.col("for_measure") == F.col("measure"))
+        sizes.select("*", F.inline(requests))
+        .filter(F.col("of") == F.col("measure"))
         .withColumn("position", (F.col("total") - 1) * F.col("p"))
     )
     targets = (
-        asked.select(
-            *segment, "start", "rows", "name", "position",
-            F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))).alias("rank"),
-        )
+        asked.select("*", F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))).alias("rank"))
         .filter((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("rows")))
         .select(*segment, "name", "position", "rank", (F.col("rank") - F.col("start")).alias("offset"))
     )
-
-    # 3. Values at those ranks, from the segments that hold them.
-    needed = targets.select(*segment, F.lit(True).alias("needed")).distinct()
-    running = Window.partitionBy(*segment).orderBy("v")
-    ranked = (
-        _attach(located, needed, segment)
-        .groupBy(*segment, "v")
-        .agg(F.sum("w").alias("n"))
-        .withColumn("upto", F.sum("n").over(running))
-    )
-    found = _attach(ranked, targets, segment).filter(
+    found = running.join(targets, segment).filter(
         (F.col("offset") >= F.col("upto") - F.col("n")) & (F.col("offset") < F.col("upto"))
     )
     low = F.when(F.col("rank") == F.floor("position"), F.col("v"))
@@ -159,21 +112,10 @@ def _distributed(df, keys, quantiles, extras, weight) -> DataFrame:
         mine = F.col("name") == name
         lower, upper = F.max(F.when(mine, low)), F.max(F.when(mine, high))
         position = F.max(F.when(mine, F.col("position")))
-        # The same interpolation as the built-in, so both paths give the same bits.
+        # The interpolation of Spark's own percentile, bit by bit.
         between = (F.ceil(position) - position) * lower + (position - F.floor(position)) * upper
         columns.append(F.when(lower == upper, lower).otherwise(between).alias(name))
-    answers = found.groupBy(*keys).agg(*columns)
-
-    totals = df.groupBy(*keys).agg(*(extras or [F.count(F.lit(1)).alias("unused")]))
-    kept = [c for c in totals.columns if c != "unused"]
-    return _attach(totals, answers, keys, "left").select(*kept, *quantiles)
-
-
-def _attach(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join with a frame derived from the hot groups alone, NULL keys included; its size decides how."""
-    renamed = small.select(
-        *[F.col(c).alias(f"small_{c}") if c in on else F.col(c) for c in small.columns]
-    )
-    condition = [F.col(c).eqNullSafe(F.col(f"small_{c}")) for c in on]
-    joined = df.join(renamed, condition, how)
-    return joined.drop(*[f"small_{c}" for c in on])
+    answers = found.groupBy("k").agg(*columns)
+    groups = counted.filter(F.col("measure") < 0).select("k", *inputs)
+    joined = groups.join(answers, "k", "left")
+    return joined.select("k.*", *[F.col(c).alias(name) for c, name in zip(inputs, extras, strict=True)], *quantiles)

@@ -1,54 +1,12 @@
-"""Finding groups that are too large for one task."""
+"""Parts of the operators that deal with large groups."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from habispark.session import scratch_dir
 
-# A group with more rows than this is spread over tasks.
-HOT_ROWS = 1_000_000
-
-
-def hot_name(key: str) -> str:
-    return f"hot_{key}"
-
-
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys (prefixed `hot_`) of all groups above `hot_rows` rows, None if there are none.
-
-    Counts the groups in a job of its own. Knowing the answer while planning keeps the usual case, in
-    which no group is hot, at a plain grouped plan. The list has at most rows / `hot_rows` entries; it is a
-    table in the shared scratch folder, never on the driver, and its size decides how it is joined.
-    """
-    hot = written(
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("hot_size"))
-        .filter(F.col("hot_size") > hot_rows)
-        .select(*[F.col(k).alias(hot_name(k)) for k in keys]),
-        "hot-keys",
-    )
-    return None if hot.isEmpty() else hot
-
-
-def same_group(keys: Sequence[str]) -> Column:
-    """Join condition between rows and hot groups; a NULL key is a group like any other."""
-    return reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(hot_name(k))) for k in keys]
-    )
-
-
-def without_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(hot, same_group(keys), "left_anti")
-
-
-def only_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(hot, same_group(keys), "left_semi")
-
 
 def slot_of(edges: str, value: str, slots: int) -> Column:
     """How many of the `slots - 1` sorted edges lie below the value, by binary search.

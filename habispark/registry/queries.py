@@ -66,11 +66,6 @@ def _clean(spark, d):
     return sales.clean_sales(given.sales(spark, d))
 
 
-def _usable_and_clean(spark, d):
-    usable = _usable(spark, d)
-    return usable, sales.single_parcel_sales(usable)
-
-
 # --- sources -------------------------------------------------------------------------------------
 
 
@@ -495,8 +490,7 @@ def check_retention_band(spark, d):
 
 @query
 def agg_commune_immo(spark, d):
-    usable, clean = _usable_and_clean(spark, d)
-    return aggregates.commune_prices(clean, sizes_from=usable)
+    return aggregates.commune_prices(_clean(spark, d))
 
 
 @query
@@ -506,14 +500,12 @@ def agg_commune_dpe(spark, d):
 
 @query
 def agg_street(spark, d):
-    usable, clean = _usable_and_clean(spark, d)
-    return aggregates.street_prices(clean, sizes_from=usable)
+    return aggregates.street_prices(_clean(spark, d))
 
 
 @query
 def price_by_energy_class(spark, d):
-    usable, clean = _usable_and_clean(spark, d)
-    return aggregates.prices_by_energy_class(clean, given.certificates(spark, d), sizes_from=usable)
+    return aggregates.prices_by_energy_class(_clean(spark, d), given.certificates(spark, d))
 
 
 @query

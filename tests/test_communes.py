@@ -28,10 +28,11 @@ def test_every_certificate_field_has_a_plain_name():
         (["q", "r", "q", "s", "r"], ["q", "r", "q-1", "s", "r-1"]),
     ],
 )
-@pytest.mark.parametrize("hot_rows", [10**6, 0])
-def test_slug_numbering(spark, slugs, unique, hot_rows):
+@pytest.mark.parametrize("slices", [1, 4096])
+def test_slug_numbering(spark, monkeypatch, slugs, unique, slices):
+    monkeypatch.setattr(numbering, "SLICES", slices)
     df = spark.createDataFrame(list(enumerate(slugs)), "o int, slug string")
-    rows = numbering.deduplicate_slugs(df, [F.col("o")], F.col("o"), hot_rows=hot_rows).orderBy("o").collect()
+    rows = numbering.deduplicate_slugs(df, [F.col("o")], F.col("o")).orderBy("o").collect()
     assert [r.slug for r in rows] == unique
 
 
@@ -41,8 +42,9 @@ def test_number_that_meets_a_natural_slug_is_reported(spark):
     assert [tuple(r) for r in communes.duplicate_slugs(numbered).collect()] == [("a-1", 2)]
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 0])
-def test_build_communes(spark, hot_rows):
+@pytest.mark.parametrize("slices", [1, 4096])
+def test_build_communes(spark, monkeypatch, slices):
+    monkeypatch.setattr(numbering, "SLICES", slices)
     rows = communes.build_communes(
         cog(
             spark,
@@ -53,8 +55,7 @@ def test_build_communes(spark, hot_rows):
             ("COM", "99999", "99", "99", "Nulle part"),
             ("COM", "00000", None, None, "Sans rien"),
             ("COMD", "01001", "84", "01", "Ancienne"),
-        ),
-        hot_rows,
+        )
     )
     assert tuple(rows.columns) == COMMUNE_COLUMNS
     found = {r.code_insee: r for r in rows.collect()}
@@ -77,6 +78,14 @@ def test_code_positions_follow_the_order_of_codes(spark):
     assert places == sorted(places) and len(set(places)) == len(codes) - 1
 
 
+def test_slugs_of_long_codes_that_begin_alike(spark):
+    rows = [("COM", f"long-common-prefix-{i:05d}" if i % 3 else f"{i}", None, None, "Same") for i in range(600)] + [("ARM", None, None, None, "Same")]
+    built = communes.build_communes(cog(spark, *rows).repartition(7)).collect()
+    numbers = {r.code_insee: int(r.slug.removeprefix("same").removeprefix("-") or 0) for r in built}
+    codes = sorted(c for c in numbers if c is not None)
+    assert [numbers[c] for c in codes] == list(range(600)) and numbers[None] == 600
+
+
 def test_first_non_null_is_per_column(spark):
     df = spark.createDataFrame(
         [("a", 1, None, "x"), ("a", 2, "5", None), ("a", 3, "6", "y"), ("b", 1, None, None)],

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from habispark.operators import aggregates, numbering
-from habispark.operators.quantiles import grouped_quantiles
-from habispark.operators.skew import hot_groups, slot_of
+from habispark.operators.quantiles import grouped_quantiles, segment_of
+from habispark.operators.skew import slot_of
 
 
 def skewed_rows(seed=7, n=4000):
@@ -29,14 +29,13 @@ def expected(rows, p, weighted):
     return {k: float(np.percentile(v, 100 * p)) if v else None for k, v in groups.items()}
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 600, 0])
 @pytest.mark.parametrize("weighted", [False, True])
-def test_quantiles_of_hot_groups_are_exact(spark, hot_rows, weighted):
+def test_quantiles_of_hot_groups_are_exact(spark, weighted):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, "k string, v double, w int")
     wanted = {"q1": ("v", 0.25), "q2": ("v", 0.5), "q3": ("v", 0.75), "least": ("v", 0.0), "most": ("v", 1.0)}
     result = grouped_quantiles(
-        df, ["k"], wanted, [F.count(F.lit(1)).alias("n")], "w" if weighted else None, hot_rows
+        df, ["k"], wanted, {"n": (F.sum, F.lit(1))}, "w" if weighted else None
     ).collect()
     assert sorted(str(r.k) for r in result) == sorted({str(r[0]) for r in rows})
     for name, (_, p) in wanted.items():
@@ -47,49 +46,65 @@ def test_quantiles_of_hot_groups_are_exact(spark, hot_rows, weighted):
         assert r.n == sum(1 for x in rows if x[0] == r.k)
 
 
-def test_both_paths_give_the_same_bits(spark):
-    df = spark.createDataFrame(skewed_rows(3), "k string, v double, w int")
-    wanted = {"a": ("v", 0.1), "b": ("v", 0.5), "c": ("v", 0.9)}
-    plain = grouped_quantiles(df, ["k"], wanted).collect()
-    spread = grouped_quantiles(df, ["k"], wanted, hot_rows=0).collect()
-    assert sorted(map(str, plain)) == sorted(map(str, spread))
+@pytest.mark.parametrize("segments", [1, 64, 4096])
+def test_quantiles_have_the_bits_of_the_built_in(spark, monkeypatch, segments):
+    from habispark.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "SEGMENTS", segments)
+    rows = skewed_rows(3) + [("edge", v, 1) for v in (-3.5, -0.0, 0.0, 5e-324, 1e300, -1e300, float("inf"), 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double, w int").repartition(5)
+    for weight in (None, "w"):
+        wanted = {"a": ("v", 0.1), "b": ("v", 0.5), "c": ("v", 0.9)}
+        mine = grouped_quantiles(df, ["k"], wanted, weight=weight).collect()
+        frequency = F.lit(1) if weight is None else F.col("w")
+        built_in = df.groupBy("k").agg(*[F.percentile("v", F.lit(p), frequency).alias(n) for n, (_, p) in wanted.items()]).collect()
+        assert sorted(map(str, mine)) == sorted(map(str, built_in))
+
+
+def test_segments_follow_the_order_of_values(spark):
+    rng = random.Random(8)
+    values = [0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, float("inf"), float("-inf")]
+    values += [rng.choice([-1, 1]) * 2.0 ** rng.uniform(-1000, 1000) for _ in range(3000)]
+    values += [x for v in (1.0, 2.0, 3.5, 1024.0) for x in (v, np.nextafter(v, 0), np.nextafter(v, 9e9))]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(float("nan"),)], "v double")
+    ordered = [r.s for r in df.select("v", segment_of(F.col("v"), 64).alias("s")).orderBy("v", "s").collect()]
+    assert ordered == sorted(ordered) and len(set(ordered)) > 1000
+
+
+def test_rows_are_read_once_for_all_quantiles(spark):
+    """The counted values are stored; ranks, values and extras come from there."""
+    df = spark.createDataFrame(skewed_rows(), "k string, v double, w int")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    table = grouped_quantiles(
+        df.mapInArrow(count, df.schema), ["k"], {"a": ("v", 0.5), "b": ("w", 0.25)}, {"n": (F.sum, F.lit(1))}
+    )
+    assert table.count() == 7 and seen.value == df.count()
 
 
 def test_group_without_values_keeps_its_row(spark):
     df = spark.createDataFrame([("x", None), ("x", None), ("y", 1.0)], "k string, v double")
-    result = grouped_quantiles(df, ["k"], {"m": ("v", 0.5)}, [F.count(F.lit(1)).alias("n")], hot_rows=0)
+    result = grouped_quantiles(df, ["k"], {"m": ("v", 0.5)}, {"n": (F.sum, F.lit(1))})
     assert sorted(tuple(r) for r in result.select("k", "n", "m").fillna(-1.0).collect()) == [
         ("x", 2, -1.0),
         ("y", 1, 1.0),
     ]
 
 
-def test_poor_sketch_changes_no_result(spark, monkeypatch):
-    from habispark.operators import quantiles
-
-    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 3)
-    df = spark.createDataFrame(skewed_rows(11), "k string, v double, w int")
-    wanted = {"a": ("v", 0.25), "b": ("v", 0.5)}
-    plain = grouped_quantiles(df, ["k"], wanted).collect()
-    spread = grouped_quantiles(df, ["k"], wanted, hot_rows=0).collect()
-    assert sorted(map(str, plain)) == sorted(map(str, spread))
-
-
-def test_hot_groups_are_complete(spark):
-    df = spark.createDataFrame(skewed_rows(), "k string, v double, w int")
-    assert hot_groups(df, ["k"], 10**9) is None
-    assert [r.hot_k for r in hot_groups(df, ["k"], 600).collect()] == ["hot"]
-    assert hot_groups(df, ["k"], 0).count() == df.select("k").distinct().count()
-
-
-@pytest.mark.parametrize("hot_rows", [10**9, 500, 0])
-def test_numbering_of_hot_groups(spark, hot_rows):
+@pytest.mark.parametrize("slices", [1, 16, 4096])
+def test_numbering_of_hot_groups(spark, monkeypatch, slices):
+    monkeypatch.setattr(numbering, "SLICES", slices)
     rng = random.Random(5)
     order = list(range(5000))
     rng.shuffle(order)
     rows = [("hot" if i % 3 == 0 else rng.choice([None, "a", "b"]), i * i) for i in order]
     df = spark.createDataFrame(rows, "k string, o long").repartition(7)
-    result = numbering.numbered(df, "k", [F.col("o")], F.col("o"), "n", hot_rows).collect()
+    result = numbering.numbered(df, "k", [F.col("o")], F.col("o"), "n").collect()
     seen = {}
     right = {}
     for key, o in sorted(rows, key=lambda r: r[1]):
@@ -101,23 +116,10 @@ def test_numbering_of_hot_groups(spark, hot_rows):
 def test_numbering_with_equal_positions(spark):
     """Positions only say where to cut, so many equal ones put all rows into one slice."""
     df = spark.range(2000).select(F.lit("k").alias("k"), F.col("id").alias("o"))
-    result = numbering.numbered(df, "k", [F.col("o")], F.lit(1), "n", hot_rows=10)
+    result = numbering.numbered(df, "k", [F.col("o")], F.lit(1), "n")
     assert result.filter("n <> o").count() == 0 and result.count() == 2000
 
 
-def test_commune_prices_of_hot_groups(spark):
-    from __spark_entry__ import queries  # noqa: F401
-    from habispark.registry import queries as registered
-
-    usable, clean = registered._usable_and_clean(spark, "/root/testdata/sf0.001")
-    plain = aggregates.commune_prices(clean).collect()
-    for sizes in (None, usable):
-        spread = aggregates.commune_prices(clean, hot_rows=4, sizes_from=sizes).collect()
-        assert sorted(map(str, plain)) == sorted(map(str, spread))
-    plain = aggregates.street_prices(clean).collect()
-    assert sorted(map(str, plain)) == sorted(map(str, aggregates.street_prices(clean, hot_rows=3).collect()))
-
-
 def test_prices_by_energy_class_with_repeated_certificates(spark):
     """Weighted rows must give what a plain join gives, for ordinary and for hot groups."""
     rng = random.Random(1)
@@ -136,10 +138,9 @@ def test_prices_by_energy_class_with_repeated_certificates(spark):
             if n == number and c in "ABCDEFG":
                 groups.setdefault((code, kind, c), []).append(price / surface)
     right = {k: (len(v), int(np.rint(np.percentile(v, 50)))) for k, v in groups.items()}
-    for hot_rows in (10**9, 0):
-        rows = aggregates.prices_by_energy_class(sold, certified, hot_rows).collect()
-        found = {(r.code_insee, r.type_local, r.classe_dpe): (r.nb_observations, r.prix_m2_median) for r in rows}
-        assert found == right
+    rows = aggregates.prices_by_energy_class(sold, certified).collect()
+    found = {(r.code_insee, r.type_local, r.classe_dpe): (r.nb_observations, r.prix_m2_median) for r in rows}
+    assert found == right
 
 
 def test_frequent_certificate_is_split_by_the_join(spark, small_skew_limits):
@@ -155,10 +156,11 @@ def test_frequent_certificate_is_split_by_the_join(spark, small_skew_limits):
     certified = spark.range(0, 120_000, 1, 16).select(
         F.when(hot, -1).otherwise(F.col("id")).alias("numero_dpe"), F.lit("A").alias("classe_dpe")
     )
-    table = aggregates.prices_by_energy_class(sold, certified)
-    rows = table.collect()
+    rows = aggregates.prices_by_energy_class(sold, certified).collect()
     assert sum(r.nb_observations for r in rows) == 40_000 * 40_000 + 80_000
-    assert "skew=true" in table._jdf.queryExecution().executedPlan().toString()
+    matched = aggregates.matched_prices(sold, certified)
+    matched.collect()
+    assert "skew=true" in matched._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("slots", [2, 8, 64])
