@@ -4,23 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from habispark.constants import DEFAULT_YEARS
+from habispark.sources import read_table, stored_years
+
+
+def sale_in_department(code: str) -> Column:
+    column = F.col("code_departement")
+    return column.isNull() | (column == code)
+
+
+def certificate_in_department(code: str) -> Column:
+    column = F.col("code_insee")
+    # A prefix test reaches the Parquet scan.
+    return column.isNull() | column.startswith(code)
 
 
 def sales_of_department(sales: DataFrame, code: str) -> DataFrame:
     """Rows of one département, and rows without any."""
-    column = F.col("code_departement")
-    return sales.filter(column.isNull() | (column == code))
+    return sales.filter(sale_in_department(code))
 
 
 def certificates_of_department(certificates: DataFrame, code: str) -> DataFrame:
     """Rows whose commune code starts with a 2- or 3-character code, and rows without a commune."""
-    column = F.col("code_insee")
-    # A prefix test reaches the Parquet scan.
-    return certificates.filter(column.isNull() | column.startswith(code))
+    return certificates.filter(certificate_in_department(code))
 
 
 def communes_of_department(communes: DataFrame, code: str) -> DataFrame:
@@ -48,6 +57,12 @@ def latest_years(
     return sales.join(F.broadcast(years), F.col(column) == F.col("year"), "left_semi")
 
 
+def latest_stored_years(spark: SparkSession, path: str, n: int = DEFAULT_YEARS, column: str = "annee_fichier") -> DataFrame:
+    """Rows of the `n` latest years of a table stored by year: the years are folder names, and only theirs are read."""
+    years = [row.year for row in latest_values(stored_years(spark, path, column), n, column).collect()]
+    return sales_of_years(read_table(spark, path), years, column)
+
+
 def latest_values(df: DataFrame, n: int, column: str = "annee_fichier") -> DataFrame:
     """The `n` largest values of a column, as column `year`."""
     values = df.select(F.col(column).alias("year")).distinct()

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from habispark.constants import (
@@ -89,7 +89,8 @@ def ingest_communes(
     geocoded_path: str | None = None,
     department: str | None = None,
 ) -> DataFrame:
-    """Builds the communes table and returns its profile; raises before writing if slugs are not unique."""
+    """Builds the communes table and returns its profile, counted while it is written; raises before writing if
+    slugs are not unique."""
     table = written(communes.build_communes(read_cog(spark, cog_path)), "communes")
     doubles = communes.duplicate_slugs(table).limit(SAMPLE_ROWS).collect()
     if doubles:
@@ -104,8 +105,12 @@ def ingest_communes(
             log.warning("no geocoder answers below %s: %s", geocoded_path, error.getCondition())
         else:
             table = communes.add_coordinates(table, answers, ["fichier", "position"])
-    write_communes(table, target)
-    return communes.communes_profile(read_table(spark, target))
+    counts = Observation()
+    write_communes(table, target, counts)
+    # Slugs are known to be unique by now, so those of the written rows are as many as the rows that have one.
+    found = counts.get
+    profile = tuple(found[name] for name in ("communes", "slugs_uniques", "avec_coordonnees"))
+    return spark.createDataFrame([profile], "communes long, slugs_uniques long, avec_coordonnees long")
 
 
 def build_and_publish(
@@ -145,8 +150,7 @@ def build_and_publish(
         discard(spark, version)
         raise
     return coverage_report(
-        sales_table, kept_sales, certificates_table, kept_certificates,
-        known, read_published(spark, target, "communes_eligible"),
+        sales_table, certificates_table, known, read_published(spark, target, "communes_eligible"), department
     )
 
 
@@ -172,23 +176,24 @@ def publish_results(
 
 def coverage_report(
     sales_table: DataFrame,
-    kept_sales: DataFrame,
     certificates_table: DataFrame,
-    kept_certificates: DataFrame,
     communes_table: DataFrame,
     eligible: DataFrame,
+    department: str | None = None,
 ) -> DataFrame:
-    """One row per measure (`mesure`) with its number of rows (`lignes`)."""
-    counted = {
-        "lignes_dvf": sales_table,
-        "lignes_dvf_retenues": kept_sales,
-        "lignes_dpe": certificates_table,
-        "lignes_dpe_retenues": kept_certificates,
-        "communes_total": communes_table,
-        "communes_eligibles": eligible,
-    }
-    rows = [
-        df.agg(F.count(F.lit(1)).alias("lignes")).select(F.lit(name).alias("mesure"), "lignes")
-        for name, df in counted.items()
-    ]
+    """One row per measure (`mesure`) with its number of rows (`lignes`); each table is read once."""
+    everything = F.lit(True)
+    kept_sale = everything if department is None else restrict.sale_in_department(department)
+    kept_certificate = everything if department is None else restrict.certificate_in_department(department)
+    counted = (
+        (sales_table, {"lignes_dvf": everything, "lignes_dvf_retenues": kept_sale}),
+        (certificates_table, {"lignes_dpe": everything, "lignes_dpe_retenues": kept_certificate}),
+        (communes_table, {"communes_total": everything}),
+        (eligible, {"communes_eligibles": everything}),
+    )
+    rows = []
+    for df, measures in counted:
+        counts = df.agg(*[F.count_if(condition).alias(name) for name, condition in measures.items()])
+        pairs = [F.struct(F.lit(name).alias("mesure"), F.col(name).alias("lignes")) for name in measures]
+        rows.append(counts.select(F.inline(F.array(*pairs))))
     return reduce(DataFrame.unionByName, rows)

@@ -48,6 +48,7 @@ SHARE_BOUNDS = (22, 28)
 # Rounded shares miss the total by more than this in some communes.
 SHARE_SLACK = 0.05
 REWRITTEN_YEAR = 1996
+PAGE_ROWS = 1000
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,10 +138,14 @@ def _certificate_pages(spark, d) -> str:
 
 
 def _pages(rows: DataFrame) -> DataFrame:
-    """Pages of all rows of a day of establishment and a class."""
+    """Pages of about PAGE_ROWS rows of a class, as the service cuts them: none grows with the table."""
     row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    day, energy_class = (F.col(f) for f, name in CERTIFICATE_FIELDS.items() if name in ("date_etablissement", "classe_dpe"))
-    return rows.groupBy(day, energy_class).agg(F.collect_list(row).alias("results")).select("results", F.lit(None).cast("string").alias("next"))
+    energy_class = F.col(next(f for f, name in CERTIFICATE_FIELDS.items() if name == "classe_dpe"))
+    number = F.col(next(f for f, name in CERTIFICATE_FIELDS.items() if name == "numero_dpe"))
+    # Certificate numbers count up, so a page takes as many as follow each other.
+    slot = F.floor(number / PAGE_ROWS)
+    pages = rows.groupBy(energy_class, slot).agg(F.collect_list(row).alias("results"))
+    return pages.select("results", F.lit(None).cast("string").alias("next"))
 
 
 @query
@@ -314,12 +319,8 @@ def write_communes_table(spark, d):
 
 @query
 def coverage_report_(spark, d):
-    sold, certified = _clean(spark, d), given.certificates(spark, d)
-    known = given.communes(spark, d)
     return coverage_report(
-        sold, restrict.sales_of_department(sold, DEPARTMENT),
-        certified, restrict.certificates_of_department(certified, DEPARTMENT),
-        known, eligible_communes(spark, d),
+        _clean(spark, d), given.certificates(spark, d), given.communes(spark, d), eligible_communes(spark, d), DEPARTMENT
     )
 
 
@@ -437,9 +438,11 @@ def communes_by_dept(spark, d):
 
 @query
 def sales_last_n_years(spark, d):
-    return restrict.latest_years(given.sales(spark, d), LATEST).select(
-        "id_mutation", "id_parcelle", "annee_fichier"
-    )
+    """Sales stored by year, then the latest years of the stored table."""
+    target = scratch_dir(spark, "sales-by-year")
+    rows = given.sales(spark, d).select("id_mutation", "id_parcelle", "annee_fichier")
+    rows.hint("rebalance", "annee_fichier").write.partitionBy("annee_fichier").parquet(target)
+    return restrict.latest_stored_years(spark, target, LATEST)
 
 
 @query

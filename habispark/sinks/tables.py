@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from habispark import commits
 from habispark.operators.communes import code_position
 from habispark.operators.quality import require_no_violation
 from habispark.operators.skew import slot_of
@@ -26,56 +27,48 @@ MARK = "_PUBLISHED"
 KEPT_VERSIONS = 2
 
 
-def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
+def _replace(df: DataFrame, path: str, columns: list[str], gone: Callable[[], Iterable[str]] = tuple) -> None:
+    """Replaces the partitions present in `df`, and drops those that `gone` names, all at once.
 
-
-def _files(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _matching(spark: SparkSession, pattern: str) -> list[str]:
-    """Existing paths that fit a pattern, in order."""
-    return sorted(found.getPath().toString() for found in _files(spark, pattern).globStatus(_path(spark, pattern)) or [])
-
-
-def _drop(spark: SparkSession, path: str) -> None:
-    _files(spark, path).delete(_path(spark, path), True)
-
-
-def _replace_partitions(df: DataFrame, path: str, columns: list[str]) -> None:
-    """Replaces only the partitions present in `df`; a large one is split over several files."""
-    (
-        df.hint("rebalance", *columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*columns)
-        .parquet(path)
-    )
+    A large partition is split over several files.
+    """
+    spark = df.sparkSession
+    number = commits.next_generation(spark, path)
+    folder = f"{commits.GENERATION}={number}"
+    rows = df.hint("rebalance", *columns) if columns else df
+    writer = rows.write.partitionBy(*columns) if columns else rows.write
+    writer.parquet(f"{path}/{folder}")
+    below = "/".join(f"{c}=*" for c in columns)
+    new = [found.split(f"/{folder}/", 1)[1] for found in commits.matching(spark, f"{path}/{folder}/{below}")] if columns else [""]
+    replaced = {*new, *gone()}
+    before = commits.live_folders(spark, path) or []
+    stay = [f for f in before if f.split("/", 1)[-1] not in replaced] if columns else []
+    commits.commit(spark, path, number, [*stay, *[f"{folder}/{n}".rstrip("/") for n in new]])
 
 
 def write_sales(sales: DataFrame, path: str, landed: DataFrame | None = None) -> None:
     """Clean sales by landed file: year and landed département, or for country files the row's own.
 
     What the files in `landed` (raw rows, `sales` by default) produced before is replaced, also where nothing
-    of them is left now; other files of the same year stay. A table is laid out in one of the two ways: a
+    of them is left now, and readers see it happen at once; other files of the same year stay. A table is laid out in one of the two ways: a
     folder that already holds the other one is refused.
     """
     place = "departement" if "departement" in sales.columns else "code_departement"
     columns = ["annee_fichier", place]
     spark = sales.sparkSession
-    present = _matching(spark, f"{path}/annee_fichier=*/*=*")
+    present = commits.live_folders(spark, path) or []
     if any(not folder.rsplit("/", 1)[1].startswith(f"{place}=") for folder in present):
         raise ValueError(f"{path} holds the other kind of sales files, département or country")
-    _replace_partitions(sales, path, columns)
-    if landed is None:
-        return
-    kept = sales.select(*[F.col(c).alias(f"kept_{c}") for c in columns]).distinct()
-    same = [F.col(c).eqNullSafe(F.col(f"kept_{c}")) for c in columns]
-    # One row per landed file, or per département of a country file.
-    for row in landed.select(*columns).distinct().join(kept, same, "left_anti").collect():
-        code = "__HIVE_DEFAULT_PARTITION__" if row[place] is None else row[place]
-        _drop(spark, f"{path}/annee_fichier={row.annee_fichier}/{place}={code}")
+
+    def landed_folders() -> Iterable[str]:
+        if landed is None:
+            return
+        # One row per landed file, or per département of a country file.
+        for row in landed.select(*columns).distinct().collect():
+            year, code = ("__HIVE_DEFAULT_PARTITION__" if v is None else v for v in row)
+            yield f"annee_fichier={year}/{place}={code}"
+
+    _replace(sales, path, columns, landed_folders)
 
 
 def write_certificates(certificates: DataFrame, path: str, scope: str, lot: str = "pages") -> None:
@@ -90,10 +83,10 @@ def write_certificates(certificates: DataFrame, path: str, scope: str, lot: str
     along_curve(certificates, "code_postal", "code_insee").write.mode("overwrite").parquet(f"{folder}/lot={lot}")
     _write_ranges(spark, path, scope, lot)
     if lot == "pages":
-        for other in _matching(spark, f"{folder}/lot=*"):
+        for other in commits.matching(spark, f"{folder}/lot=*"):
             if not other.endswith("/lot=pages"):
-                _drop(spark, f"{path}/{RANGES}/perimetre={scope}/{other.rsplit('/', 1)[1]}")
-                _drop(spark, other)
+                commits.drop(spark, f"{path}/{RANGES}/perimetre={scope}/{other.rsplit('/', 1)[1]}")
+                commits.drop(spark, other)
 
 
 def along_curve(df: DataFrame, first: str, second: str) -> DataFrame:
@@ -144,8 +137,18 @@ def certificates_of(spark: SparkSession, path: str, column: str, code: str) -> D
     return spark.read.schema(schema).option("basePath", path).parquet(*files).filter(F.col(column) == code)
 
 
-def write_communes(communes: DataFrame, path: str) -> None:
-    _sorted_by_commune(communes).write.mode("overwrite").parquet(path)
+def write_communes(communes: DataFrame, path: str, counts: Observation | None = None) -> None:
+    """The communes table; `counts` gets its rows, slugs and coordinates, as the last tasks see them."""
+    rows = _sorted_by_commune(communes)
+    if counts is not None:
+        # Behind the shuffle: what a task repeats is counted once there.
+        rows = rows.observe(
+            counts,
+            F.count(F.lit(1)).alias("communes"),
+            F.count("slug").alias("slugs_uniques"),
+            F.count("latitude").alias("avec_coordonnees"),
+        )
+    _replace(rows, path, [])
 
 
 def _sorted_by_commune(df: DataFrame) -> DataFrame:
@@ -179,15 +182,15 @@ def publish(spark: SparkSession, version: str, checks: Mapping[str, DataFrame])
     KEPT_VERSIONS published versions stay, for reads that have begun.
     """
     require_no_violation(checks)
-    _files(spark, version).create(_path(spark, f"{version}/{MARK}"), True).close()
+    commits.file_system(spark, version).create(commits.hadoop_path(spark, f"{version}/{MARK}"), True).close()
     target = version.rsplit("/", 1)[0]
-    for old in _matching(spark, f"{target}/version-*/{MARK}")[:-KEPT_VERSIONS]:
-        _drop(spark, old.rsplit("/", 1)[0])
+    for old in commits.matching(spark, f"{target}/version-*/{MARK}")[:-KEPT_VERSIONS]:
+        commits.drop(spark, old.rsplit("/", 1)[0])
 
 
 def discard(spark: SparkSession, version: str) -> None:
     """Deletes a version that was not published."""
-    _drop(spark, version)
+    commits.drop(spark, version)
 
 
 def published_rows(spark: SparkSession, target: str, name: str, code_insee: str) -> DataFrame:
@@ -197,7 +200,7 @@ def published_rows(spark: SparkSession, target: str, name: str, code_insee: str)
 
 def read_published(spark: SparkSession, target: str, name: str) -> DataFrame:
     """A table of the version published last."""
-    versions = _matching(spark, f"{target}/version-*/{MARK}")
+    versions = commits.matching(spark, f"{target}/version-*/{MARK}")
     if not versions:
         raise LookupError(f"nothing is published below {target}")
     return spark.read.parquet(f"{versions[-1].rsplit('/', 1)[0]}/{name}")

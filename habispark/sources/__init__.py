@@ -14,6 +14,7 @@ from habispark.sources.files import (
     read_sales,
     read_table,
     require_columns,
+    stored_years,
 )
 from habispark.sources.snapshots import latest_snapshot, latest_snapshot_url
 
@@ -33,4 +34,5 @@ __all__ = [
     "read_sales",
     "read_table",
     "require_columns",
+    "stored_years",
 ]

@@ -9,10 +9,11 @@ from functools import reduce
 import pyarrow as pa
 import pyarrow.fs
 import pyarrow.parquet as pq
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from habispark import commits
 from habispark.constants import CERTIFICATE_FIELDS, COG_COLUMNS, SALES_COLUMNS, SAMPLE_ROWS
 from habispark.functions import normalize_null_tokens
 
@@ -73,6 +74,13 @@ def landed_years(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("annee_fichier").cast("int").alias("annee_fichier")).distinct()
 
 
+def stored_years(spark: SparkSession, path: str, column: str = "annee_fichier") -> DataFrame:
+    """The years of a table stored by year, as `column`, from the names of its files alone."""
+    files = _below(spark, path).format("binaryFile").option("pathGlobFilter", "*.parquet")
+    files = files.load(table_folders(spark, path))
+    return files.select(F.col(column).cast("int").alias(column)).distinct()
+
+
 def read_cog(spark: SparkSession, path: str) -> DataFrame:
     """The official commune list, missing markers as NULL."""
     return normalize_null_tokens(require_columns(_read_text_csv(spark, path, {}), COG_COLUMNS, "communes"))
@@ -149,7 +157,8 @@ def files_without(spark: SparkSession, path: str, required: Iterable[str]) -> Da
     """
     wanted = list(required)
     # Not selecting the content leaves the files closed.
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path")
+    files = _below(spark, path).format("binaryFile").option("pathGlobFilter", "*.parquet")
+    files = files.load(table_folders(spark, path)).select("path")
     one = files.first()
     if one and one.path.split(":", 1)[0] not in ARROW_STORES:
         return _files_without_by_spark(spark, files, wanted)
@@ -215,14 +224,26 @@ CODE_PARTITIONS = ("code_departement", "departement", "perimetre", "lot")
 def read_table(spark: SparkSession, path: str, required: Iterable[str] = ()) -> DataFrame:
     """A Parquet folder whose files may differ in extra columns; partition codes stay text.
 
-    Every single file must have the `required` columns: where one lacks them, its rows would be read as NULL.
+    Of a table with commit records only the folders count that the newest one names. Every single file must have the `required` columns: where one lacks them, its rows would be read as NULL.
     """
     required = list(required)
-    merged = require_columns(spark.read.option("mergeSchema", True).parquet(path), required, path)
+    folders = table_folders(spark, path)
+    merged = require_columns(_below(spark, path).option("mergeSchema", True).parquet(*folders), required, path)
     if required:
         require_columns_in_files(spark, path, required)
     fields = [
         T.StructField(f.name, T.StringType() if f.name in CODE_PARTITIONS else f.dataType)
         for f in merged.schema.fields
     ]
-    return spark.read.schema(T.StructType(fields)).parquet(path)
+    return _below(spark, path).schema(T.StructType(fields)).parquet(*folders).drop(commits.GENERATION)
+
+
+def table_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders of a table: the one given, or those that its newest commit record names."""
+    live = commits.live_folders(spark, path)
+    return [path] if live is None else [f"{path}/{folder}" for folder in live]
+
+
+def _below(spark: SparkSession, path: str) -> DataFrameReader:
+    """A reader that takes folder names below `path` for columns."""
+    return spark.read.option("basePath", path) if commits.live_folders(spark, path) is not None else spark.read

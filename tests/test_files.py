@@ -372,13 +372,79 @@ def test_a_rerun_replaces_what_its_files_gave(spark, tmp_path):
     # A stray row of 01 and one without a département come with the file of 69.
     second = frame(("a", 2023, "69", "69"), ("b", 2023, "69", "01"), ("c", 2023, "69", None))
     sinks.write_sales(second, out, second)
-    assert spark.read.parquet(out).count() == 9
+    assert sources.read_table(spark, out).count() == 9
     sinks.write_sales(frame(("a", 2023, "69", "69")).limit(0), out, second)
-    assert spark.read.parquet(out).count() == 6
+    assert sources.read_table(spark, out).count() == 6
     with pytest.raises(ValueError):
         sinks.write_sales(second.drop("departement"), out)
 
 
+def test_a_replacement_that_stops_half_way_changes_nothing(spark, tmp_path, monkeypatch):
+    columns = "id_mutation string, annee_fichier int, departement string"
+    frame = lambda *rows: spark.createDataFrame(list(rows), columns)
+    out = str(tmp_path / "sales")
+    read = lambda: sorted(((r.annee_fichier, r.departement, r.id_mutation) for r in sources.read_table(spark, out).collect()), key=str)
+    sinks.write_sales(frame(("1", 2022, "01"), ("2", 2023, "01"), ("3", 2023, "69"), ("4", 2023, None)), out)
+    before, running = read(), sources.read_table(spark, out)
+    landed = frame(("5", 2023, "01"), ("x", 2023, "69"), ("y", 2023, None), ("z", 2024, "01"))
+
+    def stops(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        # Everything is written and only the record is missing.
+        patch.setattr(sinks.tables.commits, "commit", stops)
+        with pytest.raises(OSError, match="lost"):
+            sinks.write_sales(frame(("5", 2023, "01")), out, landed)
+    assert read() == before
+    sinks.write_sales(frame(("5", 2023, "01")), out, landed)
+    assert read() == [(2022, "01", "1"), (2023, "01", "5")]
+    # A read that began earlier still finds its files; they go with the record after the next one.
+    assert running.count() == 4
+    for i in range(3):
+        sinks.write_sales(frame((f"n{i}", 2023, "01")), out)
+    assert read() == [(2022, "01", "1"), (2023, "01", "n2")]
+    assert len(list((tmp_path / "sales" / "_commits").glob("[0-9]*"))) == 2
+    assert sorted(str(p.relative_to(tmp_path / "sales")) for p in (tmp_path / "sales").glob("*/annee_fichier=*/departement=*")) == [
+        "generation=0/annee_fichier=2022/departement=01", "generation=3/annee_fichier=2023/departement=01",
+        "generation=4/annee_fichier=2023/departement=01",
+    ]
+
+
+def test_a_second_writer_of_the_same_record_is_refused(spark, tmp_path):
+    from habispark import commits
+
+    commits.commit(spark, str(tmp_path), 0, ["a"])
+    with pytest.raises(RuntimeError, match="another run"):
+        commits.commit(spark, str(tmp_path), 0, ["b"])
+    assert commits.live_folders(spark, str(tmp_path)) == ["a"]
+    assert commits.live_folders(spark, str(tmp_path / "none")) is None
+
+
+def test_communes_are_replaced_at_once(spark, tmp_path, monkeypatch):
+    frame = lambda *codes: spark.createDataFrame([(c, c) for c in codes], "code_insee string, slug string")
+    out = str(tmp_path / "communes")
+    sinks.write_communes(frame("01", "02"), out)
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks.tables.commits, "commit", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            sinks.write_communes(frame("03"), out)
+    table = sources.read_table(spark, out)
+    assert sorted(r.code_insee for r in table.collect()) == ["01", "02"] and table.columns == ["code_insee", "slug"]
+    sinks.write_communes(frame("03"), out)
+    assert [r.code_insee for r in sources.read_table(spark, out).collect()] == ["03"]
+
+
+def test_latest_years_of_a_stored_table_come_from_its_folders(spark, tmp_path):
+    rows = [(str(y), y, "01") for y in range(2010, 2024)]
+    sinks.write_sales(spark.createDataFrame(rows, "id_mutation string, annee_fichier int, departement string"), str(tmp_path))
+    found = restrict.latest_stored_years(spark, str(tmp_path), 3)
+    assert sorted(r.annee_fichier for r in found.collect()) == [2021, 2022, 2023]
+    assert len(found.inputFiles()) >= 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "annee_fichier" in plan[plan.index("PartitionFilters: [") :].split("]")[0]
+
+
 def test_geocoder_answers_keep_their_order(spark, tmp_path):
     from habispark.sources import read_geocoded
 
