@@ -29,7 +29,8 @@ SLICE = 4
 SAMPLE_DOCUMENTS = 1200
 SAMPLE_CHARS = 1 << 14
 THRESHOLD = 0.3
-_EPOCHS, _BATCH, _RATE = 8, 256, 0.02
+# Times that the strongest windows are found anew, and steps of training after each: the same for any size of the sample.
+_ROUNDS, _STEPS, _BATCH, _RATE = 8, 75, 256, 0.02
 _INPUTS = 12
 
 
@@ -219,16 +220,17 @@ def fit(column: pa.Array, toxic: np.ndarray) -> Toxicity:
     lead = np.maximum(x[:, 0], x[:, 10])[at].max(axis=1)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.p.items()}
     step = 0
-    for epoch in range(_EPOCHS):
+    for turn in range(_ROUNDS):
         # The window that stands for its document: first by the inputs alone, then by the network.
-        value = lead if epoch == 0 else np.concatenate([network.forward(x, at[i : i + 8192]) for i in range(0, len(at), 8192)])
+        value = lead if turn == 0 else np.concatenate([network.forward(x, at[i : i + 8192]) for i in range(0, len(at), 8192)])
         order = np.lexsort((-value, owner))
         top = order[np.concatenate([[True], owner[order][1:] != owner[order][:-1]])]
         clean = np.flatnonzero(toxic[owner] == 0)
         extra = rng.choice(clean, min(len(clean), len(top)), replace=False)
-        chosen = rng.permutation(np.concatenate([top, extra]))
-        for i in range(0, len(chosen), _BATCH):
-            part = chosen[i : i + _BATCH]
+        chosen = np.concatenate([top, extra])
+        # Whole permutations one after another, cut into equal steps.
+        drawn = np.concatenate([rng.permutation(chosen) for _ in range(-(-_STEPS * _BATCH // len(chosen)))])
+        for part in drawn[: _STEPS * _BATCH].reshape(_STEPS, _BATCH):
             logit, memory = network.forward(x, at[part], keep=True)
             d_logit = ((_sigmoid(logit) - toxic[owner[part]]) / len(part)).astype(np.float32)
             step += 1
@@ -247,16 +249,18 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     `labels` has doc_id and toxic; other values than 0 and 1 are ignored.
     """
+    short = docs.filter(F.coalesce(F.char_length(F.col(text)), F.lit(0)) <= SAMPLE_CHARS).select(F.col(doc_id).alias("sampled"), F.col(text).alias("text"))
     known = labels.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("labelled"), F.col("toxic").cast("int").alias("toxic"))
+    # Labels without a document that can be drawn go before the lot is drawn, so they take no place in it.
+    known = known.join(short.select("sampled"), F.col("sampled") == F.col("labelled"), "left_semi")
     order = (F.xxhash64("labelled"), "labelled")
     chosen = known.filter(F.col("toxic") == 1).orderBy(*order).limit(SAMPLE_DOCUMENTS).unionByName(
         known.filter(F.col("toxic") == 0).orderBy(*order).limit(SAMPLE_DOCUMENTS)
     )
     sample = (
-        docs.select(F.col(doc_id).alias("sampled"), F.col(text).alias("text"))
+        short
         # Broadcast: at most 2 * SAMPLE_DOCUMENTS rows of two numbers.
         .join(F.broadcast(chosen), F.col("sampled") == F.col("labelled"))
-        .filter(F.coalesce(F.char_length("text"), F.lit(0)) <= SAMPLE_CHARS)
         .select("sampled", "toxic", "text")
         .limit(4 * SAMPLE_DOCUMENTS)
         .toArrow()
