@@ -7,8 +7,8 @@ base over the known words and one unknown. Seatings are sampled by blocked Gibbs
 word in one restaurant are seated anew given its parent and the totals of the restaurant. Predictive
 probabilities are averaged over SAMPLES sweeps.
 
-Everything about a word lies in the bucket of its hash, so sweeps run bucket by bucket without a shuffle; buckets
-share only the totals of the restaurants. Those of the root and of the 65,536 endings go to every task; those of the
+Everything about a word lies in the bucket of its hash, and buckets are stored as they are dealt, so sweeps run bucket
+by bucket and move none of them; buckets share only the totals of the restaurants. Those of the root and of the 65,536 endings go to every task; those of the
 preceding words are added up by slots of their hashes and go to the buckets that ask for them. Texts are
 packed into chunks, in which equal (word, context) pairs are counted before they travel.
 """
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from habispark.llm.packed import pack, pack_even, unpack, unpack_even
-from habispark.llm.tables import remainder, stored
+from habispark.llm.tables import dealt, remainder, stored
 from habispark.llm.words import read_texts, slices
 
 CHUNK_TOKENS = 2_000_000
@@ -416,8 +416,9 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, size // 6 // BUCKET_TOKENS)
     packed = stored(plain.mapInArrow(_pack_chunks(count), _CHUNK), "chunks")
-    buckets = stored(
-        packed.filter(F.col("bucket") >= 0).drop("ids", "held").groupBy("bucket").applyInPandas(_one_row, _BUCKET), "buckets"
+    buckets = dealt(
+        packed.filter(F.col("bucket") >= 0).drop("ids", "held").groupBy("bucket").applyInPandas(_one_row, _BUCKET),
+        "buckets", "bucket", count,
     )
     totals, leaves = _totals(buckets, None, 0, count)
     for sweep in range(BURN_IN):

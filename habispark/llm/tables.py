@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from habispark.session import scratch_dir
 
+# Parts of a dealt table: each is one task of the passes over it.
+MOST_PARTS = 10_000
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Writes the frame below `spark.checkpoint.dir` and reads it back, which also cuts lineage."""
@@ -15,6 +20,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, label: str, key: str, count: int) -> DataFrame:
+    """Like `stored`, in at most `count` parts by the hash of `key`: grouping by `key` then moves none of its rows."""
+    spark, name = df.sparkSession, f"dealt_{uuid.uuid4().hex}"
+    writer = df.write.option("path", scratch_dir(spark, label)).option("compression", "zstd")
+    writer.bucketBy(max(1, min(count, MOST_PARTS)), key).saveAsTable(name)
+    table = spark.table(name)
+    # Only the name goes: the files lie where the path says, and the frame knows how they are dealt.
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def partitions(df: DataFrame) -> int:
     """Into how many tasks Spark cuts the frame; plans it, computes nothing."""
     return max(1, df.rdd.getNumPartitions())
