@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from habispark.llm.packed import pack, pack_even, unpack, unpack_even
-from habispark.llm.tables import dealt, remainder, stored
+from habispark.llm.tables import dealt, discard, remainder, stored, stored_at
 from habispark.llm.words import read_texts, slices
 
 CHUNK_TOKENS = 2_000_000
@@ -321,7 +321,7 @@ def _totals(buckets: DataFrame, before: tuple[Totals, DataFrame] | None, sweep:
 
         rows = states.groupBy("bucket").cogroup(leaves.groupBy("bucket")).applyInPandas(seated, _SUMS)
     # Written, as it feeds both kinds of totals.
-    rows = stored(rows, "sums")
+    rows, place = stored_at(rows, "sums")
     numbers = ["customers", "tables", "once", "twice"]
     upper = (
         rows.filter("level < 3")
@@ -333,6 +333,7 @@ def _totals(buckets: DataFrame, before: tuple[Totals, DataFrame] | None, sweep:
     leaves = stored(
         rows.filter("level = 3").groupBy("slot").applyInPandas(_leaf_totals, "bucket int, slot int, served binary, laid binary"), "leaf-totals"
     )
+    discard(buckets.sparkSession, place)
     customers, tables, discounts = [], [], []
     for level, size in ((0, 1), (1, 65536), (2, 1)):
         own = upper[upper["level"] == level]
@@ -415,11 +416,14 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
     # About one word for six bytes; only the size of buckets depends on it.
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, size // 6 // BUCKET_TOKENS)
-    packed = stored(plain.mapInArrow(_pack_chunks(count), _CHUNK), "chunks")
+    kind = F.when(F.col("bucket") < 0, "documents").otherwise("pairs")
+    packed, place = stored_at(plain.mapInArrow(_pack_chunks(count), _CHUNK).withColumn("kind", kind), "chunks", "kind")
     buckets = dealt(
-        packed.filter(F.col("bucket") >= 0).drop("ids", "held").groupBy("bucket").applyInPandas(_one_row, _BUCKET),
+        packed.filter(F.col("kind") == "pairs").drop("ids", "held", "kind").groupBy("bucket").applyInPandas(_one_row, _BUCKET),
         "buckets", "bucket", count,
     )
+    # The buckets hold all of them now.
+    discard(docs.sparkSession, f"{place}/kind=pairs")
     totals, leaves = _totals(buckets, None, 0, count)
     for sweep in range(BURN_IN):
         totals, leaves = _totals(buckets, (totals, leaves), sweep, count)
@@ -428,7 +432,7 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
         .cogroup(leaves.groupBy("bucket"))
         .applyInPandas(_answers(totals), "chunk long, bucket int, logs binary, seen binary")
     )
-    chunks = packed.filter(F.col("bucket") < 0).select("chunk", "ids", "counts", "held", "pairs")
+    chunks = packed.filter(F.col("kind") == "documents").select("chunk", "ids", "counts", "held", "pairs")
     scores = (
         chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_document_scores(totals), _SCORES)
     )

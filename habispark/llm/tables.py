@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from habispark.session import scratch_dir
@@ -20,6 +20,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_at(df: DataFrame, label: str, *by: str) -> tuple[DataFrame, str]:
+    """`stored`, in folders by the columns `by`, and where it lies, so that it can be discarded."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, label)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(*by) if by else writer).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of scratch rows. Only for rows that nothing reads any more, a repeated task included: what was
+    made of them must be stored itself."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def dealt(df: DataFrame, label: str, key: str, count: int) -> DataFrame:
     """Like `stored`, in at most `count` parts by the hash of `key`: grouping by `key` then moves none of its rows."""
     spark, name = df.sparkSession, f"dealt_{uuid.uuid4().hex}"
