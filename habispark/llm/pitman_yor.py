@@ -298,8 +298,11 @@ def _leaf_totals(group: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def _totals(buckets: DataFrame, before: tuple[Totals, DataFrame] | None, sweep: int, slots: int) -> tuple[Totals, DataFrame]:
-    """Sums over all buckets, after a number of sweeps with the totals `before` (none: least seating)."""
+def _totals(
+    buckets: DataFrame, before: tuple[Totals, DataFrame, str] | None, sweep: int, slots: int
+) -> tuple[Totals, DataFrame, str]:
+    """Sums over all buckets, after a number of sweeps with the totals `before` (none: least seating), and where
+    those of the preceding words lie. The ones of `before` are deleted."""
     states = buckets.select("bucket", "word", "context", "seen", "leaves", "endings")
 
     def least(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -310,7 +313,7 @@ def _totals(buckets: DataFrame, before: tuple[Totals, DataFrame] | None, sweep:
     if before is None:
         rows = states.mapInPandas(least, _SUMS)
     else:
-        shared, leaves = before
+        shared, leaves, _ = before
 
         def seated(group: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
             row, totals = group.iloc[0], shared.with_leaves(own)
@@ -330,10 +333,13 @@ def _totals(buckets: DataFrame, before: tuple[Totals, DataFrame] | None, sweep:
         .toArrow()  # at most one row per ending, 65,538 of them
         .to_pandas()
     )
-    leaves = stored(
+    leaves, totals_place = stored_at(
         rows.filter("level = 3").groupBy("slot").applyInPandas(_leaf_totals, "bucket int, slot int, served binary, laid binary"), "leaf-totals"
     )
-    discard(buckets.sparkSession, place)
+    # Nothing reads the sums any more, nor the totals they were sampled with.
+    for old in (place, before[2] if before else None):
+        if old is not None:
+            discard(buckets.sparkSession, old)
     customers, tables, discounts = [], [], []
     for level, size in ((0, 1), (1, 65536), (2, 1)):
         own = upper[upper["level"] == level]
@@ -345,7 +351,7 @@ def _totals(buckets: DataFrame, before: tuple[Totals, DataFrame] | None, sweep:
         discounts.append(float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.9)))
     known = int(tables[0].sum()) if before is None else before[0].known
     none = np.zeros(0)
-    return Totals((*customers[:2], none), (*tables[:2], none), np.array(discounts), int(customers[2].sum()), known), leaves
+    return Totals((*customers[:2], none), (*tables[:2], none), np.array(discounts), int(customers[2].sum()), known), leaves, totals_place
 
 
 def _answers(shared: Totals):
@@ -424,9 +430,10 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
     )
     # The buckets hold all of them now.
     discard(docs.sparkSession, f"{place}/kind=pairs")
-    totals, leaves = _totals(buckets, None, 0, count)
+    found = _totals(buckets, None, 0, count)
     for sweep in range(BURN_IN):
-        totals, leaves = _totals(buckets, (totals, leaves), sweep, count)
+        found = _totals(buckets, found, sweep, count)
+    totals, leaves, _ = found
     answers = (
         buckets.groupBy("bucket")
         .cogroup(leaves.groupBy("bucket"))
