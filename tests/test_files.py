@@ -32,10 +32,11 @@ def page(*rows, **more):
 
 def certificate(number, **fields):
     row = dict.fromkeys(CERTIFICATE_FIELDS, "x")
-    row.update({
-        "N°DPE": number, "Code_postal_(BAN)": "69001", "Code_INSEE_(BAN)": "69381", "Etiquette_DPE": "D",
-        "Conso_5_usages_é_finale": 120.5, "Surface_habitable_logement": 60, "Année_construction": 1975,
-    })
+    own = {
+        "numero_dpe": number, "code_postal": "69001", "code_insee": "69381", "classe_dpe": "D",
+        "conso_energie": 120.5, "surface_habitable": 60, "annee_construction": 1975,
+    }
+    row.update({field: own[name] for field, name in CERTIFICATE_FIELDS.items() if name in own})
     row.update(fields)
     return {k: v for k, v in row.items() if v is not None}
 
