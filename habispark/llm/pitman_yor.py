@@ -10,7 +10,7 @@ probabilities are averaged over SAMPLES sweeps.
 Everything about a word lies in the bucket of its hash, and buckets are stored as they are dealt, so sweeps run bucket
 by bucket and move none of them; buckets share only the totals of the restaurants. Those of the root and of the 65,536 endings go to every task; those of the
 preceding words are added up by slots of their hashes and go to the buckets that ask for them. Texts are
-packed into chunks, in which equal (word, context) pairs are counted before they travel.
+packed into chunks, which are stored as numbers of their words; equal (word, context) pairs of a chunk are counted before they travel.
 """
 
 from __future__ import annotations
@@ -29,64 +29,44 @@ from habispark.llm.tables import dealt, discard, remainder, stored, stored_at
 from habispark.llm.words import read_texts, slices
 
 CHUNK_TOKENS = 2_000_000
-BUCKET_TOKENS = 2_000_000
+BUCKET_TOKENS = 1_000_000
 STRENGTH = 1.0
 BURN_IN, SAMPLES = 2, 3
 # Customers of one word that are seated one by one; beyond, in doublings, by the expected rate.
 ONE_BY_ONE = 64
 _END = np.uint64(0x1234567)
-_CHUNK = "chunk long, bucket int, ids binary, counts binary, held binary, pairs binary, words binary, contexts binary, leaves binary, endings binary"
+_CHUNK = "chunk long, ids binary, missing binary, trained binary, counts binary, tokens binary, words binary, endings binary"
+_PIECE = "chunk long, bucket int, words binary, pairs binary, contexts binary, counts binary, leaves binary, endings binary"
 _SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
-def _pack_chunks(buckets: int):
-    """Rows with bucket -1 describe the documents of a chunk, the others its pairs in one bucket."""
+def _pack_chunks(limit: int):
+    """Chunks of texts of `limit` tokens or a little more: their distinct words, and every token as the number of its word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        names = [x.split()[0] for x in _CHUNK.split(", ")]
-        types = [pa.int64(), pa.int32(), *[pa.binary()] * 8]
         parts: list[tuple] = []
         chunk = TaskContext.get().partitionId() << 24
 
         def close() -> pa.RecordBatch:
-            words, ends, trained, counts, ids, held = (np.concatenate(x) for x in zip(*parts, strict=True))
+            words, ends, trained, counts, ids, missing = (np.concatenate(x) for x in zip(*parts, strict=True))
             distinct, word = np.unique(words, return_inverse=True)
             endings = np.zeros(len(distinct), np.uint16)
             endings[word] = ends
-            # Every text closes with the end token, which so precedes the first word of the next one.
-            contexts = np.concatenate([np.searchsorted(distinct, [_END]), word[:-1]])
-            pairs, pair = np.unique(word << 32 | contexts, return_inverse=True)
-            seen = np.bincount(pair, weights=trained, minlength=len(pairs)).astype(np.int64)
-            rows = [
-                (chunk, -1, pack_even(ids), pack(counts), pack_even(held), pack_even(pair.astype(np.uint32)), b"", b"", b"", b"")
-            ]
-            place = ((distinct >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            word = pairs >> 32
-            # Words ascend, so each bucket is one slice of the words and of the pairs.
-            edges = np.searchsorted(place, np.arange(buckets + 1))
-            for b in np.flatnonzero(np.diff(edges)).tolist():
-                w0, w1 = edges[b], edges[b + 1]
-                p0, p1 = np.searchsorted(word, [w0, w1])
-                leaves, leaf = np.unique(pairs[p0:p1] & 0xFFFFFFFF, return_inverse=True)
-                rows.append(
-                    (
-                        chunk,
-                        b,
-                        b"",
-                        pack_even(seen[p0:p1]),
-                        b"",
-                        pack(word[p0:p1] - w0),
-                        pack(distinct[w0:w1].view(np.int64)),
-                        pack_even(leaf.astype(np.uint32)),
-                        pack(distinct[leaves].view(np.int64)),
-                        pack_even(endings[leaves]),
-                    )
-                )
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names
+            row = (
+                chunk,
+                pack_even(ids),
+                pack_even(missing),
+                pack_even(trained),
+                pack(counts),
+                pack_even(word.astype(np.uint32)),
+                pack(distinct.view(np.int64)),
+                pack_even(endings),
             )
+            types = [pa.int64(), *[pa.binary()] * 7]
+            names = [x.split()[0] for x in _CHUNK.split(", ")]
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types, strict=True)], names)
 
         size = 0
         for batch in batches:
@@ -99,25 +79,16 @@ def _pack_chunks(buckets: int):
                 words = np.full(len(is_word), _END)
                 words[is_word] = texts.hashes()
                 # The last two bytes of each word; a word of one byte has a blank before it.
-                last = texts.data[texts.end - 1].astype(np.int64)
+                last = texts.data[texts.end - 1].astype(np.uint16)
                 before = np.where(texts.end - texts.start > 1, texts.data[np.maximum(texts.end - 2, 0)], 0x20)
-                own = np.zeros(len(is_word), np.int64)
-                own[is_word] = before << 8 | last
-                held = np.asarray(part.column("held_out")).astype(np.uint8)
+                own = np.zeros(len(is_word), np.uint16)
+                own[is_word] = before.astype(np.uint16) << 8 | last
+                held = np.asarray(part.column("held_out")).astype(bool)
                 ids = part.column("doc_id")
                 missing = np.asarray(ids.is_null()).astype(np.uint8)
-                parts.append(
-                    (
-                        words,
-                        own,
-                        np.repeat(held == 0, counts),
-                        counts,
-                        np.asarray(ids.fill_null(0)).astype(np.int64),
-                        missing,
-                    )
-                )
+                parts.append((words, own, (~held).astype(np.uint8), counts, np.asarray(ids.fill_null(0)).astype(np.int64), missing))
                 size += len(words)
-                if size >= CHUNK_TOKENS:
+                if size >= limit:
                     yield close()
                     parts.clear()
                     size, chunk = 0, chunk + 1
@@ -127,35 +98,90 @@ def _pack_chunks(buckets: int):
     return run
 
 
+def _pairs(tokens: bytes, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (word, preceding word) of a chunk, ascending, and the pair of every token."""
+    word = unpack_even(tokens, np.uint32).astype(np.int64)
+    # Every text closes with the end token, which so precedes the first word of the next one.
+    return np.unique(word << 32 | np.concatenate([np.searchsorted(words, [_END]), word[:-1]]), return_inverse=True)
+
+
+def _cut(buckets: int):
+    """The pairs of every chunk, one row for each bucket of words."""
+    names = [x.split()[0] for x in _PIECE.split(", ")]
+    types = [pa.int64(), pa.int32(), *[pa.binary()] * 6]
+
+    def piece(row: dict) -> pa.RecordBatch:
+        words, endings = unpack(row["words"]).view(np.uint64), unpack_even(row["endings"], np.uint16)
+        pairs, pair = _pairs(row["tokens"], words)
+        trained = np.repeat(unpack_even(row["trained"], np.uint8) == 1, unpack(row["counts"]))
+        seen = np.bincount(pair[trained], minlength=len(pairs))
+        place = ((words >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        word = pairs >> 32
+        # Words ascend, so each bucket is one slice of the words and of the pairs.
+        edges = np.searchsorted(place, np.arange(buckets + 1))
+        rows = []
+        for b in np.flatnonzero(np.diff(edges)).tolist():
+            w0, w1 = edges[b], edges[b + 1]
+            p0, p1 = np.searchsorted(word, [w0, w1])
+            leaves, leaf = np.unique(pairs[p0:p1] & 0xFFFFFFFF, return_inverse=True)
+            rows.append(
+                (
+                    row["chunk"],
+                    b,
+                    pack(words[w0:w1].view(np.int64)),
+                    pack(word[p0:p1] - w0),
+                    pack_even(leaf.astype(np.uint32)),
+                    pack_even(seen[p0:p1]),
+                    pack(words[leaves].view(np.int64)),
+                    pack_even(endings[leaves]),
+                )
+            )
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield piece(batch.slice(i, 1).to_pylist()[0])
+
+    return run
+
+
 def _one_row(group: pd.DataFrame) -> pd.DataFrame:
     """A bucket with its training counts over all chunks, and what each chunk asks for."""
     group = group.sort_values("chunk")
-    words, places, asked, leaves, endings = [], [], [], [], []
-    before = 0
-    for row in group.itertuples():
-        w = unpack(row.words).view(np.uint64)
-        words.append(w[unpack(row.pairs)])
-        places.append(unpack_even(row.contexts, np.uint32).astype(np.int64) + before)
-        leaves.append(unpack(row.leaves).view(np.uint64))
-        endings.append(unpack_even(row.endings, np.uint16))
-        before += len(leaves[-1])
-        asked.append(unpack_even(row.counts, np.int64))
-    lengths = np.array([len(x) for x in asked])
-    distinct, word = np.unique(np.concatenate(words), return_inverse=True)
+    # Words and contexts of the chunks first, so that pairs are numbers throughout.
+    words = [unpack(x).view(np.uint64) for x in group["words"]]
+    leaves = [unpack(x).view(np.uint64) for x in group["leaves"]]
+    word_at, leaf_at = (np.cumsum([0, *map(len, x)]) for x in (words, leaves))
+    word = np.unique(np.concatenate(words), return_inverse=True)[1]
     leaf, first, place = np.unique(np.concatenate(leaves), return_index=True, return_inverse=True)
-    pairs, pair = np.unique(word << 32 | place[np.concatenate(places)], return_inverse=True)
-    seen = np.bincount(pair, weights=np.concatenate(asked), minlength=len(pairs)).astype(np.int64)
+    endings = np.concatenate([unpack_even(x, np.uint16) for x in group["endings"]])[first]
+    keys, seen = [], []
+    for i, row in enumerate(group.itertuples()):
+        own = word[word_at[i] : word_at[i + 1]][unpack(row.pairs)] << 32
+        own |= place[leaf_at[i] : leaf_at[i + 1]][unpack_even(row.contexts, np.uint32)]
+        keys.append(own)
+        seen.append(unpack_even(row.counts, np.int64))
+    lengths = np.array([len(x) for x in keys])
+    keys = np.concatenate(keys)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    fresh = np.concatenate([[True], keys[1:] != keys[:-1]])
+    asked = np.empty(len(keys), np.uint32)
+    asked[order] = np.cumsum(fresh, dtype=np.int64) - 1
+    pairs = keys[fresh]
+    seen = np.add.reduceat(np.concatenate(seen)[order], np.flatnonzero(fresh))
     return pd.DataFrame(
         {
             "bucket": group["bucket"].iloc[:1],
             "chunks": [pack(group["chunk"].to_numpy(np.int64))],
             "lengths": [pack(lengths)],
-            "asked": [pack_even(pair.astype(np.uint32))],
+            "asked": [pack_even(asked)],
             "word": [pack(pairs >> 32)],
             "context": [pack_even((pairs & 0xFFFFFFFF).astype(np.uint32))],
             "seen": [pack_even(seen)],
             "leaves": [pack(leaf.view(np.int64))],
-            "endings": [pack_even(np.concatenate(endings)[first])],
+            "endings": [pack_even(endings)],
         }
     )
 
@@ -388,10 +414,10 @@ def _document_scores(totals: Totals):
         seen = np.concatenate([unpack_even(x, np.int64) for x in answers["seen"]])
         base = np.log10((seen + 1) / (totals.tokens + totals.known + 1))
         row = chunks.iloc[0]
-        pair, counts = unpack_even(row["pairs"], np.uint32), unpack(row["counts"])
+        pair, counts = _pairs(row["tokens"], unpack(row["words"]).view(np.uint64))[1], unpack(row["counts"])
         starts = np.cumsum(counts) - counts
         ids = pd.array(unpack_even(row["ids"], np.int64), "Int64")
-        ids[unpack_even(row["held"], np.uint8) == 1] = pd.NA
+        ids[unpack_even(row["missing"], np.uint8) == 1] = pd.NA
         return pd.DataFrame(
             {
                 "doc_id": ids,
@@ -422,14 +448,11 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
     # About one word for six bytes; only the size of buckets depends on it.
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, size // 6 // BUCKET_TOKENS)
-    kind = F.when(F.col("bucket") < 0, "documents").otherwise("pairs")
-    packed, place = stored_at(plain.mapInArrow(_pack_chunks(count), _CHUNK).withColumn("kind", kind), "chunks", "kind")
+    chunks = stored(plain.mapInArrow(_pack_chunks(CHUNK_TOKENS), _CHUNK), "chunks")
+    # Cut from the stored chunks, so that a repeated task numbers their pairs alike; only the shuffle holds the pieces.
     buckets = dealt(
-        packed.filter(F.col("kind") == "pairs").drop("ids", "held", "kind").groupBy("bucket").applyInPandas(_one_row, _BUCKET),
-        "buckets", "bucket", count,
+        chunks.mapInArrow(_cut(count), _PIECE).groupBy("bucket").applyInPandas(_one_row, _BUCKET), "buckets", "bucket", count
     )
-    # The buckets hold all of them now.
-    discard(docs.sparkSession, f"{place}/kind=pairs")
     found = _totals(buckets, None, 0, count)
     for sweep in range(BURN_IN):
         found = _totals(buckets, found, sweep, count)
@@ -439,9 +462,9 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: i
         .cogroup(leaves.groupBy("bucket"))
         .applyInPandas(_answers(totals), "chunk long, bucket int, logs binary, seen binary")
     )
-    chunks = packed.filter(F.col("kind") == "documents").select("chunk", "ids", "counts", "held", "pairs")
+    asking = chunks.select("chunk", "ids", "missing", "counts", "tokens", "words")
     scores = (
-        chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_document_scores(totals), _SCORES)
+        asking.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_document_scores(totals), _SCORES)
     )
     return scores.select(
         "doc_id",

@@ -168,7 +168,10 @@ def test_tree_of_halves_equals_the_whole(leaf, window):
     assert codec.encode("z" * 500) == codec.encoding.encode_ordinary("z" * 500)
 
 
-def test_language_model_base_and_order(corpus):
+@pytest.mark.parametrize("chunk, bucket", [(2_000_000, 1_000_000), (700, 400)])
+def test_language_model_base_and_order(corpus, monkeypatch, chunk, bucket):
+    monkeypatch.setattr(pitman_yor, "CHUNK_TOKENS", chunk)
+    monkeypatch.setattr(pitman_yor, "BUCKET_TOKENS", bucket)
     docs = [(r.doc_id, words_of(lower(r.text)) + [None]) for r in corpus.collect()]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
     counts = Counter(w for i, ws in docs if not held(i) for w in ws)
