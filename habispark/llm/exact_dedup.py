@@ -1,10 +1,11 @@
 """Exact deduplication by a tree-merge of sorted digest runs.
 
 Every partition of the input sorts the digests of its own texts into runs in which a digest occurs
-once, with the identifier that stays and a count. The digest space is cut into ranges, and the runs
-of each range are exchanged in rounds: round k brings FAN_IN runs together that carry the same
-number divided by FAN_IN**k, and one multiway merge leaves one run of them. A text with any number of
-copies is one entry per run from the start, so no task ever holds a group of copies.
+once, with the identifier that stays and a count. Runs are then exchanged in binomial rounds: in round k, neighbours
+2**(k-1) apart cut their runs in two by the k-th bit of the digest, one side takes both lower halves and the other
+both upper ones, and a multiway merge leaves one run of each. So there are as many runs of the same size in every
+round, and after log2(partitions) rounds a digest is in one run only. A text with any number of copies is one entry
+per run from the start, so no task ever holds a group of copies.
 
 The entry of a text is its SHA-256, its length in bytes and an independent 64-bit hash; entries are
 one text only if all three agree, which every merge verifies.
@@ -22,12 +23,13 @@ from pyspark.sql import functions as F
 
 from habispark.llm.tables import lower_ascii, partitions, stored, without_rows
 
-FAN_IN = 16
+# Rounds after which the runs are written, so that a lost executor costs no more than these.
+_STORED_EVERY = 5
 # Entries a partition gathers before it closes a run: bounds the memory of a task.
 RUN_ENTRIES = 1 << 20
 _KEY = 48
 _ENTRY = np.dtype([("key", f"S{_KEY}"), ("keep", "<i8"), ("size", "<i8")])
-_RUNS = "slot int, run long, entries binary"
+_RUNS = "slot long, run long, entries binary"
 
 
 def text_key(text: Column) -> Column:
@@ -53,33 +55,28 @@ def merged(runs: list[np.ndarray], largest: bool) -> np.ndarray:
 
 def merge_tree(keyed: DataFrame, key: str, doc_id: str, largest: bool = False) -> DataFrame:
     """Columns key, keep_id, group_size: one row for every key with two rows or more."""
-    count = partitions(keyed)
-    rounds = 1
-    while FAN_IN**rounds < count:
-        rounds += 1
+    rounds = max(1, (partitions(keyed) - 1).bit_length())
+
+    def halves(entries: np.ndarray, depth: int, run: int) -> dict[str, list]:
+        """A sorted run cut by the first `depth` bits of the digests; all but the last of them are equal."""
+        lead = np.frombuffer(entries["key"].astype(f"S{_KEY}").tobytes(), np.uint8)
+        slot = lead.reshape(-1, _KEY)[:, :4].copy().view(">u4").ravel().astype(np.int64) >> (32 - depth)
+        cuts = [0, *(np.flatnonzero(np.diff(slot)) + 1), len(slot)]
+        return {
+            "slot": slot[cuts[:-1]].tolist(),
+            "run": [run >> 1] * (len(cuts) - 1),
+            "entries": [entries[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)],
+        }
 
     def local_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         run = TaskContext.get().partitionId()
         gathered: list[np.ndarray] = []
+        types = pa.schema([("slot", pa.int64()), ("run", pa.int64()), ("entries", pa.binary())])
 
         def close() -> pa.RecordBatch:
-            entries = merged(gathered, largest)
-            # The first four bytes of the digest place it: ranges of equal width, as digests are even.
-            lead = np.frombuffer(entries["key"].astype(f"S{_KEY}").tobytes(), np.uint8)
-            lead = lead.reshape(-1, _KEY)[:, :4].copy().view(">u4").ravel().astype(np.int64)
-            slot = lead * count >> 32
-            cuts = [0, *(np.flatnonzero(np.diff(slot)) + 1), len(slot)]
-            parts = [entries[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(slot[cuts[:-1]].astype(np.int32)),
-                    pa.array(np.full(len(parts), run)),
-                    pa.array(parts, pa.binary()),
-                ],
-                ["slot", "run", "entries"],
-            )
+            return pa.RecordBatch.from_pydict(halves(merged(gathered, largest), 1, run), types)
 
         for batch in batches:
             entries = np.zeros(batch.num_rows, _ENTRY)
@@ -101,17 +98,13 @@ def merge_tree(keyed: DataFrame, key: str, doc_id: str, largest: bool = False) -
     def merge(group: pd.DataFrame) -> np.ndarray:
         return merged([np.frombuffer(x, _ENTRY) for x in group["entries"]], largest)
 
-    for _ in range(rounds - 1):
-        runs = (
-            runs.withColumn("run", F.floor(F.col("run") / FAN_IN).cast("long"))
-            .groupBy("slot", "run")
-            .applyInPandas(
-                lambda group: pd.DataFrame(
-                    {"slot": group["slot"].iloc[:1], "run": group["run"].iloc[:1], "entries": [merge(group).tobytes()]}
-                ),
-                _RUNS,
-            )
-        )
+    def exchange(depth: int):
+        return lambda group: pd.DataFrame(halves(merge(group), depth, int(group["run"].iloc[0])))
+
+    for done in range(1, rounds):
+        runs = runs.groupBy("slot", "run").applyInPandas(exchange(done + 1), _RUNS)
+        if done % _STORED_EVERY == 0:
+            runs = stored(runs, "digest-runs")
 
     def last(group: pd.DataFrame) -> pd.DataFrame:
         entries = merge(group)
@@ -121,7 +114,7 @@ def merge_tree(keyed: DataFrame, key: str, doc_id: str, largest: bool = False) -
             {"key": [x.tobytes() for x in keys], "keep_id": entries["keep"], "group_size": entries["size"]}
         )
 
-    found = runs.groupBy("slot").applyInPandas(last, "key binary, keep_id long, group_size long")
+    found = runs.groupBy("slot", "run").applyInPandas(last, "key binary, keep_id long, group_size long")
     return found.withColumn("keep_id", F.nullif(F.col("keep_id"), F.lit(absent)))
 
 

@@ -44,7 +44,7 @@ def test_exact_groups(corpus, largest):
 
 def test_exact_merge_takes_several_rounds(corpus, monkeypatch):
     before = sorted(map(str, rows(exact_dedup.duplicate_groups(corpus))))
-    monkeypatch.setattr(exact_dedup, "FAN_IN", 2)
+    monkeypatch.setattr(exact_dedup, "_STORED_EVERY", 2)
     monkeypatch.setattr(exact_dedup, "RUN_ENTRIES", 5)
     assert sorted(map(str, rows(exact_dedup.duplicate_groups(corpus.repartition(9))))) == before
 
