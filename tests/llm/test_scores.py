@@ -263,6 +263,54 @@ def test_best_fit_takes_the_tightest_bin():
     assert capacity.tolist() == [100]
 
 
+def bins_of(sizes, lengths):
+    """Checks a packing and returns the capacities."""
+    chosen, position, capacity = packing.pack_share(np.array(sizes), lengths)
+    for b in range(len(capacity)):
+        own = [(p, s) for c, p, s in zip(chosen, position, sizes, strict=True) if c == b]
+        assert [p for p, _ in own] == list(np.cumsum([0, *[s for _, s in own]])[:-1])
+        assert capacity[b] == min(c for c in lengths if c >= sum(s for _, s in own))
+    return capacity.tolist()
+
+
+def least_cost(sizes, lengths):
+    """The best of all ways to deal the pieces into bins."""
+
+    def ways(at, loads):
+        if at == len(sizes):
+            yield sum(packing.sequence_cost(min(c for c in lengths if c >= x)) for x in loads)
+            return
+        for b in range(len(loads)):
+            if loads[b] + sizes[at] <= max(lengths):
+                yield from ways(at + 1, [*loads[:b], loads[b] + sizes[at], *loads[b + 1 :]])
+        yield from ways(at + 1, [*loads, sizes[at]])
+
+    return min(ways(0, []))
+
+
+def test_small_shares_against_all_packings():
+    rng = np.random.default_rng(5)
+    ratios = []
+    for _ in range(60):
+        sizes = sorted(rng.integers(20, 2049, rng.integers(1, 8)).tolist(), reverse=True)
+        got = sum(packing.sequence_cost(c) for c in bins_of(sizes, packing.LENGTHS))
+        best = least_cost(sizes, packing.LENGTHS)
+        assert got >= best - 1e-9
+        ratios.append(got / best)
+    assert np.mean(ratios) < 1.02 and np.mean(np.array(ratios) < 1 + 1e-9) > 0.7
+
+
+def test_lengths_are_chosen_jointly():
+    rng = np.random.default_rng(6)
+    sizes = sorted(np.minimum(rng.lognormal(5.3, 1.1, 3000).astype(int) + 1, 2048).tolist(), reverse=True)
+    cost = lambda capacity: sum(map(packing.sequence_cost, capacity))
+    joint = bins_of(sizes, packing.LENGTHS)
+    assert cost(joint) < cost(bins_of(sizes, packing.LENGTHS[-1:]))
+    assert len(set(joint)) > 1
+    assert set(bins_of([512] * 50, packing.LENGTHS)) == {1024}
+    assert set(bins_of([2048, 1000, 500, 250], packing.LENGTHS)) == set(packing.LENGTHS)
+
+
 def test_host_and_rules(spark):
     urls = [
         ("http://WWW.Example.com/en/x?y", "www.example.com", "/en/x", "www.example.com/en/", "allow"),
