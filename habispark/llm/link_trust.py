@@ -2,7 +2,7 @@
 
 Trust is a personalised PageRank that starts at hosts with allowed pages and follows links; distrust starts at hosts
 with blocked pages and follows links backwards, to those who point there. Hosts and their parent domains
-count as linked both ways. Both ranks are computed together by power iteration over the table of
+count as weakly linked both ways, but not through a bare suffix. Both ranks are computed together by power iteration over the table of
 host edges, in which equal links are counted before anything else, so a host with a large share of all pages is a few
 rows. A host whose distrust outweighs its trust is blocked.
 """
@@ -29,6 +29,8 @@ DAMPING = 0.85
 ITERATIONS = 15
 # Share of distrust in trust and distrust together from which a host is blocked.
 BLOCKED_FROM = 0.5
+# What a host and its parent domain count as, against 1 for every link.
+PARENT_WEIGHT = 0.1
 _STORED_EVERY = 5
 _LINK = "(?i)href\\s*=\\s*[\"']?\\s*(?:https?:)?//([^/?#\"'\\s<>]+)"
 
@@ -54,8 +56,9 @@ def ruled(pages: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
-    """source, target, links: how often pages of one host link to another, and one link each way between a host and
-    its parent domain. Links within a host are left out."""
+    """source, target, links: how often pages of one host link to another, and PARENT_WEIGHT each way between a host and
+    its parent domain. Links within a host are left out. A suffix without a dot (`com`) is no parent, as unrelated hosts
+    would meet in it, and addresses of numbers have none. Longer public suffixes (`co.uk`) cannot be told from domains."""
     linked = pages.filter(F.col("host") != "").select(
         F.col("host").alias("source"), F.explode(F.regexp_extract_all("html", F.lit(_LINK), 1)).alias("target")
     )
@@ -74,9 +77,10 @@ def host_edges(pages: DataFrame) -> DataFrame:
     )
     child = chain.filter(F.instr("child", ".") > 0).distinct().select(
         "child", F.substring(F.col("child"), F.instr("child", ".") + 1, F.length("child")).alias("parent")
-    ).filter("parent != ''")
+    ).filter(F.col("parent").rlike("[^.]\\.[^.]") & ~F.col("child").rlike("^[0-9.]+(:[0-9]*)?$"))
     both = child.toDF("source", "target").unionByName(child.select(F.col("parent").alias("source"), F.col("child").alias("target")))
-    return linked.unionByName(both.withColumn("links", F.lit(1).cast("long"))).groupBy("source", "target").agg(F.sum("links").alias("links"))
+    both = both.withColumn("links", F.lit(PARENT_WEIGHT))
+    return linked.withColumn("links", F.col("links").cast("double")).unionByName(both).groupBy("source", "target").agg(F.sum("links").alias("links"))
 
 
 def spread(edges: DataFrame, seeds: DataFrame) -> DataFrame:

@@ -333,6 +333,21 @@ def test_host_and_rules(spark):
     assert link_trust.judged(pages.limit(0)).count() == 0
 
 
+def test_unrelated_hosts_do_not_meet_in_a_suffix(spark):
+    urls = ["http://a.net/es/", "http://b.net/", "http://x.a.net/", "http://1.2.3.4/", "http://c.d.org/"]
+    pages = [(i, u, '<a href="http://c.d.org/">' if i == 1 else "") for i, u in enumerate(urls)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    verdicts = {r.host: r.verdict for r in link_trust.judged(df).collect()}
+    # Only the subdomain of the blocked host shares its fate; the other host of the suffix does not.
+    assert verdicts == {"a.net": "block", "b.net": "allow", "x.a.net": "block", "1.2.3.4": "allow", "c.d.org": "allow"}
+    host, path = link_trust.host_and_path(df["url"])
+    edges = link_trust.host_edges(df.select(host.alias("host"), "html")).collect()
+    assert {(e.source, e.target): e.links for e in edges} == {
+        ("b.net", "c.d.org"): 1.0,
+        **{pair: link_trust.PARENT_WEIGHT for a, b in (("x.a.net", "a.net"), ("c.d.org", "d.org")) for pair in ((a, b), (b, a))},
+    }
+
+
 def test_ranks_equal_dense_iteration(spark):
     rng = random.Random(6)
     hosts = [f"h{i}.org" for i in range(12)] + ["good.com", "bad.net"]
