@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import string
 import zlib
 from collections import Counter
 
@@ -168,6 +169,60 @@ def test_tree_of_halves_equals_the_whole(leaf, window):
     assert codec.encode("z" * 500) == codec.encoding.encode_ordinary("z" * 500)
 
 
+LONG = {
+    "letters": lambda r: "".join(r.choices(string.ascii_lowercase, k=130_000)),
+    "characters of three bytes": lambda r: "".join(r.choices("漢字かな交", k=50_000)),
+    "digits": lambda r: "".join(r.choices(string.digits, k=70_000)),
+    "one letter": lambda r: "a" * 70_001,
+    "line ends": lambda r: "\n" * 70_000 + "!",
+    "long runs of all kinds": lambda r: "a b " * 9000 + "'" + "x" * 40_000 + "'s " + "-" * 40_000 + "  \n\n" * 9000 + "end",
+    "long text of words": lambda r: " ".join(r.choices(["the", "house", "don't", "12", "été", "\n\n", "<|endoftext|>"], k=20_000)),
+}
+
+
+@pytest.mark.parametrize("kind", LONG)
+def test_long_texts_equal_the_library_at_the_production_leaf(kind):
+    from tokenizers import Tokenizer
+
+    text = LONG[kind](random.Random(5))
+    assert len(text) > 2 * bpe.LEAF
+    codec = bpe.Codec(VOCABULARY)
+    assert codec.encode(text) == Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids
+
+
+def test_joins_of_a_long_run_encode_little_anew(monkeypatch):
+    codec, seen = bpe.Codec(VOCABULARY), []
+
+    class Counting:
+        def _encode_single_piece(self, piece):
+            seen.append(len(piece))
+            return encoding._encode_single_piece(piece)
+
+    encoding = codec.encoding
+    monkeypatch.setattr(codec, "encoding", Counting())
+    for text in (LONG["letters"](random.Random(6)), LONG["characters of three bytes"](random.Random(6))):
+        seen.clear()
+        codec.encode(text)
+        assert sum(seen) < 1.1 * len(text.encode())
+
+
+def test_token_counts_are_those_of_the_tokens(spark):
+    rng = random.Random(7)
+    parts = ["the", "don't", " ", "  ", "\n", "\t", "\r\n", "\x1c", "\x85", "\u00a0", "\u3000", "'ll", "12", "?!", "é", "😀", "<|endoftext|>", "of", "of"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(500)] + ["", " ", None, "x" * 40_000]
+    texts += [" ".join(rng.choices(["the", "of", "house."], k=50)) + rng.choice(["", " ", "\n "]) for _ in range(50)]
+    codec = bpe.Codec(VOCABULARY)
+    expected = [len(codec.encode(t or "")) for t in texts]
+    assert codec.counts(pa.array(texts)).tolist() == expected
+    assert codec.counts(pa.array(texts).slice(100, 300)).tolist() == expected[100:400]
+    assert codec.counts(pa.array([], pa.string())).tolist() == []
+    docs = spark.createDataFrame([(i if i % 9 else None, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, length long")
+    got = bpe.token_counts(docs.repartition(3), VOCABULARY).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(map(tuple, got), key=key) == sorted(((i if i % 9 else None, n + 1) for i, n in enumerate(expected)), key=key)
+    assert bpe.token_counts(docs.limit(0), VOCABULARY).count() == 0
+
+
 @pytest.mark.parametrize("chunk, bucket", [(2_000_000, 1_000_000), (700, 400)])
 def test_language_model_base_and_order(corpus, monkeypatch, chunk, bucket):
     monkeypatch.setattr(pitman_yor, "CHUNK_TOKENS", chunk)
@@ -239,7 +294,7 @@ def test_seats_of_many_customers_follow_the_rate():
 
 
 def test_bins_hold_every_piece_once(spark, corpus):
-    sized = packing.token_counts(corpus)
+    sized = bpe.token_counts(corpus, VOCABULARY)
     lengths = {(r.doc_id, r.length) for r in sized.collect()}
     assert (1000, 1) in lengths and (1003, 2) in lengths
     got = packing.packed(sized, lengths=(64, 128, 256)).collect()
