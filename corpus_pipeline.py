@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from habispark.llm import exact_dedup, line_crf, minhash, packing, substring
+from habispark.llm import bpe, exact_dedup, line_crf, minhash, packing, substring
 from habispark.llm.tables import read_table, stored
 
 # Near copies share this percentage of their five-word shingles, or more; 85 is only op5's own figure.
 NEAR = 80
+# Whose tokens fill the bins.
+VOCABULARY = "byte_bpe_50k.json"
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -37,8 +40,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in bins of the permitted lengths."""
-    return packing.packed(packing.token_counts(docs))
+    """Pieces of the documents, in tokens, in bins of the permitted lengths."""
+    return packing.packed(bpe.token_counts(docs, public_tokenizers.path(VOCABULARY)))
 
 
 STAGES: list[tuple[str, Stage]] = [
