@@ -157,9 +157,3 @@ def packed(
         )
 
     return pieces.groupBy("share").applyInPandas(pack, _PACKED)
-
-
-def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id and length: the words of the text and one end mark."""
-    words = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit("[^\\x20\\x09-\\x0D]+"))
-    return docs.select(F.col("doc_id"), (words + 1).cast("long").alias("length"))

@@ -69,8 +69,9 @@ def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in bins of four lengths."""
-    return packing.packed(packing.token_counts(read_table(spark, sf_dir, "documents", "doc_id", "text")))
+    """All documents, in tokens of a public vocabulary, in bins of four lengths."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.packed(bpe.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
