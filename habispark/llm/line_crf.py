@@ -3,7 +3,10 @@
 Counts over the whole text give the base rules. Then every line that holds a word is one position of a chain
 with two states; Viterbi decoding finds the likeliest labels of a whole text, and the share of its
 words that stand in content lines decides. The field is trained here, by its conditional likelihood, on
-a bounded sample of labelled documents whose lines carry the label of their document.
+a bounded sample of labelled documents. Only documents have labels, so those of their lines are latent: lines
+start with the label of their document and are judged one by one, without the chain; then, in turn, Viterbi decoding
+labels the lines anew, as far as the share of content still says what the label of the document says, and the field is fitted to
+them. So boilerplate inside good documents and content inside bad ones are learnt as what they are.
 """
 
 from __future__ import annotations
@@ -24,7 +27,10 @@ SAMPLE_DOCUMENTS = 3000
 SAMPLE_LINES = 64
 MIN_WORDS = 50
 CONTENT_SHARE = 0.5
-_STEPS = 150
+# Fits to lines labelled anew.
+ROUNDS = 3
+# Steps of the first fit, and of each one that goes on from it.
+_STEPS, _MORE_STEPS = 150, 50
 _RULED = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "base_failed boolean, kept boolean, content_share double"
@@ -67,28 +73,21 @@ class LineModel:
         return out.astype(bool)
 
 
-def fit(texts: list[tuple[np.ndarray, int]]) -> LineModel:
-    """Maximises the conditional likelihood of the labels, with a small penalty, by Adam."""
-    width = len(texts[0][0][0]) if texts else 0
-    if not texts or len({y for _, y in texts}) < 2:
-        return LineModel(np.zeros(max(width, 11)), np.zeros((2, 2)))
-    longest = max(len(x) for x, _ in texts)
-    x = np.zeros((len(texts), longest, width))
-    y = np.array([label for _, label in texts])
-    lengths = np.array([len(f) for f, _ in texts])
-    for i, (f, _) in enumerate(texts):
-        x[i, : len(f)] = f
-    real = np.arange(longest)[None] < lengths[:, None]
-    # Both classes weigh the same, as does every text.
-    weight = np.where(y == 1, 0.5 / (y == 1).mean(), 0.5 / (y == 0).mean()) / lengths / len(texts)
-    w, steps = np.zeros(width), np.zeros((2, 2))
+def _climb(x: np.ndarray, y: np.ndarray, real: np.ndarray, weight: np.ndarray, model: LineModel, chain: bool) -> LineModel:
+    """Maximises the conditional likelihood of the line labels y, with a small penalty, by Adam, from `model` on.
+    Without `chain` every line is judged by itself."""
+    longest, width = x.shape[1:]
+    seen = [(y == label) & real for label in (0, 1)]
+    w, steps = model.weights.copy(), model.steps.copy()
     moments = [np.zeros(width + 4), np.zeros(width + 4)]
-    for step in range(1, _STEPS + 1):
+    share = real[:, 1:] * weight[:, None]
+    observed = np.array([[(share * a[:, :-1] * b[:, 1:]).sum() for b in seen] for a in seen])
+    for step in range(1, (_MORE_STEPS if chain else _STEPS) + 1):
         # Forward and backward recursions, scaled at every position.
-        score = np.ones((len(texts), longest, 2))
+        score = np.ones((len(x), longest, 2))
         score[..., 1] = np.exp(np.clip(x @ w, -30, 30))
         move = np.exp(steps)
-        ahead, scale = np.zeros_like(score), np.ones((len(texts), longest, 1))
+        ahead, scale = np.zeros_like(score), np.ones((len(x), longest, 1))
         for t in range(longest):
             now = (ahead[:, t - 1] @ move if t else 1.0) * score[:, t]
             scale[:, t] = now.sum(axis=1, keepdims=True)
@@ -98,10 +97,9 @@ def fit(texts: list[tuple[np.ndarray, int]]) -> LineModel:
             onward = (score[:, t + 1] * behind[:, t + 1]) @ move.T / scale[:, t + 1]
             behind[:, t] = np.where(real[:, t + 1, None], onward, 1)
         here = ahead * behind * real[..., None]
-        gradient = np.einsum("itf,it->f", x, (y[:, None] - here[..., 1]) * real * weight[:, None])
-        share = real[:, 1:] * weight[:, None]
+        gradient = np.einsum("itf,it->f", x, (y - here[..., 1]) * real * weight[:, None])
         joint = np.einsum("ita,itb,it->ab", ahead[:, :-1], (score * behind / scale)[:, 1:], share) * move
-        pairs = np.diag([(share * (y == label)[:, None]).sum() for label in (0, 1)]) - joint
+        pairs = observed - joint if chain else np.zeros((2, 2))
         g = np.concatenate([gradient - 1e-3 * w, (pairs - 1e-2 * steps).ravel()])
         moments[0] = 0.9 * moments[0] + 0.1 * g
         moments[1] = 0.99 * moments[1] + 0.01 * g * g
@@ -110,6 +108,42 @@ def fit(texts: list[tuple[np.ndarray, int]]) -> LineModel:
     return LineModel(w, steps)
 
 
+def relabelled(model: LineModel, lines: np.ndarray, first: np.ndarray, quality: np.ndarray) -> np.ndarray:
+    """The likeliest labels of all lines, changed where a text's share of words in content lines contradicts its quality: the
+    lines nearest to the other label change first, until it does not."""
+    content, score, words = model.content(lines, first), lines @ model.weights, np.expm1(3 * lines[:, 1].astype(np.float64))
+    for a, b, good in zip(first[:-1], first[1:], quality == 1, strict=True):
+        have, total = words[a:b][content[a:b]].sum(), words[a:b].sum()
+        for i in a + np.argsort(-score[a:b] if good else score[a:b], kind="stable"):
+            if (have >= CONTENT_SHARE * total) == good:
+                break
+            if content[i] != good:
+                content[i] = good
+                have += words[i] if good else -words[i]
+    return content
+
+
+def fit(texts: list[tuple[np.ndarray, int]]) -> LineModel:
+    """The field of texts, given as the features of their lines and their quality. Without both qualities every line
+    counts as content."""
+    width = len(texts[0][0][0]) if texts else 0
+    if not texts or len({y for _, y in texts}) < 2:
+        return LineModel(np.zeros(max(width, 11)), np.zeros((2, 2)))
+    quality = np.array([label for _, label in texts])
+    lengths = np.array([len(f) for f, _ in texts])
+    lines, first = np.concatenate([f for f, _ in texts]), np.concatenate([[0], np.cumsum(lengths)])
+    real = np.arange(lengths.max())[None] < lengths[:, None]
+    x, y = np.zeros((*real.shape, width)), np.zeros(real.shape)
+    x[real], y[real] = lines, np.repeat(quality, lengths)
+    # Both classes weigh the same, as does every text.
+    weight = np.where(quality == 1, 0.5 / (quality == 1).mean(), 0.5 / (quality == 0).mean()) / lengths / len(texts)
+    model = _climb(x, y, real, weight, LineModel(np.zeros(width), np.zeros((2, 2))), chain=False)
+    for _ in range(ROUNDS):
+        y[real] = relabelled(model, lines, first, quality)
+        model = _climb(x, y, real, weight, model, chain=True)
+    return model
+
+
 def train(docs: DataFrame, labels: DataFrame) -> LineModel:
     """Fits the field on at most SAMPLE_DOCUMENTS of the labelled documents, the ones whose ids hash lowest.
 
@@ -163,8 +197,9 @@ def ruled(docs: DataFrame, model: LineModel, doc_id: str = "doc_id", text: str =
     """Counts and verdict for every row of `docs`.
 
     NULL, empty and blank texts have no words and fail the base rule. content_share is the share of words
-    in content lines, 0 without words. Rows are judged one by one: NULL or repeated identifiers and
-    repeated rows are passed through. Other columns of `docs` may have any name.
+    in content lines, 0 without words; ties of labels go to content. Rows are judged one by one: NULL or repeated
+    identifiers and repeated rows are passed through, and an empty table gives an empty result. A text of any length is read whole, by
+    one task, and its lines are one chain. Other columns of `docs` may have any name.
     """
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

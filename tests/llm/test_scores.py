@@ -71,10 +71,47 @@ def test_line_field_separates_and_keeps_columns(labelled):
     assert kept == {i for i in range(240) if i % 3}
     assert line_crf.passing(docs, model).columns == docs.columns
     assert line_crf.passing(docs.limit(0), model).count() == 0
+    assert line_crf.ruled(docs.limit(0), model).count() == 0
     # Without labels every line is content.
     assert line_crf.train(docs, labels.limit(0)).weights.any() == False  # noqa: E712
 
 
+def test_lines_of_mixed_documents_get_labels_of_their_own():
+    """Every document has lines of both kinds; only which kind prevails is known to the fit."""
+    rng = random.Random(12)
+    texts, truth, quality = [], [], []
+    for i in range(300):
+        good = i % 3 > 0
+        kinds = [good] * rng.randint(4, 8) + [not good] * rng.randint(1, 2)
+        cut = rng.randrange(len(kinds))
+        kinds = kinds[cut:] + kinds[:cut]
+        lines = [prose(rng, rng.randint(12, 20)) + "." if k else " | ".join(rng.choices(["HOME", "LOGIN", "NEXT >", "#1", "$ 5"], k=rng.randint(5, 7))) for k in kinds]
+        texts.append("\n".join(lines))
+        truth.append(kinds)
+        quality.append(int(good))
+    m = Measured(read_texts(pa.array(texts)))
+    features, first = m.line_features(), m.first_line
+    model = line_crf.fit([(features[a:b], q) for a, b, q in zip(first[:200], first[1:201], quality[:200])])
+    decoded = model.content(features, first)
+    held = np.concatenate(truth[200:])
+    assert (decoded[first[200] :] == held).mean() > 0.95
+    shares = line_crf._verdict(m, model)[2][200:]
+    assert ((shares > 0) & (shares < 1)).mean() > 0.9
+    assert ((shares >= line_crf.CONTENT_SHARE) == np.array(quality[200:], bool)).mean() > 0.97
+
+
+def test_labels_of_lines_never_contradict_their_document():
+    rng = np.random.RandomState(4)
+    lines = rng.normal(size=(60, 11)).astype(np.float32)
+    lines[:, 1] = np.log1p(rng.randint(1, 9, 60)) / 3
+    first, quality = np.array([0, 1, 1, 20, 45, 60]), np.array([0, 1, 1, 0, 1])
+    content = line_crf.relabelled(line_crf.LineModel(rng.normal(size=11), rng.normal(size=(2, 2))), lines, first, quality)
+    words = np.expm1(3 * lines[:, 1])
+    for a, b, q in zip(first[:-1], first[1:], quality):
+        if b > a:
+            assert (words[a:b][content[a:b]].sum() >= words[a:b].sum() / 2) == bool(q)
+
+
 def test_viterbi_equals_enumeration():
     rng = np.random.RandomState(1)
     model = line_crf.LineModel(rng.normal(size=3), rng.normal(size=(2, 2)))
