@@ -18,8 +18,9 @@ def pack(values: np.ndarray) -> bytes:
 def unpack(data: bytes) -> np.ndarray:
     count = int.from_bytes(data[:8], "little")
     planes = pa.decompress(data[8:], 8 * count, codec="zstd", asbytes=True)
-    steps = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, count).T).view(np.int64).ravel()
-    return np.cumsum((steps >> 1) ^ -(steps & 1))
+    steps = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, count).T).view(np.uint64).ravel()
+    # Shifted without the sign, so that differences of any size come back.
+    return np.cumsum((steps >> np.uint64(1)).view(np.int64) ^ -(steps & np.uint64(1)).view(np.int64))
 
 
 def pack_even(values: np.ndarray) -> bytes:

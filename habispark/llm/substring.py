@@ -8,7 +8,7 @@ them with every rolling window of BLOCK words of every document:
    index. A probe whose hash is indexed for a smaller document is a hit, and it and the blocks it hit are
    anchors.
 2. Every WINDOW-word window around an anchor, on both sides, is compared with the windows of all other
-   documents through its own 64-bit hash of all its words; the windows found in a smaller document extend the
+   documents through two independent 64-bit hashes of all its words, 128 bits; the windows found in a smaller document extend the
    hit to the maximal repeat, whichever document each part of it comes from.
 
 Both steps pre-aggregate: what a task's own documents decide among each other is not sent, so a copy that
@@ -24,7 +24,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from habispark.llm.packed import pack, unpack
@@ -38,7 +39,7 @@ GATHERED = 2_000_000
 # Bits of the filter that keeps most documents without anchors out of a shuffle: 1 MB, whatever the input.
 FILTER_BITS = 1 << 23
 _SENT = "bucket int, here boolean, keys binary, ids binary, places binary"
-_SPOTS = "doc_id long, spots array<int>"
+_SPOTS = "doc_id long, spots array<long>"
 
 
 def joined(texts: Texts, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,19 +81,21 @@ def _spots(ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     fresh[1:] = (ids[1:] != ids[:-1]) | (places[1:] != places[:-1])
     ids, places = ids[fresh], places[fresh]
     at = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, int)
-    lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(ids)).astype(np.int32)), pa.array(places.astype(np.int32)))
+    lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(ids)).astype(np.int32)), pa.array(places))
     return ids[at], lists
 
 
 def _decided(keys: np.ndarray, ids: np.ndarray, source: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each entry: has a `source` entry with this key a smaller id; and that smallest source id's own entries."""
-    order = np.lexsort((ids, keys))
-    k = keys[order]
-    new = np.ones(len(k), bool)
-    new[1:] = k[1:] != k[:-1]
+    """For each entry: has a `source` entry with this key a smaller id; and that smallest source id's own entries. A key is
+    one number, or a row of two."""
+    parts = keys.reshape(len(keys), -1 if len(keys) else 1).T
+    order = np.lexsort((ids, *parts))
+    k = parts[:, order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (k[:, 1:] != k[:, :-1]).any(axis=0)
     group = np.cumsum(new) - 1
     top = np.iinfo(np.int64).max
-    lowest = np.minimum.reduceat(np.where(source[order], ids[order], top), np.flatnonzero(new)) if len(k) else ids[:0]
+    lowest = np.minimum.reduceat(np.where(source[order], ids[order], top), np.flatnonzero(new)) if len(keys) else ids[:0]
     beaten, best = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
     beaten[order] = ids[order] > lowest[group]
     best[order] = ids[order] == lowest[group]
@@ -108,8 +111,8 @@ def _ranges(ordered: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _send(keys: np.ndarray, ids: np.ndarray, places: np.ndarray, buckets: int, wide: bool) -> Iterator[pa.RecordBatch]:
-    """Entries packed per bucket. Narrow keys keep the 32 bits that the bucket does not tell."""
-    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    """Entries packed per bucket. Wide keys are rows of two numbers; narrow ones keep the 32 bits that the bucket does not tell."""
+    bucket = (((keys[:, 0] if wide else keys) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     bucket, keys, ids, places = bucket[order], keys[order], ids[order], places[order]
     rows = [
@@ -228,6 +231,7 @@ def _anchors(buckets: int):
 def _covers(buckets: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         keys, ids, places, ids_here, places_here = _received(group, np.uint64)
+        keys = keys.reshape(-1, 2)
         beaten, _ = _decided(keys, ids, np.ones(len(ids), bool))
         return _routed(np.concatenate([ids[beaten], ids_here]), np.concatenate([places[beaten], places_here]), buckets)
 
@@ -251,12 +255,21 @@ def _gathered_spots(sent: DataFrame, decide) -> DataFrame:
     )
 
 
-def _marked(texts: Texts, lists: pa.Array, before: int, after: int) -> np.ndarray:
-    """Words from `before` places ahead of a listed one to `after` behind it (exclusive), within their text."""
+def _tags(texts: Texts) -> np.ndarray:
+    """31 bits of every text that tell rows of one identifier apart, above those of a place."""
+    return (texts.hash_spans(texts.offsets[:-1], texts.offsets[1:]) >> np.uint64(33)).astype(np.int64) << 32
+
+
+def _listed_places(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all lists and the number of the text of each."""
     lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-    places = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     counts = np.asarray(lists.value_lengths().fill_null(0))
-    base, limit = np.repeat(texts.first[:-1], counts), np.repeat(texts.first[1:], counts)
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.repeat(np.arange(len(counts)), counts)
+
+
+def _marked(texts: Texts, places: np.ndarray, owner: np.ndarray, before: int, after: int) -> np.ndarray:
+    """Words from `before` places ahead of a listed one to `after` behind it (exclusive), within their text."""
+    base, limit = texts.first[owner], texts.first[owner + 1]
     steps = np.zeros(len(texts.start) + 1, np.int64)
     np.add.at(steps, np.minimum(np.maximum(base + places - before, base), limit), 1)
     np.add.at(steps, np.minimum(base + places + after, limit), -1)
@@ -267,11 +280,12 @@ def _windows(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def windows_of(part: pa.RecordBatch, texts: Texts):
             at, keys = texts.windows(texts.hashes(), WINDOW)
-            near = _marked(texts, part.column("spots"), WINDOW - BLOCK, 1)[at]
-            at, keys = at[near], keys[near]
+            near = _marked(texts, *_listed_places(part.column("spots")), WINDOW - BLOCK, 1)[at]
+            keys = np.stack([keys[near], texts.windows(texts.other_hashes(), WINDOW)[1][near]], axis=1)
+            at = at[near]
             owner = texts.owner()[at]
             ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            return keys, ids[owner], at - texts.first[owner]
+            return keys, ids[owner], at - texts.first[owner] + _tags(texts)[owner]
 
         for keys, ids, places in _gathered(batches, windows_of):
             beaten, _ = _decided(keys, ids, np.ones(len(ids), bool))
@@ -286,7 +300,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
             texts = read_texts(part.column("text"))
-            gone = _marked(texts, part.column("spots"), 0, WINDOW)
+            places, owner = _listed_places(part.column("spots"))
+            own = places >> 32 << 32 == _tags(texts)[owner]
+            gone = _marked(texts, places[own] & 0xFFFFFFFF, owner[own], 0, WINDOW)
             removed = np.concatenate([[0], np.cumsum(gone)])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -299,28 +315,37 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose id may be among `ids`: a filter of fixed size, exact on one side, so that the join that follows
-    decides and this only spares it rows."""
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+def _place(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id.cast("long")), F.lit(FILTER_BITS))
+
+
+def _sieve(ids: DataFrame) -> Broadcast:
+    """A filter of fixed size for the doc_id of `ids`: FILTER_BITS bits."""
     words = (
-        ids.select(place(F.col("doc_id")).alias("bit"))
+        ids.select(_place(F.col("doc_id")).alias("bit"))
         .groupBy(F.expr("bit div 64").alias("word"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits"))
         .toArrow()  # at most FILTER_BITS / 64 rows
     )
     table = np.zeros(FILTER_BITS // 64, np.int64)
     table[words["word"].to_numpy()] = words["bits"].to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    return ids.sparkSession.sparkContext.broadcast(table)
+
+
+def _sifted(docs: DataFrame, doc_id: str, sieve: Broadcast, among: bool = True) -> DataFrame:
+    """The rows whose id may be among those of the sieve, or those whose id is not: exact on one side, so that the join
+    that follows decides and this only spares it rows."""
+    bit_at = len(docs.columns)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value.view(np.uint64)
+        known = sieve.value.view(np.uint64)
         for batch in batches:
-            bit = batch.column("bit").to_numpy(zero_copy_only=False)
-            found = known[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)
-            yield batch.select(["doc_id", "text"]).filter(pa.array(found.astype(bool)))
+            bit = batch.column(bit_at).to_numpy(zero_copy_only=False)
+            found = (known[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+            yield batch.select(list(range(bit_at))).filter(pa.array(found == among))
 
-    return docs.select("doc_id", "text", place(F.col("doc_id")).alias("bit")).mapInArrow(keep, "doc_id long, text string")
+    bit = unused("bit", docs.columns)
+    return docs.select("*", _place(F.col(doc_id)).alias(bit)).mapInArrow(keep, docs.schema)
 
 
 def repeats_cut(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -330,7 +355,7 @@ def repeats_cut(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     A word goes if a window of WINDOW words that covers it also occurs in a document with a smaller id;
     kept words are joined by one space. Windows are judged on the input. NULL and blank texts have no
     words. Rows with a NULL identifier neither lose words nor take any; rows that repeat an identifier
-    do not take words from each other. An empty table gives empty frames.
+    do not take words from each other, and each loses what its own text repeats. An empty table gives empty frames.
     """
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     summary = stored(plain.mapInArrow(_summaries, "doc_id long, n_words long, sha256 string"), "summaries")
@@ -338,7 +363,7 @@ def repeats_cut(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     buckets = max(1, words // GATHERED)
     named = plain.filter(F.col("doc_id").isNotNull())
     anchors = stored(_gathered_spots(named.mapInArrow(_probes(buckets), _SENT), _anchors(buckets)), "anchors")
-    anchored = stored(_likely(named, anchors).join(anchors, "doc_id"), "anchored")
+    anchored = stored(_sifted(named, "doc_id", _sieve(anchors)).join(anchors, "doc_id"), "anchored")
     covers = _gathered_spots(anchored.mapInArrow(_windows(buckets), _SENT), _covers(buckets))
     changed = anchored.drop("spots").join(covers, "doc_id").mapInArrow(
         _cut, "doc_id long, text string, n_removed long, kept_text string"
@@ -373,11 +398,20 @@ def _spaced(text):
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with repeated passages taken out of `text`; other texts and all other columns stay as they are."""
+    """`docs` with repeated passages taken out of `text`; other texts and all other columns stay as they are.
+
+    Rows whose id may belong to a changed text are joined with the changes, by id and digest of the text; all others pass by
+    without a shuffle. NULL texts and identifiers, repeated rows and empty tables are as in `repeats_cut`.
+    """
     _, changed = repeats_cut(docs, doc_id, text)
-    key, old, new = (unused(name, docs.columns) for name in ("changed_id", "old_text", "new_text"))
-    cut = changed.select("doc_id", "text", "kept_text").distinct().toDF(key, old, new)
-    same = (F.col(doc_id) == F.col(key)) & (F.col(text) == F.col(old))
-    return docs.join(cut, same, "left").select(
+    cut = changed.select("doc_id", F.sha2("text", 256).alias("old"), F.col("kept_text").alias("new")).distinct()
+    cut = stored(cut, "cut")
+    key, old, new = (unused(name, docs.columns) for name in ("changed_id", "old_sha256", "new_text"))
+    own = unused("own_sha256", docs.columns)
+    sieve = _sieve(cut)
+    likely = _sifted(docs, doc_id, sieve).select("*", F.sha2(F.col(text), 256).alias(own))
+    same = (F.col(doc_id) == F.col(key)) & (F.col(own) == F.col(old))
+    mended = likely.join(cut.toDF(key, old, new), same, "left").select(
         *[F.coalesce(new, text).alias(text) if c == text else F.col(c) for c in docs.columns]
     )
+    return _sifted(docs, doc_id, sieve, among=False).union(mended)

@@ -25,6 +25,9 @@ _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _BYTE_VALUES = np.random.RandomState(2024).randint(0, 2**63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+# For a second hash that has nothing to do with the first.
+_OTHER_PRIME = 0xA0761D6478BD642F
+_OTHER_VALUES = np.random.RandomState(4202).randint(0, 2**63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -82,6 +85,9 @@ class Texts:
     def hashes(self) -> np.ndarray:
         return self.hash_spans(self.start, self.end)
 
+    def other_hashes(self) -> np.ndarray:
+        return hash_slices(_OTHER_VALUES[self.data], _OTHER_PRIME, self.start, self.end)
+
     def hash_spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return hash_slices(_BYTE_VALUES[self.data], _PRIME, start, end)
 

@@ -1,11 +1,14 @@
 import hashlib
+import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from habispark.llm import exact_dedup, minhash, substring
 from habispark.llm.components import connected_components
+from habispark.llm.packed import pack, unpack
 from habispark.llm.words import read_texts
 
 from .conftest import lower, words_of
@@ -16,8 +19,6 @@ def rows(df):
 
 
 def test_words_match_their_pattern():
-    import pyarrow as pa
-
     texts = ["a\u00a0b\x0bc  d", None, "", "é\n\nÀB x", " \t", "z"]
     found = read_texts(pa.array(texts), lower=True)
     got = [[found.word_bytes(i).decode() for i in range(a, b)] for a, b in zip(found.first[:-1], found.first[1:])]
@@ -145,6 +146,44 @@ def test_passages_empty_and_untouched(corpus, nothing):
     assert {r.doc_id: r.text for r in cut.filter("doc_id < 60").collect()} == before
 
 
+def test_passages_taken_out_of_the_texts_themselves(spark):
+    rng = random.Random(31)
+    prose = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    shared, alone = prose(70), prose(300)
+    table = [(4, f"{prose(20)} {shared}\n{prose(20)}"), (9, f"{prose(11)}  {shared}\t{prose(5)}"), (7, shared)]
+    table += [(9, alone), (9, table[1][1]), (None, shared), (3, None), (2, ""), (11, alone)]
+    rows = [(i, t, n, f"x{n}") for n, (i, t) in enumerate(table)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, bit int, new_text string")
+    got = {r.bit: r for r in substring.without_repeats(docs).collect()}
+    assert len(got) == len(rows)
+    digest = {(i, n): h for i, n, _, h in cut_by_hand(table)}
+    for i, text, n, other in rows:
+        assert (got[n].doc_id, got[n].new_text) == (i, other)
+        words = words_of(got[n].text or "")
+        sha = hashlib.sha256(" ".join(words).encode()).hexdigest()
+        assert sha == digest[str(i), len(words_of(text or ""))]
+        if len(words) == len(words_of(text or "")):
+            assert got[n].text == text
+    assert got[7].text == "" and got[1].text == got[4].text and not words_of(got[2].text) and not words_of(got[8].text)
+    assert substring.without_repeats(docs.limit(0)).count() == 0
+
+
+def test_packed_numbers_come_back():
+    top = 2**63 - 1
+    for values in ([], [0], [5, 5, 6], [top, -top - 1, 0, top, 3], [2**62, -(2**62), 2**62 + 7]):
+        assert unpack(pack(np.array(values, np.int64))).tolist() == values
+
+
+def test_windows_need_both_hashes():
+    keys = np.array([[5, 1], [5, 2], [5, 1], [5, 2], [6, 1]], np.uint64)
+    beaten, best = substring._decided(keys, np.array([3, 2, 4, 2, 1]), np.ones(5, bool))
+    assert beaten.tolist() == [False, False, True, False, False] and best.tolist() == [True, True, False, True, True]
+    texts = read_texts(pa.array(["one two one", "two"]))
+    first, other = texts.hashes(), texts.other_hashes()
+    assert first[0] == first[2] and other[0] == other[2] and first[1] == first[3] and other[1] == other[3]
+    assert not set(first.tolist()) & set(other.tolist())
+
+
 def test_signature_estimates_similarity():
     rng = np.random.RandomState(0)
     common = rng.randint(0, 2**62, 900).astype(np.uint64)
