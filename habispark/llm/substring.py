@@ -35,7 +35,7 @@ from habispark.llm.words import Texts, mix, read_texts, slices
 WINDOW = 50
 BLOCK = WINDOW // 2
 # Probes a task gathers before it sends them on, and about as many entries per bucket.
-GATHERED = 2_000_000
+GATHERED = 1_000_000
 # Bits of the filter that keeps most documents without anchors out of a shuffle: 1 MB, whatever the input.
 FILTER_BITS = 1 << 23
 _SENT = "bucket int, here boolean, keys binary, ids binary, places binary"
