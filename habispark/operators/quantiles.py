@@ -1,10 +1,12 @@
 """Exact interpolated quantiles per group that do not need a whole group in one task.
 
-Equal values of a group become one row with a count. The values of a group are cut into segments by their
-magnitude, 64 to each doubling, so a segment is known from the value alone: nothing is measured or
-sampled first, and a group of any size is spread over as many segments as its values differ in scale. Counts
-per segment tell which one holds each wanted rank, and running counts within that segment find the
-value. Segments are sorted by Spark, which spills; the rows are read once, and one path serves groups of all sizes.
+The values of a group are cut into segments by their magnitude, 1,024 to each doubling, so a segment is known from
+the value alone: nothing is measured or sampled first, and a group of any size is spread over as many segments as
+its values differ in scale. Counts per segment tell which one holds each wanted rank. A segment of one value
+is the answer itself; only in segments of several values are these counted, and running counts within the
+segment find the value. Segments are sorted by Spark, which spills; the rows are computed once, and one path serves
+groups of all sizes. What a row has to carry through a shuffle decides the cost where groups are small: rows are
+stored as they are, with all values side by side, and a segment travels as its least value and a count.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from habispark.operators.skew import written
 
 # Segments to each doubling of a value.
-SEGMENTS = 64
+SEGMENTS = 1024
 Extras = Mapping[str, tuple[Callable[[Column], Column], Column]]
 
 
@@ -52,70 +54,128 @@ def grouped_quantiles(
     """
     extras = extras or {}
     names = list(dict.fromkeys(value for value, _ in quantiles.values()))
-    # Measure -1 has no value: all rows of a group meet there for the extras.
-    entries = F.array(
-        F.struct(F.lit(-1).alias("measure"), F.lit(None).cast("double").alias("v")),
-        *[F.struct(F.lit(i).alias("measure"), F.col(v).cast("double").alias("v")) for i, v in enumerate(names)],
+    held, values, inputs = [[f"{what}_{i}" for i in range(len(of))] for what, of in (("key", keys), ("value", names), ("extra", extras))]
+    # Written, as ranks and values are looked up in two passes: the rows before it are computed once.
+    rows = written(
+        df.select(
+            *[F.col(c).alias(h) for c, h in zip(keys, held, strict=True)],
+            (F.lit(1) if weight is None else F.col(weight)).cast("long").alias("w"),
+            *[value.alias(c) for c, (_, value) in zip(inputs, extras.values(), strict=True)],
+            # Zeros of both signs are equal and count as one value.
+            *[F.when(F.col(v) == 0, 0.0).otherwise(F.col(v)).cast("double").alias(c) for c, v in zip(values, names, strict=True)],
+        ),
+        "quantile-rows",
     )
-    inputs = [f"extra_{name}" for name in extras]
-    # One struct as the key: its fields may be NULL and still join.
-    rows = df.select(
-        F.struct(*keys).alias("k"),
-        (F.lit(1) if weight is None else F.col(weight)).cast("long").alias("w"),
-        *[value.alias(c) for c, (_, value) in zip(inputs, extras.values(), strict=True)],
-        F.inline(entries),
-    ).filter((F.col("measure") < 0) | F.col("v").isNotNull())
-    counted = rows.groupBy("k", "measure", "v").agg(
-        F.sum("w").alias("n"),
-        *[how(F.when(F.col("measure") < 0, F.col(c))).alias(c) for c, (how, _) in zip(inputs, extras.values(), strict=True)],
+    ranked = written(_ranked(rows, held, values, inputs, quantiles, extras), "quantile-ranks")
+    # Stored apart: as it is small where groups are, it is known to be so when its joins are planned.
+    unsettled = written(ranked.filter(F.size("open") > 0), "quantile-open").withColumn("k", F.struct(*held))
+    found = _looked_up(rows, unsettled, held, values, quantiles)
+    groups = [F.col(h).alias(c) for c, h in zip(keys, held, strict=True)]
+    groups += [F.col(c).alias(name) for c, name in zip(inputs, extras, strict=True)]
+    # Groups whose quantiles are all known need no join.
+    settled = ranked.filter(F.size("open") == 0).select(
+        *groups, *[F.col(f"answer_{j}").alias(name) for j, name in enumerate(quantiles)]
     )
-
-    # Written, as it is read three times: the rows before it are computed once.
-    counted = written(counted.withColumn("segment", segment_of(F.col("v"), SEGMENTS)), "counted-values")
-    segment = ["k", "measure", "segment"]
-    values = counted.filter(F.col("measure") >= 0).select(*segment, "v", "n")
-    running = values.withColumn("upto", F.sum("n").over(Window.partitionBy(*segment).orderBy("v")))
-    series = Window.partitionBy("k", "measure")
-    sizes = (
-        values.groupBy(*segment)
-        .agg(F.sum("n").alias("rows"))
-        .withColumns(
-            {
-                "start": F.sum("rows").over(series.orderBy("segment")) - F.col("rows"),
-                "total": F.sum("rows").over(series),
-            }
+    return settled.unionByName(
+        unsettled.join(found, "k", "left").select(
+            *groups, *[F.coalesce(f"answer_{j}", f"found_{j}").alias(name) for j, name in enumerate(quantiles)]
         )
     )
-    requests = F.array(
-        *[
-            F.struct(F.lit(names.index(value)).alias("of"), F.lit(name).alias("name"), F.lit(float(p)).alias("p"))
-            for name, (value, p) in quantiles.items()
-        ]
+
+
+def _entries(rows: DataFrame, values: Sequence[str], *others: str) -> DataFrame:
+    """One row per value: the number of its column as `measure`, and `v`; the first column also without a value."""
+    entries = F.array(*[F.struct(F.lit(i).alias("measure"), F.col(c).alias("v")) for i, c in enumerate(values)])
+    return rows.select(*others, F.inline(entries)).filter((F.col("measure") == 0) | F.col("v").isNotNull())
+
+
+def _interpolated(position: Column, low: Column, high: Column) -> Column:
+    """The interpolation of Spark's own percentile, bit by bit."""
+    between = (F.ceil(position) - position) * low + (position - F.floor(position)) * high
+    return F.when(low == high, low).otherwise(between)
+
+
+def _ranked(
+    rows: DataFrame,
+    held: Sequence[str],
+    values: Sequence[str],
+    inputs: Sequence[str],
+    quantiles: Mapping[str, tuple[str, float]],
+    extras: Extras,
+) -> DataFrame:
+    """One row per group: extras, the quantiles whose segments have one value, and in `open` where to find the others."""
+    entries = _entries(rows, values, *held, "w", *inputs).withColumn("segment", segment_of(F.col("v"), SEGMENTS))
+    first = F.col("measure") == 0
+    counted = entries.groupBy(*held, "measure", "segment").agg(
+        F.sum(F.when(F.col("v").isNotNull(), F.col("w"))).alias("rows"),
+        F.min("v").alias("least"),
+        F.max("v").alias("greatest"),
+        *[how(F.when(first, F.col(c))).alias(c) for c, (how, _) in zip(inputs, extras.values(), strict=True)],
     )
-    asked = (
-        sizes.select("*", F.inline(requests))
-        .filter(F.col("of") == F.col("measure"))
-        .withColumn("position", (F.col("total") - 1) * F.col("p"))
+    # A group's segments meet in one task, as many as its values differ in scale. Least values have their order.
+    # Dealt by group, so that the last grouping needs no further shuffle.
+    dealt = counted.withColumn("greatest", F.nullif("greatest", "least")).drop("segment").repartition(*held)
+    series = Window.partitionBy(*held, "measure")
+    sized = dealt.withColumns(
+        {"upto": F.sum("rows").over(series.orderBy("least")), "total": F.sum("rows").over(series)}
     )
-    targets = (
-        asked.select("*", F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))).alias("rank"))
-        .filter((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("rows")))
-        .select(*segment, "name", "position", "rank", (F.col("rank") - F.col("start")).alias("offset"))
+    start = F.col("upto") - F.col("rows")
+    names = list(dict.fromkeys(value for value, _ in quantiles.values()))
+    ends = []
+    for j, (value, p) in enumerate(quantiles.values()):
+        position = (F.col("total") - 1) * F.lit(float(p))
+        mine = F.col("measure") == names.index(value)
+        ends.append(F.max(F.when(mine, position)).alias(f"position_{j}"))
+        for end, rank in (("low", F.floor(position)), ("high", F.ceil(position))):
+            here = mine & (rank >= start) & (rank < F.col("upto"))
+            place = F.struct("least", "greatest", (rank - start).alias("offset"))
+            ends.append(F.max(F.when(here, place)).alias(f"{end}_{j}"))
+    groups = sized.groupBy(*held).agg(*[how(F.col(c)).alias(c) for c, (how, _) in zip(inputs, extras.values(), strict=True)], *ends)
+    answers, places = [], []
+    for j, (value, _) in enumerate(quantiles.values()):
+        position, low, high = F.col(f"position_{j}"), F.col(f"low_{j}"), F.col(f"high_{j}")
+        known = low["greatest"].isNull() & high["greatest"].isNull()
+        answers.append(F.when(known, _interpolated(position, low["least"], high["least"])).alias(f"answer_{j}"))
+        for is_high, end in ((False, low), (True, high)):
+            place = F.struct(
+                F.lit(j).alias("name"),
+                F.lit(is_high).alias("is_high"),
+                position.alias("position"),
+                F.lit(names.index(value)).alias("measure"),
+                segment_of(end["least"], SEGMENTS).alias("segment"),
+                end["offset"].alias("offset"),
+            )
+            places.append(F.when(~known, place))
+    return groups.select(*held, *inputs, *answers, F.array_compact(F.array(*places)).alias("open"))
+
+
+def _looked_up(
+    rows: DataFrame, unsettled: DataFrame, held: Sequence[str], values: Sequence[str], quantiles: Mapping[str, tuple[str, float]]
+) -> DataFrame:
+    """`k` and the quantiles that lie in segments of several values, for the groups that have such."""
+    # One struct as the key: its fields may be NULL and still join.
+    k = F.struct(*held).alias("k")
+    targets = unsettled.select("k", F.inline("open"))
+    # Whole rows of those groups; a frequent group is split by the join, as its other side has one row for it.
+    kept = rows.select(k, "w", *values).join(unsettled.select("k", "open"), "k")
+    wanted = F.exists("open", lambda x: (x["measure"] == F.col("measure")) & (x["segment"] == F.col("segment")))
+    # One column as the place, so that what follows is dealt by it and not by the group alone.
+    place = F.struct("k", "measure", "segment").alias("place")
+    counted = (
+        _entries(kept, values, "k", "w", "open")
+        .withColumn("segment", segment_of(F.col("v"), SEGMENTS))
+        .filter(wanted)
+        .select(place, "v", "w")
+        .groupBy("place", "v")
+        .agg(F.sum("w").alias("n"))
     )
-    found = running.join(targets, segment).filter(
+    running = counted.withColumn("upto", F.sum("n").over(Window.partitionBy("place").orderBy("v")))
+    found = running.join(targets.select("k", place, "name", "is_high", "position", "offset"), "place").filter(
         (F.col("offset") >= F.col("upto") - F.col("n")) & (F.col("offset") < F.col("upto"))
     )
-    low = F.when(F.col("rank") == F.floor("position"), F.col("v"))
-    high = F.when(F.col("rank") == F.ceil("position"), F.col("v"))
     columns = []
-    for name in quantiles:
-        mine = F.col("name") == name
-        lower, upper = F.max(F.when(mine, low)), F.max(F.when(mine, high))
-        position = F.max(F.when(mine, F.col("position")))
-        # The interpolation of Spark's own percentile, bit by bit.
-        between = (F.ceil(position) - position) * lower + (position - F.floor(position)) * upper
-        columns.append(F.when(lower == upper, lower).otherwise(between).alias(name))
-    answers = found.groupBy("k").agg(*columns)
-    groups = counted.filter(F.col("measure") < 0).select("k", *inputs)
-    joined = groups.join(answers, "k", "left")
-    return joined.select("k.*", *[F.col(c).alias(name) for c, name in zip(inputs, extras, strict=True)], *quantiles)
+    for j in range(len(quantiles)):
+        mine = F.col("name") == j
+        low, high = [F.max(F.when(mine & side, F.col("v"))) for side in (~F.col("is_high"), F.col("is_high"))]
+        columns.append(_interpolated(F.max(F.when(mine, F.col("position"))), low, high).alias(f"found_{j}"))
+    return found.groupBy("k").agg(*columns)

@@ -21,6 +21,8 @@ FUNNEL_COUNTS = (
     "lignes_multi_lots",
     "lignes_retenues",
 )
+# Values of the second join key of a deed: small numbers, as every sale carries one through the shuffle.
+SPREADS = 16
 
 
 def with_numbers(df: DataFrame) -> DataFrame:
@@ -78,15 +80,17 @@ def multi_parcel_deeds(usable: DataFrame, scope: Sequence[str] = ()) -> DataFram
 def single_parcel_sales(usable: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Usable sales without the deeds of several parcels; rows without a deed id stay.
 
-    The second join key repeats the deed id as a hash. Rows without an id match nothing, so theirs is
+    The second join key repeats a few bits of the deed id's hash. Rows without an id match nothing, so theirs is
     a hash of columns read anyway and spreads them over all tasks. The extra key also makes Spark
     shuffle both sides for this join, the shape in which adaptive execution splits a deed that is
     very frequent.
     """
     deed = [*scope, "id_mutation"]
-    of_row = F.xxhash64("valeur_fonciere", "surface_reelle_bati", "id_parcelle")
-    spread = F.when(F.col("id_mutation").isNull(), of_row).otherwise(F.xxhash64("id_mutation"))
-    several = multi_parcel_deeds(usable, scope).withColumn("spread", F.xxhash64("id_mutation"))
+    # The parcel is left out: few results need it, and it would be shuffled for this hash alone.
+    of_row = F.xxhash64("valeur_fonciere", "surface_reelle_bati")
+    of_deed = F.xxhash64("id_mutation") % SPREADS
+    spread = F.when(F.col("id_mutation").isNull(), of_row).otherwise(of_deed)
+    several = multi_parcel_deeds(usable, scope).withColumn("spread", of_deed)
     return usable.withColumn("spread", spread).join(several, [*deed, "spread"], "left_anti").drop("spread")
 
 
